@@ -3,21 +3,61 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import jaccard
+from . import jaccard, mixing, secret_scan
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secret_scan.scan(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    of = lambda k: F.size(F.filter("spans", lambda s: s["kind"] == k)).cast("long").alias(f"n_{k}")
+    base = secret_scan.digest(F.col("spans"), secret_scan.KINDS[:3])
+    return found.select("doc_id", of("assign"), of("access"), of("hex"), F.sha2(base, 256).alias("base_sha256"), secret_scan.digest(F.col("spans")).alias("spans"))
+
+
+def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = mixing.mix(_table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "size", "source_size", "target", "taken")
+
+
 def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.jaccard_join(_table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op9_jaccard_join,)}
+QUERIES = {f.__name__: f for f in (op3_secret_scan, op4_mixing, op9_jaccard_join)}
 
 ORACLES = {
+    "op4_mixing": r"""
+WITH d AS (
+  SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size,
+    md5(coalesce(doc_id::VARCHAR, '') || ':' || md5(coalesce(text, ''))) AS o
+  FROM documents),
+per AS (SELECT source, sum(size)::BIGINT AS source_size, (sum(size) * 2)::BIGINT AS cap, row_number() OVER (ORDER BY source NULLS LAST) - 1 AS n FROM d GROUP BY source),
+weighed AS (SELECT *, ([5, 2, 1])[1 + n % 3] AS w, cap * ([2, 5, 10])[1 + n % 3] AS ratio FROM per),
+levels AS (
+  SELECT *, row_number() OVER r AS nth,
+    ((sum(source_size) OVER () * 150)::DOUBLE / 100 - coalesce(sum(cap) OVER (r ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::DOUBLE)
+      / sum(w) OVER (r ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)::DOUBLE AS level
+  FROM weighed WINDOW r AS (ORDER BY ratio, source NULLS LAST)),
+targets AS (
+  SELECT source, source_size, CASE WHEN cap > w * level THEN w * first_level ELSE cap::DOUBLE END AS target
+  FROM levels, (SELECT arg_min(level, nth) AS first_level FROM levels WHERE cap > w * level)),
+timed AS (
+  SELECT d.*, source_size, target, sum(size) OVER (PARTITION BY d.source ORDER BY o, doc_id NULLS FIRST ROWS UNBOUNDED PRECEDING) AS cum
+  FROM d JOIN targets t ON d.source IS NOT DISTINCT FROM t.source),
+passes AS (
+  SELECT *, (cum + pass * source_size)::DOUBLE / target AS finish
+  FROM timed, (SELECT unnest([0, 1]) AS pass) WHERE size > 0 AND target > 0),
+queued AS (
+  SELECT *, sum(size) OVER (ORDER BY finish, source NULLS FIRST, o, doc_id NULLS FIRST, pass ROWS UNBOUNDED PRECEDING) AS run FROM passes),
+got AS (SELECT doc_id, o, sum(size) AS taken FROM queued WHERE run <= (SELECT sum(size) * 150 // 100 FROM d) GROUP BY ALL)
+SELECT t.doc_id, t.size, t.source_size, t.target, coalesce(g.taken, 0)::BIGINT AS taken
+FROM timed t LEFT JOIN got g ON t.doc_id IS NOT DISTINCT FROM g.doc_id AND t.o = g.o
+""",
     "op9_jaccard_join": r"""
 WITH RECURSIVE w AS (
   SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS ws
