@@ -5,13 +5,21 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import jaccard, mixing, secret_scan
+from . import jaccard, language_id, mixing, piece_codec, secret_scan
+from .common import is_bucket
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, held_out = _table(spark, sf_dir, "documents"), is_bucket(F.col("doc_id"), 3, 1)
+    model = language_id.train(docs, F.col("doc_id").isNotNull() & ~held_out)
+    found = language_id.identify(docs.select("doc_id", held_out.alias("held_out"), "text"), model)
+    return found.drop("text")
+
+
 def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secret_scan.scan(_table(spark, sf_dir, "documents").select("doc_id", "text"))
     of = lambda k: F.size(F.filter("spans", lambda s: s["kind"] == k)).cast("long").alias(f"n_{k}")
@@ -24,11 +32,21 @@ def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op5_piece_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return piece_codec.digests(_table(spark, sf_dir, "documents"), _piece_model())
+
+
 def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.jaccard_join(_table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op3_secret_scan, op4_mixing, op9_jaccard_join)}
+def _piece_model() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("piece_bpe_32k.model")
+
+
+QUERIES = {f.__name__: f for f in (op1_language_id, op3_secret_scan, op4_mixing, op5_piece_codec, op9_jaccard_join)}
 
 ORACLES = {
     "op4_mixing": r"""
