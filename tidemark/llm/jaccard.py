@@ -64,7 +64,7 @@ def _digest(s: np.ndarray) -> int:
     return xxhash.xxh3_64_intdigest(s.tobytes()) - (1 << 63)
 
 
-def _sized(id_type: str, k: int):
+def _sized(k: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             sets = [shingle_set(t.as_py(), k) for t in b.column(2)]
@@ -270,14 +270,57 @@ def _joined(threshold: float):
     return run
 
 
+def _members_texts(bits: np.ndarray):
+    """Of (th, text), once in a task, those that may be members': by a bitmap of th."""
+    mask = len(bits) * 64 - 1
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[int] = set()
+        for b in batches:
+            th = b.column(0).to_numpy()
+            at = th & mask
+            hits = np.flatnonzero((bits[at >> 6] >> (at & 63).astype(np.uint64)) & np.uint64(1))
+            rows = []
+            for i in hits.tolist():
+                if th[i] not in seen:
+                    rows.append(i)
+                    if len(seen) < 1_000_000:
+                        seen.add(th[i])
+            if rows:
+                yield b.take(pa.array(rows))
+
+    return run
+
+
+def _bitmap(members: DataFrame, n: int, max_bits: int = 1 << 26) -> np.ndarray:
+    """Bits of the members' text hashes, modulo a size of 16 bits each, 8 MB at most.
+
+    A prefilter only: where it fills up it lets more pass to the join behind it.
+    """
+    size = 1 << 16
+    while size < min(16 * n, max_bits):
+        size *= 2
+    at = F.col("th").bitwiseAND(size - 1)
+    words = members.groupBy(F.shiftright(at, 6).alias("w")).agg(F.bit_or(F.expr(f"shiftleft(1L, cast(th & 63 as int))")).alias("b")).toPandas()
+    bits = np.zeros(size // 64, np.int64)
+    bits[words["w"].to_numpy(np.int64)] = words["b"].to_numpy(np.int64)
+    return bits.view(np.uint64)
+
+
 def _with_sets(k: int):
-    """Texts to (class, packed set)."""
+    """Replaces the text of a placed member by its packed set."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for t in b.column(0):
-                s = shingle_set(t.as_py(), k)
-                yield pa.RecordBatch.from_arrays([pa.array([_digest(s)], pa.int64()), pa.array([s.tobytes()], pa.binary())], ["cls", "shingles"])
+            cls, out, last = b.column(0).to_pylist(), [], (None, None)
+            for t in b.column(5):
+                t = t.as_py()
+                if last[0] != t:
+                    last = t, shingle_set(t, k)
+                out.append(last[1])
+            same = pa.array([_digest(s) == c for s, c in zip(out, cls)])  # not so for other texts of equal hash
+            made = pa.RecordBatch.from_arrays([*b.columns[:5], pa.array([s.tobytes() for s in out], pa.binary())], ["cls", "m", "g1", "g2", "side", "shingles"])
+            yield made.filter(same)
 
     return run
 
@@ -293,10 +336,14 @@ def jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     null. ``threshold`` counts to three decimals. Other columns of ``docs``
     are ignored.
     """
-    spark = docs.sparkSession
+    return _join_rows(docs, id_col, text_col, threshold, k, block).drop("th")
+
+
+def _join_rows(docs: DataFrame, id_col: str, text_col: str, threshold: float, k: int, block: int) -> DataFrame:
+    """:func:`jaccard_join`, with the hash of the text as ``th``."""
     rows = docs.select(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("th"), F.col(text_col).alias("text"))
     id_type = rows.schema["id"].dataType.simpleString()
-    sized = stash(rows.mapInArrow(_sized(id_type, k), f"id {id_type}, th long, n long, cls long"))
+    sized = stash(rows.mapInArrow(_sized(k), f"id {id_type}, th long, n long, cls long"))
     total = sized.agg(F.sum("n")).first()[0] or 0
     classes = stash(sized.where("n > 0").groupBy("cls").agg(F.count("*").alias("m"), F.min("id").alias("least_id"), F.min("th").alias("th"), F.min("n").alias("n")))
 
@@ -318,28 +365,28 @@ def jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     members = groups.join(classes, F.col("node") == F.col("cls")).join(large, "root", "left").select("cls", "m", "th", "root", "parts")
     members = stash(members)
     n_members = members.count()
-    texts = rows.select("th", "text").join(members.select("th").distinct(), "th", "left_semi").dropDuplicates(["th"])
-    sets = texts.select("text").mapInArrow(_with_sets(k), "cls long, shingles binary")
+    texts = rows.select("th", "text").mapInArrow(_members_texts(_bitmap(members, n_members)), "th long, text string").dropDuplicates(["th"])
     part = F.pmod(F.xxhash64("cls"), F.col("parts")).cast("int")
     other = F.explode(F.when(F.col("parts").isNull(), F.array(F.lit(-1))).otherwise(F.sequence(F.lit(0), F.col("parts") - 1)))
     placed = members.select("*", part.alias("part")).select("*", other.alias("q"))
     small_blocks = max(1, -(-n_members * 4 // block))
     lo, hi = F.least("part", "q"), F.greatest("part", "q")
     placed = placed.select(
-        "cls", "m",
+        "cls", "m", "th",
         F.when(F.col("parts").isNull(), F.pmod(F.xxhash64("root"), F.lit(small_blocks))).otherwise(F.col("root")).alias("g1"),
         F.when(F.col("parts").isNull(), F.lit(-1)).otherwise(lo * F.col("parts") + hi).alias("g2"),
         F.when(F.col("parts").isNull() | (lo == hi), F.lit(0)).when(F.col("part") == lo, F.lit(1)).otherwise(F.lit(2)).alias("side"),
     )
-    found = stash(placed.join(sets.dropDuplicates(["cls"]), "cls").groupBy("g1", "g2").applyInPandas(_joined(threshold), "cls long, links long, other long"))
+    sets = texts.join(placed, "th").select("cls", "m", "g1", "g2", "side", "text").mapInArrow(_with_sets(k), "cls long, m long, g1 long, g2 int, side int, shingles binary")
+    found = stash(sets.groupBy("g1", "g2").applyInPandas(_joined(threshold), "cls long, links long, other long"))
 
     links = found.where("links > 0").groupBy("cls").agg(F.sum("links").alias("links"))
     comps = connected_components(found.where("other is not null"), "cls", "other")
     of = classes.join(comps, F.col("cls") == F.col("node"), "left").select("cls", "m", "least_id", F.coalesce("root", "cls").alias("root"))
     least = of.groupBy("root").agg(F.min("least_id").alias("component_id"))
     of = stash(of.join(least, "root").join(links, "cls", "left").select("cls", "component_id", (F.coalesce("links", F.lit(0)) + F.col("m") - 1).alias("n_links")))
-    out = sized.where("n > 0").join(of, "cls").select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), "component_id", "n_links")
-    alone = sized.where("n = 0").select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), F.col("id").alias("component_id"), F.lit(0).cast("long").alias("n_links"))
+    out = sized.where("n > 0").join(of, "cls").select(F.col("id").alias(id_col), "th", F.col("n").alias("n_shingles"), "component_id", "n_links")
+    alone = sized.where("n = 0").select(F.col("id").alias(id_col), "th", F.col("n").alias("n_shingles"), F.col("id").alias("component_id"), F.lit(0).cast("long").alias("n_links"))
     for df in (members, groups):
         discard(df)
     return out.union(alone)
@@ -351,7 +398,10 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", th
     Of rows with that same id and equal texts one stays. Rows with empty sets
     all stay, as do rows with a null id whose component has no other id.
     """
-    found = jaccard_join(docs, id_col, text_col, threshold, k)
+    found = _join_rows(docs, id_col, text_col, threshold, k, BLOCK)
+    found = stash(found)
     gone = found.where(F.col(id_col) != F.col("component_id")).select(F.col(id_col).alias("_gone")).distinct()
     left = docs.join(gone, docs[id_col] == F.col("_gone"), "left_anti")
+    if found.groupBy(id_col, "th").count().where("count > 1").isEmpty():
+        return left
     return left.dropDuplicates([id_col, text_col])
