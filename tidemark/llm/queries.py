@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import jaccard, language_id, mixing, piece_codec, secret_scan
+from . import jaccard, language_id, lm_scoring, mixing, piece_codec, secret_scan
 from .common import is_bucket
 
 
@@ -20,6 +20,10 @@ def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.drop("text")
 
 
+def op2_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_scoring.score(_table(spark, sf_dir, "documents"), is_bucket(F.col("doc_id"), 7, 2))
+
+
 def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secret_scan.scan(_table(spark, sf_dir, "documents").select("doc_id", "text"))
     of = lambda k: F.size(F.filter("spans", lambda s: s["kind"] == k)).cast("long").alias(f"n_{k}")
@@ -46,7 +50,7 @@ def _piece_model() -> str:
     return public_tokenizers.path("piece_bpe_32k.model")
 
 
-QUERIES = {f.__name__: f for f in (op1_language_id, op3_secret_scan, op4_mixing, op5_piece_codec, op9_jaccard_join)}
+QUERIES = {f.__name__: f for f in (op1_language_id, op2_lm_scoring, op3_secret_scan, op4_mixing, op5_piece_codec, op9_jaccard_join)}
 
 ORACLES = {
     "op4_mixing": r"""
