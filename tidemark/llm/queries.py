@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import jaccard, language_id, lm_scoring, mixing, piece_codec, secret_scan
+from . import jaccard, language_id, lm_scoring, mixing, piece_codec, quality, secret_scan, url_filter
 from .common import is_bucket
 
 
@@ -40,6 +40,14 @@ def op5_piece_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     return piece_codec.digests(_table(spark, sf_dir, "documents"), _piece_model())
 
 
+def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.judge(_table(spark, sf_dir, "pages"))
+
+
+def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.classify(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.jaccard_join(_table(spark, sf_dir, "documents"))
 
@@ -50,7 +58,7 @@ def _piece_model() -> str:
     return public_tokenizers.path("piece_bpe_32k.model")
 
 
-QUERIES = {f.__name__: f for f in (op1_language_id, op2_lm_scoring, op3_secret_scan, op4_mixing, op5_piece_codec, op9_jaccard_join)}
+QUERIES = {f.__name__: f for f in (op1_language_id, op2_lm_scoring, op3_secret_scan, op4_mixing, op5_piece_codec, op7_url_filter, op8_quality, op9_jaccard_join)}
 
 ORACLES = {
     "op4_mixing": r"""
