@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import jaccard, language_id, lm_scoring, mixing, piece_codec, quality, secret_scan, url_filter
+from . import jaccard, language_id, lm_scoring, mixing, nearest, piece_codec, quality, secret_scan, url_filter, vector_dedup
 from .common import is_bucket
 
 
@@ -40,6 +40,10 @@ def op5_piece_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     return piece_codec.digests(_table(spark, sf_dir, "documents"), _piece_model())
 
 
+def op6_vector_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_dedup.near_duplicates(_table(spark, sf_dir, "embeddings"))
+
+
 def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge(_table(spark, sf_dir, "pages"))
 
@@ -52,13 +56,17 @@ def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.jaccard_join(_table(spark, sf_dir, "documents"))
 
 
+def op10_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest.search(_table(spark, sf_dir, "embeddings"))
+
+
 def _piece_model() -> str:
     import public_tokenizers
 
     return public_tokenizers.path("piece_bpe_32k.model")
 
 
-QUERIES = {f.__name__: f for f in (op1_language_id, op2_lm_scoring, op3_secret_scan, op4_mixing, op5_piece_codec, op7_url_filter, op8_quality, op9_jaccard_join)}
+QUERIES = {f.__name__: f for f in (op1_language_id, op2_lm_scoring, op3_secret_scan, op4_mixing, op5_piece_codec, op6_vector_dedup, op7_url_filter, op8_quality, op9_jaccard_join, op10_nearest)}
 
 ORACLES = {
     "op4_mixing": r"""
@@ -87,6 +95,18 @@ queued AS (
 got AS (SELECT doc_id, o, sum(size) AS taken FROM queued WHERE run <= (SELECT sum(size) * 150 // 100 FROM d) GROUP BY ALL)
 SELECT t.doc_id, t.size, t.source_size, t.target, coalesce(g.taken, 0)::BIGINT AS taken
 FROM timed t LEFT JOIN got g ON t.doc_id IS NOT DISTINCT FROM g.doc_id AND t.o = g.o
+""",
+    "op6_vector_dedup": r"""
+WITH RECURSIVE v AS (
+  SELECT vec_id, label, embedding::DOUBLE[] AS e FROM embeddings
+  WHERE embedding IS NOT NULL AND label IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+links AS (
+  SELECT a.vec_id AS x, b.vec_id AS y FROM v a JOIN v b ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.e) = len(b.e)
+  WHERE list_cosine_similarity(a.e, b.e) >= 0.93),
+reach(x, y) AS (SELECT x, y FROM links UNION SELECT r.x, l.y FROM reach r JOIN links l ON l.x = r.y),
+c AS (SELECT vec_id, least(vec_id, coalesce((SELECT min(y) FROM reach r WHERE r.x = vec_id), vec_id)) AS component_id FROM embeddings)
+SELECT vec_id, (SELECT count(*) FROM links l WHERE l.x = vec_id) AS n_links, component_id, vec_id = component_id AS kept FROM c
 """,
     "op9_jaccard_join": r"""
 WITH RECURSIVE w AS (
