@@ -7,9 +7,10 @@ classes link when ``intersection / union >= threshold``. Steps:
 2. *Shared prefixes.* With t the threshold, linked sets x and y share at least
    r of the first ``|x| - ceil(t|x|) + k`` hashes of x, in hash order, with the
    like prefix of y. Prefix hashes are dealt out, packed, by hash; a class with
-   fewer than r shared ones can have no link and goes. Of the rest, each takes
-   its rarest prefix hashes, as many as must meet a partner's; those
-   tie candidates together, so that a passage of many texts ties nothing.
+   fewer than r shared ones can have no link and goes. The few that stay deal out
+   their whole sets: at least ``ceil(t|x|)`` hashes must be shared. Of these each
+   takes its rarest, as many as must meet a partner's; they tie
+   candidates together, so that a passage of many texts ties nothing.
 3. *Blocks.* Components of these ties are dealt out in blocks: small components
    share blocks, large ones are split in parts, with a block for each pair of
    parts.
@@ -109,21 +110,62 @@ def _prefixes(k: int, threshold: float, buckets: int):
     return run
 
 
-def _shared(table: pa.Table) -> pa.Table:
-    """Of one bucket: the hashes that at least two classes have, with how many
-    classes have each and the smallest of these."""
+def _shared_counts(table: pa.Table) -> pa.Table:
+    """Of one bucket of prefixes: how many hashes a class shares with others."""
     h = np.concatenate([np.frombuffer(x.as_buffer(), np.uint64) for x in table["h"]])
     o = np.concatenate([np.frombuffer(x.as_buffer(), np.int64) for x in table["o"]])
+    o, count = np.unique(_owned(h, o)[1], return_counts=True)
+    return pa.table([o, count.astype(np.int64)], ["cls", "shared"])
+
+
+def _owned(h: np.ndarray, o: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(hash, owner, number of owners, least owner) of hashes with two owners or more."""
     order = np.lexsort((o, h))
     h, o = h[order], o[order]
-    new = np.r_[True, (h[1:] != h[:-1]) | (o[1:] != o[:-1])]  # tasks may repeat a class
-    h, o = h[new], o[new]
-    first = np.flatnonzero(np.r_[True, h[1:] != h[:-1]])
+    if len(h):
+        new = np.r_[True, (h[1:] != h[:-1]) | (o[1:] != o[:-1])]  # tasks may repeat a class
+        h, o = h[new], o[new]
+    first = np.flatnonzero(np.r_[True, h[1:] != h[:-1]]) if len(h) else np.zeros(0, np.int64)
     df = np.diff(np.r_[first, len(h)])
     lead, count = np.repeat(o[first], df), np.repeat(df, df)
     keep = count > 1
-    h, o, lead, count = h[keep], o[keep], lead[keep], count[keep]
-    return pa.table([o, count.astype(np.int64), h.view(np.int64), lead], ["cls", "df", "h", "lead"])
+    return h[keep], o[keep], count[keep].astype(np.int64), lead[keep]
+
+
+def _dealt(k: int, buckets: int):
+    """Packed whole sets of (class, text), by bucket: hashes, and runs of classes."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            sets = [shingle_set(t.as_py(), k) for t in b.column(0)]
+            h = np.concatenate(sets) if sets else np.zeros(0, np.uint64)
+            o = np.repeat(np.array([_digest(s) for s in sets], np.int64), [len(s) for s in sets])
+            at = (h >> np.uint64(40)).astype(np.int64) % buckets
+            order = np.argsort(at, kind="stable")
+            at, h, o = at[order], h[order], o[order]
+            cuts = np.r_[0, np.flatnonzero(np.diff(at)) + 1, len(at)]
+            rows = []
+            for a, e in zip(cuts[:-1], cuts[1:]):
+                own = o[a:e]
+                starts = np.r_[0, np.flatnonzero(np.diff(own)) + 1]
+                rows.append((at[a], h[a:e].tobytes(), own[starts].tobytes(), np.diff(np.r_[starts, e - a]).astype(np.int32).tobytes()))
+            rows = [r for r in rows if r[1]]
+            yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int64()), *[pa.array([r[j] for r in rows], pa.binary()) for j in (1, 2, 3)]], ["bucket", "h", "o", "runs"])
+
+    return run
+
+
+def _shared(table: pa.Table) -> pa.Table:
+    """Of one bucket of whole sets, per class: the hashes that others have too, as
+    arrays of how many classes have each and of the least of these."""
+    h = np.concatenate([np.frombuffer(x.as_buffer(), np.uint64) for x in table["h"]])
+    o = np.concatenate([np.repeat(np.frombuffer(x.as_buffer(), np.int64), np.frombuffer(r.as_buffer(), np.int32)) for x, r in zip(table["o"], table["runs"])])
+    h, o, df, lead = _owned(h, o)
+    order = np.argsort(o, kind="stable")
+    h, o, df, lead = h[order], o[order], df[order], lead[order]
+    cuts = np.r_[0, np.flatnonzero(np.diff(o)) + 1, len(o)].astype(np.int32) if len(o) else np.zeros(1, np.int32)
+    parts = pa.StructArray.from_arrays([pa.array(df), pa.array(h.view(np.int64)), pa.array(lead)], ["df", "h", "lead"])
+    return pa.table([pa.array(o[cuts[:-1]]), pa.ListArray.from_arrays(pa.array(cuts), parts)], ["cls", "l"])
 
 
 class SignatureTree:
@@ -347,25 +389,26 @@ def _join_rows(docs: DataFrame, id_col: str, text_col: str, threshold: float, k:
     total = sized.agg(F.sum("n")).first()[0] or 0
     classes = stash(sized.where("n > 0").groupBy("cls").agg(F.count("*").alias("m"), F.min("id").alias("least_id"), F.min("th").alias("th"), F.min("n").alias("n")))
 
-    buckets = int(max(96, total // 400_000))
-    packed = rows.select("text").mapInArrow(_prefixes(k, threshold, buckets), "bucket long, h binary, o binary")
-    shared = packed.groupBy("bucket").applyInArrow(_shared, "cls long, df long, h long, lead long")
-    # sizes decide how many must be shared, and how many rare ones meet a partner
     need = F.ceil(F.lit(threshold) * F.col("n") - 1e-9)
-    length = F.least(F.col("n"), F.col("n") - need + 1 + F.floor(F.lit(SLACK) * F.col("n")))
     r = 1 + F.floor(F.lit(SLACK) * need)
-    lists = shared.groupBy("cls").agg(F.collect_list(F.struct("df", "h", "lead")).alias("l")).join(classes.select("cls", "n"), "cls")
-    lists = lists.withColumn("p", length).withColumn("r", r).where("size(l) >= r")
-    take = F.col("p") - F.col("r") + 1 - (F.col("p") - F.size("l"))
-    ties = lists.select("cls", F.explode(F.array_distinct(F.transform(F.slice(F.array_sort("l"), F.lit(1), F.greatest(take, F.lit(0)).cast("int")), lambda x: x["lead"]))).alias("lead")).where("lead != cls")
+    packed = rows.select("text").mapInArrow(_prefixes(k, threshold, int(max(96, total // 1_500_000))), "bucket long, h binary, o binary")
+    counts = packed.groupBy("bucket").applyInArrow(_shared_counts, "cls long, shared long").groupBy("cls").agg(F.sum("shared").alias("shared"))
+    first = stash(counts.join(classes, "cls").where(F.col("shared") >= r).select("cls", "m", "th", "n"))
+    n_first, sum_first = first.agg(F.count("*"), F.coalesce(F.sum("n"), F.lit(0))).first()
+    texts = rows.select("th", "text").mapInArrow(_members_texts(_bitmap(first, n_first)), "th long, text string").dropDuplicates(["th"])
+    texts = stash(texts.join(first.select("th").distinct(), "th", "left_semi"))
+
+    whole = texts.select("text").mapInArrow(_dealt(k, int(max(96, sum_first // 400_000))), "bucket long, h binary, o binary, runs binary")
+    shared = whole.groupBy("bucket").applyInArrow(_shared, "cls long, l array<struct<df:long,h:long,lead:long>>")
+    lists = shared.groupBy("cls").agg(F.flatten(F.collect_list("l")).alias("l")).join(first, "cls").where(F.size("l") >= need)
+    rarest = F.slice(F.array_sort("l"), F.lit(1), (F.size("l") - need + 1).cast("int"))
+    ties = lists.select("cls", F.explode(F.array_distinct(F.transform(rarest, lambda x: x["lead"]))).alias("lead")).where("lead != cls")
     groups = connected_components(ties, "cls", "lead")
     groups = stash(groups)
 
     large = groups.groupBy("root").count().where(F.col("count") > block).select("root", F.ceil(F.col("count") / (block // 2)).cast("int").alias("parts"))
-    members = groups.join(classes, F.col("node") == F.col("cls")).join(large, "root", "left").select("cls", "m", "th", "root", "parts")
-    members = stash(members)
+    members = stash(groups.join(first, F.col("node") == F.col("cls")).join(large, "root", "left").select("cls", "m", "th", "root", "parts"))
     n_members = members.count()
-    texts = rows.select("th", "text").mapInArrow(_members_texts(_bitmap(members, n_members)), "th long, text string").dropDuplicates(["th"])
     part = F.pmod(F.xxhash64("cls"), F.col("parts")).cast("int")
     other = F.explode(F.when(F.col("parts").isNull(), F.array(F.lit(-1))).otherwise(F.sequence(F.lit(0), F.col("parts") - 1)))
     placed = members.select("*", part.alias("part")).select("*", other.alias("q"))
@@ -387,7 +430,7 @@ def _join_rows(docs: DataFrame, id_col: str, text_col: str, threshold: float, k:
     of = stash(of.join(least, "root").join(links, "cls", "left").select("cls", "component_id", (F.coalesce("links", F.lit(0)) + F.col("m") - 1).alias("n_links")))
     out = sized.where("n > 0").join(of, "cls").select(F.col("id").alias(id_col), "th", F.col("n").alias("n_shingles"), "component_id", "n_links")
     alone = sized.where("n = 0").select(F.col("id").alias(id_col), "th", F.col("n").alias("n_shingles"), F.col("id").alias("component_id"), F.lit(0).cast("long").alias("n_links"))
-    for df in (members, groups):
+    for df in (members, groups, texts, first):
         discard(df)
     return out.union(alone)
 
