@@ -76,8 +76,8 @@ def labelled_samples(rows: DataFrame, n_rows: int, sample_rows: int = 2000) -> D
 def train(samples: DataFrame) -> list[float]:
     """Log-likelihood ratios, random to ordinary, of each character after each.
 
-    ``samples`` is ``(token, random)``; add-half smoothed bigram models, flat
-    list by ``code(previous) * SIZE + code(next)``, code 0 standing for the start
+    ``samples`` is ``(token, random)``; bigram models smoothed toward single
+    characters, and these by a half, as a flat list by ``code(previous) * SIZE + code(next)``, code 0 standing for the start
     and for characters outside of the alphabet. At most SIZE * SIZE * 2 counts
     come to the driver.
     """
@@ -86,11 +86,16 @@ def train(samples: DataFrame) -> list[float]:
         F.when(i > 1, F.substring("token", i - 1, 1)).otherwise("").alias("a"), F.substring("token", i, 1).alias("b")))).alias("p"))
     pairs = pairs.groupBy("random", "p").count()
     counts = pairs.groupBy("random", F.when(F.col("p.a") == "", 0).otherwise(code(F.col("p.a"))).alias("a"), code(F.col("p.b")).alias("b")).agg(F.sum("count").alias("n")).collect()
-    table = {True: [[0.5] * SIZE for _ in range(SIZE)], False: [[0.5] * SIZE for _ in range(SIZE)]}
-    for r in counts:
-        table[r["random"]][r["a"]][r["b"]] += r["n"]
-    sums = {k: [sum(row) for row in v] for k, v in table.items()}
-    return [math.log(table[True][a][b] / sums[True][a]) - math.log(table[False][a][b] / sums[False][a]) for a in range(SIZE) for b in range(SIZE)]
+    logs = {}
+    for kind in (True, False):
+        n = [[0.0] * SIZE for _ in range(SIZE)]
+        for r in counts:
+            if r["random"] == kind:
+                n[r["a"]][r["b"]] += r["n"]
+        alone = [sum(row[b] for row in n) + 0.5 for b in range(SIZE)]
+        share = [x / sum(alone) for x in alone]
+        logs[kind] = [math.log((row[b] + 5 * share[b]) / (sum(row) + 5)) for row in n for b in range(SIZE)]
+    return [x - y for x, y in zip(logs[True], logs[False])]
 
 
 def ratio_sql(token: str, table: str) -> str:
