@@ -72,17 +72,17 @@ def g0_style(sql: str) -> list[str]:
         tokens = tokenize(sql)
     except QueryError as e:
         return [*out, str(e)]
-    depth_cast = []
+    opened: list[str] = []  # the words before the brackets that are open
     for k, t in enumerate(tokens):
         if t.text == "(" and t.kind == "op":
-            depth_cast.append(k > 0 and tokens[k - 1].upper in ("CAST", "TRY_CAST"))
+            opened.append(tokens[k - 1].upper if k else "")
         elif t.text == ")" and t.kind == "op":
-            depth_cast.pop()
+            opened.pop()
         after = tokens[k + 1] if k + 1 < len(tokens) else Token("op", "")
-        if t.upper == "AS" and after.kind == "word" and not (depth_cast and depth_cast[-1]):
+        if t.upper == "AS" and after.kind == "word" and (not opened or opened[-1] not in ("CAST", "TRY_CAST")):
             out.append(f"alias {after.text!r} is not quoted")
         if t.upper in ("GROUP", "ORDER") and after.upper == "BY":
-            in_window = any(x.upper == "OVER" and x2.text == "(" for x, x2 in zip(tokens[max(0, k - 12) : k], tokens[max(0, k - 11) : k])) and t.upper == "ORDER"
+            in_window = bool(opened) and opened[-1] == "OVER"
             end, depth = k + 2, 0
             while end < len(tokens) and depth >= 0 and not (not depth and tokens[end].upper in ("HAVING", "ORDER", "LIMIT", "OFFSET", "UNION", "QUALIFY", "ROWS", "RANGE")):
                 depth += (tokens[end].text == "(") - (tokens[end].text == ")")
