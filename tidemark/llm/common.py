@@ -9,6 +9,7 @@ from collections.abc import Iterator
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 #: ASCII white space that separates words; everything else belongs to a word.
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -33,11 +34,16 @@ def stash(df: DataFrame) -> DataFrame:
     """Write ``df`` as a table in the shared folder and read it back.
 
     Cuts the lineage: a lost executor costs no more than the tasks it ran.
-    The files go when the application ends, or by :func:`discard`.
+    The shuffle files of the write are freed at its end. The table's files go when the application ends, or by :func:`discard`.
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/stash-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    before = spark.conf.get(_CLEANUP, "false")
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(_CLEANUP, before)
     hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
     hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(hadoop)
     out = spark.read.schema(df.schema).parquet(path)
