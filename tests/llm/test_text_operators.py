@@ -141,6 +141,7 @@ def test_redaction(spark):
     df = spark.createDataFrame(rows_of(["é token = 'abcdefghijkl' end", None, "clean text"]), SCHEMA)
     got = secret_scan.redact(df)
     assert got.columns == df.columns
+    assert {r.spans for r in got.collect()} == {"z"}
     assert {r.doc_id: r.text for r in got.collect()} == {0: "é [SECRET]' end", 1: None, 2: "clean text"}
 
 

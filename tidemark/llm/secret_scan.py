@@ -105,13 +105,13 @@ def ratio_sql(token: str, table: str) -> str:
                                  'a', instr('{ALPHABET}', substring({token}, i, 1))), acc -> acc.s)"""
 
 
-def scan(docs: DataFrame, text_col: str = "text", model: list[float] | None = None, nats_per_char: float = 1.0) -> DataFrame:
-    """``docs`` with ``spans``: all spans (start, order of kind, end, kind), sorted.
+def scan(docs: DataFrame, text_col: str = "text", model: list[float] | None = None, nats_per_char: float = 1.0, out: str = "spans") -> DataFrame:
+    """``docs`` with ``spans`` (or as ``out`` says): all spans (start, order of kind, end, kind), sorted.
 
     Null texts count as empty; a text without secrets has an empty array. Texts
     are scanned whole. The model's spans, those of a mean ratio over
-    ``nats_per_char``, touch none of the rules'. Columns of ``docs`` called
-    ``spans`` or starting with an underscore and a kind are replaced.
+    ``nats_per_char``, touch none of the rules'. A column of ``docs`` of that
+    name is replaced.
     """
     if model is None:
         rows = docs.select(F.col(text_col).alias("text"))
@@ -126,7 +126,7 @@ def scan(docs: DataFrame, text_col: str = "text", model: list[float] | None = No
     df = df.withColumn("_secret_base", F.concat(*[F.col(taken[k]) for k in KINDS[:3]]))
     df = df.withColumn(taken["random"], F.expr(f"""filter({taken['random']}, s -> NOT exists(_secret_base, b -> b.start < s.end AND b.end > s.start)
         AND {ratio_sql('s.v', '_secret_table')} > {nats_per_char} * (s.end - s.start))"""))
-    df = df.withColumn("spans", F.array_sort(F.concat("_secret_base", F.expr(f"transform({taken['random']}, s -> named_struct('start', s.start, 'k', 3, 'end', s.end, 'kind', 'random'))"))))
+    df = df.withColumn(out, F.array_sort(F.concat("_secret_base", F.expr(f"transform({taken['random']}, s -> named_struct('start', s.start, 'k', 3, 'end', s.end, 'kind', 'random'))"))))
     return df.drop("_secret_text", "_secret_table", "_secret_base", *taken.values())
 
 
@@ -150,9 +150,9 @@ def redact(docs: DataFrame, text_col: str = "text", mask: str = "[SECRET]", mode
     Overlapping spans are replaced together; null texts stay null. Columns and
     their order are those of ``docs``.
     """
-    df = scan(docs, text_col, model)
+    df = scan(docs, text_col, model, out="_secret_spans")
     t = f"`{text_col}`"
-    cut = F.expr(f"""CASE WHEN size(spans) > 0 THEN aggregate(spans, named_struct('at', 0, 'out', ''),
+    cut = F.expr(f"""CASE WHEN size(_secret_spans) > 0 THEN aggregate(_secret_spans, named_struct('at', 0, 'out', ''),
         (acc, s) -> CASE WHEN s.end <= acc.at THEN acc
             ELSE named_struct('at', s.end, 'out', concat(acc.out, CASE WHEN s.start >= acc.at THEN concat(substring({t}, acc.at + 1, s.start - acc.at), '{mask}') ELSE '' END)) END,
         acc -> concat(acc.out, substring({t}, acc.at + 1))) ELSE {t} END""")
