@@ -76,8 +76,9 @@ def labelled_samples(rows: DataFrame, n_rows: int, sample_rows: int = 2000) -> D
 def train(samples: DataFrame) -> list[float]:
     """Log-likelihood ratios, random to ordinary, of each character after each.
 
-    ``samples`` is ``(token, random)``; bigram models smoothed toward single
-    characters, and these by a half, as a flat list by ``code(previous) * SIZE + code(next)``, code 0 standing for the start
+    ``samples`` is ``(token, random)``; bigram models, less one occurrence each
+    so that a lone secret among the ordinary tokens counts nothing, smoothed
+    toward single characters, and these by a half, as a flat list by ``code(previous) * SIZE + code(next)``, code 0 standing for the start
     and for characters outside of the alphabet. At most SIZE * SIZE * 2 counts
     come to the driver.
     """
@@ -91,7 +92,7 @@ def train(samples: DataFrame) -> list[float]:
         n = [[0.0] * SIZE for _ in range(SIZE)]
         for r in counts:
             if r["random"] == kind:
-                n[r["a"]][r["b"]] += r["n"]
+                n[r["a"]][r["b"]] += r["n"] - 1
         alone = [sum(row[b] for row in n) + 0.5 for b in range(SIZE)]
         share = [x / sum(alone) for x in alone]
         logs[kind] = [math.log((row[b] + 5 * share[b]) / (sum(row) + 5)) for row in n for b in range(SIZE)]
