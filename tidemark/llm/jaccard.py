@@ -101,7 +101,7 @@ def _prefixes(k: int, threshold: float, buckets: int):
                 hashes.append(p)
                 owners.append(np.full(len(p), d, np.int64))
                 held += len(p)
-                if held > 4_000_000:
+                if held > 1_000_000:
                     yield flush()
                     hashes, owners, held = [], [], 0
         if held:

@@ -14,7 +14,7 @@ class _Words(dict):
     """Hashes of words, kept for the words met most recently."""
 
     def __missing__(self, word: bytes) -> int:
-        if len(self) > 400_000:
+        if len(self) > 150_000:
             self.clear()
         h = self[word] = xxhash.xxh3_64_intdigest(word)
         return h
