@@ -159,7 +159,7 @@ class PieceModel:
         ids = self.ids(segment)
         got = " ".join(map(str, ids)), len(ids), self.decode([self.id_of[MARK], *ids]) if MARK in self.id_of else ""
         if len(segment) <= 64:
-            if len(self.known) > 600_000:
+            if len(self.known) > 350_000:
                 self.known.clear()
             self.known[segment] = got
         return got
