@@ -118,3 +118,31 @@ def test_search_recall(spark):
         s[q] = -np.inf
         hits += len(found[q] & set(np.argsort(-s)[:20].tolist()))
     assert hits / (200 * 20) >= 0.9
+
+
+@pytest.mark.parametrize("kind", ["outlier", "spread"])
+def test_search_recall_whatever_the_norms(spark, kind):
+    rng = np.random.default_rng(9)
+    x = rng.normal(size=(4000, 32))
+    if kind == "outlier":
+        x /= np.linalg.norm(x, axis=1, keepdims=True)
+        x[7] *= 10
+    else:
+        x *= np.exp(rng.normal(size=(4000, 1)))
+    found: dict = {}
+    for r in nearest.search(spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")).collect():
+        found.setdefault(r.query_id, set()).add(r.vec_id)
+    hits = 0
+    for q in range(0, 4000, 20):
+        s = x @ x[q]
+        s[q] = -np.inf
+        hits += len(found[q] & set(np.argsort(-s)[:20].tolist()))
+    assert all(len(v) == 20 for v in found.values()) and len(found) == 200
+    assert hits / (200 * 20) >= 0.9
+
+
+def test_search_fills_up_where_buckets_hold_too_little(spark):
+    x = np.random.default_rng(9).normal(size=(2000, 32))
+    rows = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    got = nearest.search(rows, tables=1, probes=1).groupBy("query_id").count().collect()
+    assert [r["count"] for r in got] == [20] * 100

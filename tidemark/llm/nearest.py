@@ -1,11 +1,14 @@
 """Approximate nearest neighbours by cross-polytope hashing.
 
-Nearness is the inner product. Vectors are scaled by the largest norm and get
-one more component that makes them unit vectors, so that the nearest by inner
-product are the nearest by angle. Each table rotates them by sign flips and fast
-Hadamard transforms, three times over, and hashes to the nearest signed axis. A
-query probes in each table its likeliest axes; what the probed buckets hold is
-reranked by the exact inner product of the original vectors, bucket by bucket.
+Nearness is the inner product. Vectors are parted by norm into ranges; those of
+a range are scaled by its largest norm and get one more component that makes
+them unit vectors, so that the nearest by inner product are the nearest by
+angle. Each table rotates them by sign flips and fast Hadamard transforms, three
+times over, and hashes to the nearest signed axis. A query probes in each table
+of each range its likeliest axes; what the probed buckets hold is reranked by
+the exact inner product of the original vectors, bucket by bucket. Ranges of few
+vectors are searched whole, ranges whose norms cannot reach the answer not at
+all, and queries that find too few candidates are compared with every vector.
 
 Equal vectors form one class of which the smallest ids matter alone: the others
 come after these in any answer. Buckets are cut in parts of bounded size.
@@ -25,6 +28,10 @@ from .common import stash
 from .vectors import is_usable, packed
 
 TABLES, PROBES, PART = 16, 10, 8192
+#: Ranges of at most so many times k vectors are searched whole.
+WHOLE = 64
+#: Steps of norms to a doubling; a hashed range spans a doubling.
+STEPS = 8
 
 
 def hadamard(x: np.ndarray) -> np.ndarray:
@@ -62,17 +69,96 @@ class CrossPolytope:
         return np.take_along_axis(top, np.argsort(-np.take_along_axis(both, top, axis=1), axis=1, kind="stable"), axis=1)
 
 
-def _hashed(hasher: CrossPolytope, largest: float, probes: int, query: bool):
+class Ranges:
+    """Ranges of norms, the largest first, from ``(step, n, largest norm)`` of each step."""
+
+    def __init__(self, steps: list[tuple[int, int, float]], few: int):
+        self.lows, self.largest, self.whole, n = [], [], [], 0
+        for step, count, norm in sorted(steps, reverse=True):
+            hashable = 0 < norm < np.inf
+            if self.lows and n + count <= few and self.whole[-1]:
+                n += count
+            elif self.lows and hashable and top - step < STEPS and np.isfinite(self.largest[-1]):
+                n += count
+            else:
+                self.lows.append(step)
+                self.largest.append(norm)
+                self.whole.append(True)
+                n, top = count, step
+            self.lows[-1] = step
+            self.whole[-1] = n <= few or not hashable or not np.isfinite(self.largest[-1])
+
+    def of(self, steps: np.ndarray) -> np.ndarray:
+        return np.searchsorted(-np.array(self.lows), -steps)
+
+
+def _keyed(b: pa.RecordBatch, at: list[np.ndarray], keys: list[np.ndarray]) -> pa.RecordBatch:
+    """``b`` with the lists of ``keys``, whose rows are ``at``."""
+    rows = np.concatenate([np.zeros(0, np.int64), *(np.repeat(r, k.shape[1]) for r, k in zip(at, keys))])
+    flat = np.concatenate([np.zeros(0, np.int64), *(k.ravel() for k in keys)])[np.argsort(rows, kind="stable")]
+    ends = np.r_[0, np.cumsum(np.bincount(rows, minlength=len(b)))]
+    return pa.RecordBatch.from_arrays([*b.columns, pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat, pa.int64()))], [*b.schema.names, "buckets"])
+
+
+def _keys(hasher: CrossPolytope, unit: np.ndarray, probes: int) -> np.ndarray:
+    return np.concatenate([hasher.buckets(unit, t, probes) + t * 2 * hasher.n for t in range(len(hasher.signs))], axis=1)
+
+
+def _hashed_entries(hasher: CrossPolytope, ranges: Ranges, spread: int):
+    """Adds the buckets of ``(cls, v, step)``; whole ranges are one bucket for each part of the queries, below 0."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             if not len(b):
                 continue
-            x = packed(b.column(1))
-            norm = np.linalg.norm(x, axis=1, keepdims=True)
-            # only the last component tells queries from entries: it raises entries to unit length
-            unit = np.c_[x / norm, np.zeros(len(x))] if query else np.c_[x / largest, np.sqrt(np.maximum(0, 1 - (norm[:, 0] / largest) ** 2))]
-            keys = np.concatenate([hasher.buckets(unit, t, probes) + t * 2 * hasher.n for t in range(len(hasher.signs))], axis=1)
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(keys.tolist(), pa.list_(pa.int64()))], [*b.schema.names, "buckets"])
+            x, of = packed(b.column(1)), ranges.of(b.column(2).to_numpy())
+            at, keys = [], []
+            for r in np.unique(of).tolist():
+                rows = np.flatnonzero(of == r)
+                at.append(rows)
+                if ranges.whole[r]:
+                    keys.append(np.tile(-1 - r * spread - np.arange(spread), (len(rows), 1)))
+                    continue
+                y = x[rows] / ranges.largest[r]
+                # only the last component tells queries from entries: it raises entries to unit length
+                unit = np.c_[y, np.sqrt(np.maximum(0, 1 - (y * y).sum(axis=1)))]
+                keys.append(_keys(hasher, unit, 1) + r * len(hasher.signs) * 2 * hasher.n)
+            yield _keyed(b, at, keys)
+
+    return run
+
+
+def _hashed_queries(hasher: CrossPolytope, ranges: Ranges, spread: int, probes: int, k: int, longest: np.ndarray):
+    """Adds the buckets that ``(id, v, cls)`` probes, in the ranges that can hold one of its ``k`` nearest.
+
+    ``longest`` are vectors of different rows: but one of them are candidates of
+    any query, and so the k + 1st of their scores is one that the kth nearest has.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for b in (whole.slice(a, 1024) for a in range(0, len(whole), 1024)):
+                x = packed(b.column(1))
+                y = x / np.abs(x).max(axis=1, keepdims=True)
+                norm = np.linalg.norm(y, axis=1, keepdims=True)
+                low = np.full(len(x), -np.inf)  # by the query's norm
+                if len(longest) > k:
+                    low = np.partition(y / norm @ longest.T, -k - 1, axis=1)[:, -k - 1]
+                low -= 1e-9 * np.abs(low)
+                part = b.column(0).to_numpy() % spread
+                probed, at, keys = None, [], []
+                for r, largest in enumerate(ranges.largest):
+                    rows = np.flatnonzero(~(low > largest))
+                    if not len(rows):
+                        continue
+                    at.append(rows)
+                    if ranges.whole[r]:
+                        keys.append(-1 - r * spread - part[rows, None])
+                        continue
+                    if probed is None:
+                        probed = _keys(hasher, np.c_[y / norm, np.zeros(len(y))], probes)
+                    keys.append(probed[rows] + r * len(hasher.signs) * 2 * hasher.n)
+                yield _keyed(b, at, keys)
 
     return run
 
@@ -100,8 +186,8 @@ def search(vectors: DataFrame, is_query: Column | None = None, k: int = 20, id_c
 
     Queries are the rows where ``is_query`` holds, by default those whose id is
     divisible by 20; candidates are all rows but the query's own. Ties go to the
-    smaller id. Tables of few distinct vectors are probed in every bucket, so
-    with fewer candidates than ``k`` all come. Vectors that are null, empty,
+    smaller id. Few distinct vectors are searched whole, and queries that find
+    fewer than ``k`` again in all vectors, so with fewer candidates all come. Vectors that are null, empty,
     zero or hold null or non-finite components, rows with null ids, and vectors
     of another length than the query's take no part. Of rows with equal ids and
     vectors one takes part; ids with several vectors are several candidates.
@@ -111,36 +197,65 @@ def search(vectors: DataFrame, is_query: Column | None = None, k: int = 20, id_c
     usable = vectors.where(is_usable(F.col(vec_col)) & F.col(id_col).isNotNull())
     rows = usable.select(F.col(id_col).cast("long").alias("id"), F.col(vec_col).cast("array<double>").alias("v"), F.coalesce(is_query, F.lit(False)).alias("query"))
     # + 0.0 makes -0.0 and 0.0 one
-    rows = stash(rows.withColumn("v", F.transform("v", lambda x: x + F.lit(0.0))).withColumn("cls", F.xxhash64("v")))
+    rows = rows.withColumn("v", F.transform("v", lambda x: x + F.lit(0.0))).withColumn("cls", F.xxhash64("v"))
+    rows = rows.withColumn("norm", F.sqrt(F.aggregate("v", F.lit(0.0), lambda s, x: s + x * x)))
+    # norms under- or overflown have steps of their own
+    step = F.when(F.col("norm") == 0, -(1 << 20)).when(F.col("norm") == float("inf"), 1 << 20).otherwise(F.floor(F.log2("norm") * STEPS))
+    rows = stash(rows.withColumn("step", step.cast("long")))
     out = None
-    for r in rows.groupBy(F.size("v").alias("d")).agg(F.max(F.aggregate("v", F.lit(0.0), lambda s, x: s + x * x)).alias("top")).collect():
-        part = _search_dim(rows.where(F.size("v") == r["d"]), r["d"], float(np.sqrt(r["top"])), k, tables, probes)
+    for r in rows.select(F.size("v").alias("d")).distinct().collect():
+        part = _search_dim(rows.where(F.size("v") == r["d"]), r["d"], k, tables, probes)
         out = part if out is None else out.union(part)
     if out is None:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
     return out
 
 
-def _search_dim(rows: DataFrame, dims: int, largest: float, k: int, tables: int, probes: int) -> DataFrame:
+def _search_dim(rows: DataFrame, dims: int, k: int, tables: int, probes: int) -> DataFrame:
     hasher = CrossPolytope(dims + 1, tables)
     least = Window.partitionBy("cls").orderBy("id")
     # of a class only the k + 1 smallest ids can come up; each task keeps its own first ones
     members = rows.select("cls", "id").withColumn("nth", F.row_number().over(least)).where(F.col("nth") <= k + 1).select("cls", "id")
     members = stash(members.distinct())
-    classes = rows.groupBy("cls").agg(F.first("v").alias("v"))
-    if rows.select("cls").distinct().count() <= 64 * k:
-        hasher = CrossPolytope(dims + 1, 1)  # few distinct vectors: every bucket of one table
-        probes = 2 * hasher.n
-    entries = stash(classes.select("cls", "v").mapInArrow(_hashed(hasher, largest, 1, False), "cls long, v array<double>, buckets array<long>"))
+    classes = rows.groupBy("cls").agg(F.first("v").alias("v"), F.first("step").alias("step"), F.first("norm").alias("norm"), F.min("id").alias("least"))
+    steps = rows.select("cls", "step", "norm").distinct().groupBy("step").agg(F.count("*"), F.max("norm")).collect()
+    ranges = Ranges([tuple(r) for r in steps], WHOLE * k)
+    longest = np.zeros((0, dims))
+    if len(ranges.lows) > 1:
+        # of rows that share an id, one: others may be a query's own
+        top = classes.orderBy(F.desc("norm")).limit(WHOLE * k).select("least", "v").toArrow()
+        longest = packed(top["v"])[np.unique(top["least"].to_numpy(), return_index=True)[1]]
+    asked = rows.where("query").select("id", "v", "cls").dropDuplicates(["id", "cls"])
+    spread = max(1, -(-asked.count() // PART))
+    entries = stash(classes.select("cls", "v", "step").mapInArrow(_hashed_entries(hasher, ranges, spread), "cls long, v array<double>, step long, buckets array<long>"))
+    probing = asked.mapInArrow(_hashed_queries(hasher, ranges, spread, probes, k, longest), "id long, v array<double>, cls long, buckets array<long>")
+    ranked = _ranked(_found(probing, entries, k), members, k)
+    if all(ranges.whole):
+        return ranked
+    ranked = stash(ranked)
+    short = stash(asked.join(ranked.where(F.col("rank") == k).select(F.col("query_id").alias("id")), "id", "left_anti"))
+    spread = -(-short.count() // PART)
+    if not spread:
+        return ranked
+    probing = short.select("id", "v", "cls", F.array(F.pmod("id", F.lit(spread))).alias("buckets"))
+    everywhere = entries.select("cls", "v", F.sequence(F.lit(0).cast("long"), F.lit(spread - 1).cast("long")).alias("buckets"))
+    again = _ranked(_found(probing, everywhere, k), members, k)
+    return ranked.join(short.select(F.col("id").alias("query_id")).distinct(), "query_id", "left_anti").union(again)
+
+
+def _found(asked: DataFrame, entries: DataFrame, k: int) -> DataFrame:
+    """``(q, cls, score)``: the best classes of each query in the buckets that it probes."""
     entries = entries.select("cls", "v", F.explode("buckets").alias("bucket"))
     sizes = entries.groupBy("bucket").agg(F.ceil(F.count("*") / PART).cast("int").alias("parts"))
     entries = entries.join(sizes, "bucket").withColumn("part", F.pmod(F.hash("cls"), F.col("parts")))
-    asked = rows.where("query").select("id", "v", "cls").dropDuplicates(["id", "cls"]).mapInArrow(_hashed(hasher, largest, probes, True), "id long, v array<double>, cls long, buckets array<long>")
     asked = asked.select(F.col("id").alias("q"), "v", "cls", F.explode("buckets").alias("bucket")).join(sizes, "bucket").withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
     found = asked.groupBy("bucket", "part").cogroup(entries.select("bucket", "part", "cls", "v").groupBy("bucket", "part")).applyInPandas(_reranked(k), "q long, cls long, score double")
     found = found.groupBy("q", "cls").agg(F.max("score").alias("score"))
     best = Window.partitionBy("q").orderBy(F.desc("score"), "cls")
-    found = found.withColumn("nth", F.row_number().over(best)).where(F.col("nth") <= k + 1).drop("nth")
+    return found.withColumn("nth", F.row_number().over(best)).where(F.col("nth") <= k + 1).drop("nth")
+
+
+def _ranked(found: DataFrame, members: DataFrame, k: int) -> DataFrame:
     each = found.join(members, "cls").where("id != q")
     order = Window.partitionBy("q").orderBy(F.desc("score"), "id")
     ranked = each.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
