@@ -137,6 +137,17 @@ def test_secret_model_finds_random_strings(spark):
     assert got[30] == ["random"] and not any(got[i] for i in range(30))
 
 
+def test_secret_model_learns_nothing_from_copies(spark):
+    rng = random.Random(4)
+    parts = ["inter", "national", "com", "muni", "cation", "depart", "ment", "config", "uration", "manage", "data", "base"]
+    plain = [" ".join("_".join(rng.choices(parts, k=5)) for _ in range(20)) for _ in range(300)]
+    copied, near, often = "Zx9Qv3LpT7bWk2RmYc8HdJ4sGf6NnAq1Ue5Xo0Bi", "h2Kd8VwZ5rTj1MqXy7LcP3bNs9GgFa4Re6Ut0QvW", "Wq7Pz2Jm9Xc4Lk6Tn1Vb8Rh3Yd5Gs0Fa2Ue7Io4K"
+    texts = plain + [f"the key {copied} here"] * 300 + [f"see {near} of {i}" for i in range(300)] + [f"{often} and " * 300]
+    got = {r.doc_id: [s["kind"] for s in r.spans] for r in secret_scan.scan(spark.createDataFrame(rows_of(texts), SCHEMA)).select("doc_id", "spans").collect()}
+    assert not any(got[i] for i in range(300))
+    assert all(got[i] == ["random"] for i in range(300, 900)) and got[900] == ["random"] * 300
+
+
 def test_redaction(spark):
     df = spark.createDataFrame(rows_of(["é token = 'abcdefghijkl' end", None, "clean text"]), SCHEMA)
     got = secret_scan.redact(df)

@@ -29,6 +29,8 @@ KINDS = ("assign", "access", "hex", "random")
 #: Matches of a text that are worked off at a time.
 CHUNK = 256
 SIZE = len(ALPHABET) + 1
+#: Distinct tokens from which a bigram is learnt only from other tokens than the one with most of it.
+ENOUGH = 100
 
 
 def located(df: DataFrame, name: str, text: str, pattern: str, ok: str, extra: str = "") -> DataFrame:
@@ -55,44 +57,51 @@ def located(df: DataFrame, name: str, text: str, pattern: str, ok: str, extra: s
     return df.drop(m, g)
 
 
-def labelled_samples(rows: DataFrame, n_rows: int, sample_rows: int = 2000) -> DataFrame:
-    """``(token, random)`` for training, from about ``sample_rows`` rows of ``text``.
+def labelled_samples(rows: DataFrame, n_texts: int, sample_texts: int = 2000) -> DataFrame:
+    """``(token, random, weight)`` for training, from about ``sample_texts`` of the ``n_texts`` distinct texts.
 
     Random: what the rules find in them, and digests of numbers in base 64 and
-    base 16. Ordinary: runs of token characters that no rule touches.
+    base 16. Ordinary: runs of token characters that no rule touches. Tokens
+    are distinct; each weighs as much as its occurrences in the one text that
+    has most of them, so copies and near copies of a text add nothing.
     """
     spark = rows.sparkSession
-    some = rows.select("text").where(F.pmod(F.xxhash64("text"), F.lit(max(1, n_rows))) < sample_rows)
-    some = some.withColumn("text", F.coalesce("text", F.lit("")))
+    some = rows.select("text").where(F.pmod(F.xxhash64("text"), F.lit(max(1, n_texts))) < sample_texts).dropDuplicates(["text"])
+    some = some.select(F.coalesce("text", F.lit("")).alias("text"), F.xxhash64("text").alias("h"))
     found = F.concat(F.regexp_extract_all("text", F.lit(ASSIGN), F.lit(1)), F.regexp_extract_all("text", F.lit(ACCESS), F.lit(0)), F.regexp_extract_all("text", F.lit(HEX), F.lit(0)))
     plain = F.regexp_replace(F.regexp_replace(F.regexp_replace("text", ASSIGN, " "), ACCESS, " "), HEX, " ")
-    secrets = some.select(F.explode(found).alias("token"), F.lit(True).alias("random")).where(F.length("token") >= VALUE)
-    words = some.select(F.explode(F.regexp_extract_all(plain, F.lit(r"[A-Za-z0-9+/_=-]{6,}"), F.lit(0))).alias("token"), F.lit(False).alias("random"))
+    secrets = some.select("h", F.explode(found).alias("token"), F.lit(True).alias("random")).where(F.length("token") >= VALUE)
+    words = some.select("h", F.explode(F.regexp_extract_all(plain, F.lit(r"[A-Za-z0-9+/_=-]{6,}"), F.lit(0))).alias("token"), F.lit(False).alias("random"))
     digest = F.sha2(F.col("id").cast("string"), 256)
-    made = spark.range(0, 3000, 1, 1).select(F.when(F.col("id") % 3 < 2, F.base64(F.unhex(digest))).otherwise(digest).alias("token"), F.lit(True).alias("random"))
-    return secrets.union(words).union(made)
+    made = spark.range(0, 3000, 1, 1).select("id", F.when(F.col("id") % 3 < 2, F.base64(F.unhex(digest))).otherwise(digest).alias("token"), F.lit(True).alias("random"))
+    tokens = secrets.union(words).union(made)
+    return tokens.groupBy("h", "token", "random").count().groupBy("token", "random").agg(F.max("count").alias("weight"))
 
 
 def train(samples: DataFrame) -> list[float]:
     """Log-likelihood ratios, random to ordinary, of each character after each.
 
-    ``samples`` is ``(token, random)``; bigram models, less one occurrence each
-    so that a lone secret among the ordinary tokens counts nothing, smoothed
-    toward single characters, and these by a half, as a flat list by ``code(previous) * SIZE + code(next)``, code 0 standing for the start
-    and for characters outside of the alphabet. At most SIZE * SIZE * 2 counts
-    come to the driver.
+    ``samples`` is ``(token, random, weight)``, tokens distinct; bigram models,
+    each bigram less what the one token gives that has most of it, so that a
+    secret among the ordinary tokens counts nothing however often it comes (of
+    fewer than ENOUGH tokens, less one occurrence only), smoothed toward single characters, and these by a half, as a flat list by
+    ``code(previous) * SIZE + code(next)``, code 0 standing for the start and
+    for characters outside of the alphabet. At most SIZE * SIZE * 2 counts come
+    to the driver.
     """
     code = lambda c: F.instr(F.lit(ALPHABET), c)
-    pairs = samples.where("token IS NOT NULL AND token != ''").select("random", F.explode(F.transform(F.sequence(F.lit(1), F.length("token")), lambda i: F.struct(
+    pairs = samples.where("token IS NOT NULL AND token != ''").select("random", "token", "weight", F.explode(F.transform(F.sequence(F.lit(1), F.length("token")), lambda i: F.struct(
         F.when(i > 1, F.substring("token", i - 1, 1)).otherwise("").alias("a"), F.substring("token", i, 1).alias("b")))).alias("p"))
-    pairs = pairs.groupBy("random", "p").count()
-    counts = pairs.groupBy("random", F.when(F.col("p.a") == "", 0).otherwise(code(F.col("p.a"))).alias("a"), code(F.col("p.b")).alias("b")).agg(F.sum("count").alias("n")).collect()
+    pairs = pairs.select("random", "token", "weight", (F.col("p.a") == "").cast("int").alias("first"), F.when(F.col("p.a") == "", 0).otherwise(code(F.col("p.a"))).alias("a"), code(F.col("p.b")).alias("b"))
+    pairs = pairs.groupBy("random", "token", "a", "b").agg(F.sum("weight").alias("n"), F.sum("first").alias("first"))
+    counts = pairs.groupBy("random", "a", "b").agg(F.sum("n").alias("n"), F.max("n").alias("most"), F.sum("first").alias("first")).collect()
     logs = {}
     for kind in (True, False):
         n = [[0.0] * SIZE for _ in range(SIZE)]
+        enough = sum(r["first"] for r in counts if r["random"] == kind) >= ENOUGH
         for r in counts:
             if r["random"] == kind:
-                n[r["a"]][r["b"]] += r["n"] - 1
+                n[r["a"]][r["b"]] += r["n"] - (r["most"] if enough else 1)
         alone = [sum(row[b] for row in n) + 0.5 for b in range(SIZE)]
         share = [x / sum(alone) for x in alone]
         logs[kind] = [math.log((row[b] + 5 * share[b]) / (sum(row) + 5)) for row in n for b in range(SIZE)]
@@ -116,7 +125,7 @@ def scan(docs: DataFrame, text_col: str = "text", model: list[float] | None = No
     """
     if model is None:
         rows = docs.select(F.col(text_col).alias("text"))
-        model = train(labelled_samples(rows, rows.count()))
+        model = train(labelled_samples(rows, rows.select(F.xxhash64("text")).distinct().count()))
     df = docs.withColumn("_secret_text", F.coalesce(F.col(text_col), F.lit("")))
     taken = {k: f"_span_{k}" for k in KINDS}
     df = base_spans(df, "_secret_text", taken)
