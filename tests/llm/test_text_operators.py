@@ -238,6 +238,13 @@ def test_language_id(spark):
     assert all(0 <= r.score <= 1 for r in got.values())
 
 
+def test_language_sample_counts_distinct_texts(spark):
+    texts = [f"text {i}" for i in range(20)]
+    df = spark.createDataFrame([(i, t, "en") for i, t in enumerate(t for t in texts for _ in range(30))], "doc_id long, text string, lang string")
+    got = language_id.training_sample(df, F.lit(True), per_lang=10)
+    assert len(set(got)) == len(got) == 10
+
+
 def test_language_scores_are_kernel_expansions():
     import numpy as np
 

@@ -143,14 +143,14 @@ class LanguageModel:
 
 
 def training_sample(docs: DataFrame, use: Column, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", per_lang: int = 250, max_chars: int = 20_000) -> list[tuple[str, str]]:
-    """(language, text) of about ``per_lang`` rows of each language, where ``use`` holds.
+    """(language, text) of about ``per_lang`` distinct texts of each language, where ``use`` holds.
 
-    Rows whose texts have at most ``max_chars`` come first, then by hash: a
-    bounded sample. Each task passes on its own first rows of a language only.
+    Texts of at most ``max_chars`` characters come first, then by hash: a
+    bounded sample, in which copies count once. Each task passes on its own first rows of a language only.
     """
-    rows = docs.where(use & F.col(lang_col).isNotNull() & F.col(text_col).isNotNull()).select(F.col(lang_col).alias("lang"), F.xxhash64(text_col).alias("h"), (F.length(text_col) > max_chars).alias("long"))
+    rows = docs.where(use & F.col(lang_col).isNotNull() & F.col(text_col).isNotNull()).select(F.col(lang_col).alias("lang"), F.xxhash64(text_col).alias("h"), (F.length(text_col) > max_chars).alias("long")).distinct()
     first = Window.partitionBy("lang").orderBy("long", "h")
-    chosen = rows.withColumn("n", F.row_number().over(first)).where(F.col("n") <= per_lang).select("lang", "h").distinct().collect()
+    chosen = rows.withColumn("n", F.row_number().over(first)).where(F.col("n") <= per_lang).select("lang", "h").collect()
     wanted: dict[int, set[str]] = {}
     for r in chosen:
         wanted.setdefault(r["h"], set()).add(r["lang"])
