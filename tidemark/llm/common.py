@@ -2,16 +2,24 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from itertools import pairwise
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 _CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 #: ASCII white space that separates words; everything else belongs to a word.
 WORD = r"[^\x20\x09-\x0D]+"
+#: Rows of numbers in a file of a stashed table, and least files of one.
+ROWS_A_FILE, MIN_FILES = 250_000, 12
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -30,13 +38,17 @@ def shared_dir(spark: SparkSession) -> str:
     return named.rstrip("/")
 
 
-def stash(df: DataFrame) -> DataFrame:
+def stash(df: DataFrame, rows: int | None = None) -> DataFrame:
     """Write ``df`` as a table in the shared folder and read it back.
 
     Cuts the lineage: a lost executor costs no more than the tasks it ran.
     The shuffle files of the write are freed at its end. The table's files go when the application ends, or by :func:`discard`.
+    A table known to have at most ``rows`` small rows gets a file for each
+    ``ROWS_A_FILE`` of them, and no more than its partitions are.
     """
     spark = df.sparkSession
+    if rows is not None:
+        df = df.coalesce(max(MIN_FILES, -(-rows // ROWS_A_FILE)))
     path = f"{shared_dir(spark)}/stash-{uuid.uuid4().hex}"
     before = spark.conf.get(_CLEANUP, "false")
     spark.conf.set(_CLEANUP, "true")
@@ -83,3 +95,35 @@ def in_pieces(data: bytes, size: int = 4 << 20) -> Iterator[bytes]:
         yield data[at:cut]
         at = cut
     yield data[at:]
+
+
+def in_slices(batches: Iterator[pa.RecordBatch], text: int, size: int = 2 << 20) -> Iterator[pa.RecordBatch]:
+    """The batches, cut where the texts in column ``text`` come to about ``size`` bytes."""
+    for b in batches:
+        if len(b):
+            ends = np.cumsum(pc.fill_null(pc.binary_length(b.column(text)), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+            cuts = np.flatnonzero(np.diff(ends // size)) + 1
+            for a, e in pairwise([0, *cuts.tolist(), len(b)]):
+                yield b.slice(a, e - a)
+
+
+def given_back(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], *forget: Callable[[], None]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """``run``, at whose end the worker drops what it remembers and gives its memory back.
+
+    Spark reuses workers: without this, what one stage gathered would still be
+    held while later ones run.
+    """
+
+    def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            for f in forget:
+                f()
+            gc.collect(0)
+            pa.default_memory_pool().release_unused()
+            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+            if trim:
+                trim(0)
+
+    return whole

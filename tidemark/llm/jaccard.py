@@ -30,14 +30,13 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import discard, stash
+from .common import WORD, discard, given_back, in_slices, stash
 from .components import connected_components
-from .shingles import shingle_set
+from .shingles import forget_words, shingle_set
 
 #: Slack of the prefixes, as a share of the set: longer prefixes, stricter test.
 SLACK = 0.1
@@ -67,7 +66,7 @@ def _digest(s: np.ndarray) -> int:
 
 def _sized(k: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in in_slices(batches, 2):
             sets = [shingle_set(t.as_py(), k) for t in b.column(2)]
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array([len(s) for s in sets], pa.int64()), pa.array([_digest(s) for s in sets], pa.int64())], ["id", "th", "n", "cls"])
 
@@ -136,7 +135,7 @@ def _dealt(k: int, buckets: int):
     """Packed whole sets of (class, text), by bucket: hashes, and runs of classes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in in_slices(batches, 0, 8 << 20):
             sets = [shingle_set(t.as_py(), k) for t in b.column(0)]
             h = np.concatenate(sets) if sets else np.zeros(0, np.uint64)
             o = np.repeat(np.array([_digest(s) for s in sets], np.int64), [len(s) for s in sets])
@@ -299,15 +298,15 @@ def tree_join(sets: list[np.ndarray], threshold: float, sides: np.ndarray | None
 
 
 def _joined(threshold: float):
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        sets = [np.frombuffer(x, np.uint64) for x in pdf["shingles"]]
-        cls, m, side = pdf["cls"].to_numpy(), pdf["m"].to_numpy(), pdf["side"].to_numpy()
+    def run(block: pa.Table) -> pa.Table:
+        sets = [np.frombuffer(x.as_buffer(), np.uint64) for x in block["shingles"]]
+        cls, m, side = (block[c].to_numpy() for c in ("cls", "m", "side"))
         links, edges = tree_join(sets, threshold, None if (side == 0).all() else side, m)
-        some = np.flatnonzero(links)
-        return pd.concat([
-            pd.DataFrame({"cls": cls[some], "links": links[some], "other": pd.array([None] * len(some), "Int64")}),
-            pd.DataFrame({"cls": cls[edges[:, 0]], "links": np.zeros(len(edges), np.int64), "other": pd.array(cls[edges[:, 1]], "Int64")}),
-        ])
+        some, none = np.flatnonzero(links), np.zeros(len(edges), np.int64)
+        return pa.table({
+            "cls": np.r_[cls[some], cls[edges[:, 0]]], "links": np.r_[links[some], none],
+            "other": pa.concat_arrays([pa.nulls(len(some), pa.int64()), pa.array(cls[edges[:, 1]], pa.int64())]),
+        })
 
     return run
 
@@ -378,36 +377,36 @@ def jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     null. ``threshold`` counts to three decimals. Other columns of ``docs``
     are ignored.
     """
-    return _join_rows(docs, id_col, text_col, threshold, k, block).drop("th")
+    return _join_rows(docs, id_col, text_col, threshold, k, block).drop("th", "root")
 
 
 def _join_rows(docs: DataFrame, id_col: str, text_col: str, threshold: float, k: int, block: int) -> DataFrame:
-    """:func:`jaccard_join`, with the hash of the text as ``th``."""
+    """:func:`jaccard_join`, with the hash of the text as ``th`` and one class of the component as ``root``, null for empty sets."""
     rows = docs.select(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("th"), F.col(text_col).alias("text"))
     id_type = rows.schema["id"].dataType.simpleString()
-    sized = stash(rows.mapInArrow(_sized(k), f"id {id_type}, th long, n long, cls long"))
-    total = sized.agg(F.sum("n")).first()[0] or 0
-    classes = stash(sized.where("n > 0").groupBy("cls").agg(F.count("*").alias("m"), F.min("id").alias("least_id"), F.min("th").alias("th"), F.min("n").alias("n")))
+    sized = stash(rows.mapInArrow(given_back(_sized(k), forget_words), f"id {id_type}, th long, n long, cls long"))
+    n_rows, total = sized.agg(F.count("*"), F.coalesce(F.sum("n"), F.lit(0))).first()
+    classes = stash(sized.where("n > 0").groupBy("cls").agg(F.count("*").alias("m"), F.min("id").alias("least_id"), F.min("th").alias("th"), F.min("n").alias("n")), n_rows)
 
     need = F.ceil(F.lit(threshold) * F.col("n") - 1e-9)
     r = 1 + F.floor(F.lit(SLACK) * need)
-    packed = rows.select("text").mapInArrow(_prefixes(k, threshold, int(max(96, total // 1_500_000))), "bucket long, h binary, o binary")
+    packed = rows.select("text").mapInArrow(given_back(_prefixes(k, threshold, int(max(96, total // 1_500_000))), forget_words), "bucket long, h binary, o binary")
     counts = packed.groupBy("bucket").applyInArrow(_shared_counts, "cls long, shared long").groupBy("cls").agg(F.sum("shared").alias("shared"))
-    first = stash(counts.join(classes, "cls").where(F.col("shared") >= r).select("cls", "m", "th", "n"))
+    first = stash(counts.join(classes, "cls").where(F.col("shared") >= r).select("cls", "m", "th", "n"), n_rows)
     n_first, sum_first = first.agg(F.count("*"), F.coalesce(F.sum("n"), F.lit(0))).first()
-    texts = rows.select("th", "text").mapInArrow(_members_texts(_bitmap(first, n_first)), "th long, text string").dropDuplicates(["th"])
+    texts = rows.select("th", "text").mapInArrow(given_back(_members_texts(_bitmap(first, n_first)), forget_words), "th long, text string").dropDuplicates(["th"])
     texts = stash(texts.join(first.select("th").distinct(), "th", "left_semi"))
 
-    whole = texts.select("text").mapInArrow(_dealt(k, int(max(96, sum_first // 400_000))), "bucket long, h binary, o binary, runs binary")
+    whole = texts.select("text").mapInArrow(given_back(_dealt(k, int(max(96, sum_first // 400_000))), forget_words), "bucket long, h binary, o binary, runs binary")
     shared = whole.groupBy("bucket").applyInArrow(_shared, "cls long, l array<struct<df:long,h:long,lead:long>>")
     lists = shared.groupBy("cls").agg(F.flatten(F.collect_list("l")).alias("l")).join(first, "cls").where(F.size("l") >= need)
     rarest = F.slice(F.array_sort("l"), F.lit(1), (F.size("l") - need + 1).cast("int"))
     ties = lists.select("cls", F.explode(F.array_distinct(F.transform(rarest, lambda x: x["lead"]))).alias("lead")).where("lead != cls")
     groups = connected_components(ties, "cls", "lead")
-    groups = stash(groups)
+    groups = stash(groups, n_first)
 
     large = groups.groupBy("root").count().where(F.col("count") > block).select("root", F.ceil(F.col("count") / (block // 2)).cast("int").alias("parts"))
-    members = stash(groups.join(first, F.col("node") == F.col("cls")).join(large, "root", "left").select("cls", "m", "th", "root", "parts"))
+    members = stash(groups.join(first, F.col("node") == F.col("cls")).join(large, "root", "left").select("cls", "m", "th", "root", "parts"), n_first)
     n_members = members.count()
     part = F.pmod(F.xxhash64("cls"), F.col("parts")).cast("int")
     other = F.explode(F.when(F.col("parts").isNull(), F.array(F.lit(-1))).otherwise(F.sequence(F.lit(0), F.col("parts") - 1)))
@@ -420,16 +419,16 @@ def _join_rows(docs: DataFrame, id_col: str, text_col: str, threshold: float, k:
         F.when(F.col("parts").isNull(), F.lit(-1)).otherwise(lo * F.col("parts") + hi).alias("g2"),
         F.when(F.col("parts").isNull() | (lo == hi), F.lit(0)).when(F.col("part") == lo, F.lit(1)).otherwise(F.lit(2)).alias("side"),
     )
-    sets = texts.join(placed, "th").select("cls", "m", "g1", "g2", "side", "text").mapInArrow(_with_sets(k), "cls long, m long, g1 long, g2 int, side int, shingles binary")
-    found = stash(sets.groupBy("g1", "g2").applyInPandas(_joined(threshold), "cls long, links long, other long"))
+    sets = texts.join(placed, "th").select("cls", "m", "g1", "g2", "side", "text").mapInArrow(given_back(_with_sets(k), forget_words), "cls long, m long, g1 long, g2 int, side int, shingles binary")
+    found = stash(sets.groupBy("g1", "g2").applyInArrow(_joined(threshold), "cls long, links long, other long"))
 
     links = found.where("links > 0").groupBy("cls").agg(F.sum("links").alias("links"))
     comps = connected_components(found.where("other is not null"), "cls", "other")
     of = classes.join(comps, F.col("cls") == F.col("node"), "left").select("cls", "m", "least_id", F.coalesce("root", "cls").alias("root"))
     least = of.groupBy("root").agg(F.min("least_id").alias("component_id"))
-    of = stash(of.join(least, "root").join(links, "cls", "left").select("cls", "component_id", (F.coalesce("links", F.lit(0)) + F.col("m") - 1).alias("n_links")))
-    out = sized.where("n > 0").join(of, "cls").select(F.col("id").alias(id_col), "th", F.col("n").alias("n_shingles"), "component_id", "n_links")
-    alone = sized.where("n = 0").select(F.col("id").alias(id_col), "th", F.col("n").alias("n_shingles"), F.col("id").alias("component_id"), F.lit(0).cast("long").alias("n_links"))
+    of = stash(of.join(least, "root").join(links, "cls", "left").select("cls", "root", "component_id", (F.coalesce("links", F.lit(0)) + F.col("m") - 1).alias("n_links")), n_rows)
+    out = sized.where("n > 0").join(of, "cls").select(F.col("id").alias(id_col), "th", "root", F.col("n").alias("n_shingles"), "component_id", "n_links")
+    alone = sized.where("n = 0").select(F.col("id").alias(id_col), "th", F.lit(None).cast("long").alias("root"), F.col("n").alias("n_shingles"), F.col("id").alias("component_id"), F.lit(0).cast("long").alias("n_links"))
     for df in (members, groups, texts, first):
         discard(df)
     return out.union(alone)
@@ -438,13 +437,18 @@ def _join_rows(docs: DataFrame, id_col: str, text_col: str, threshold: float, k:
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = 0.8, k: int = 5) -> DataFrame:
     """``docs`` with one row of each component: that of its smallest id.
 
-    Of rows with that same id and equal texts one stays. Rows with empty sets
-    all stay, as do rows with a null id whose component has no other id.
+    A null id comes after all others; of equal ids in a component the text's
+    hash decides, and of rows equal in id and text one stays. Rows with equal
+    ids in different components are apart. Rows with empty sets all stay.
     """
-    found = _join_rows(docs, id_col, text_col, threshold, k, BLOCK)
-    found = stash(found)
-    gone = found.where(F.col(id_col) != F.col("component_id")).select(F.col(id_col).alias("_gone")).distinct()
-    left = docs.join(gone, docs[id_col] == F.col("_gone"), "left_anti")
-    if found.groupBy(id_col, "th").count().where("count > 1").isEmpty():
+    found = stash(_join_rows(docs, id_col, text_col, threshold, k, BLOCK).select(F.col(id_col).alias("_gone_id"), F.col("th").alias("_gone_th"), "root"))
+    rows = found.where("root IS NOT NULL")
+    stays = rows.groupBy("root").agg(F.min(F.struct(F.col("_gone_id").isNull().alias("no"), F.col("_gone_id").alias("id"), F.col("_gone_th").alias("th"))).alias("s")).select("s.id", "s.th")
+    gone = rows.select("_gone_id", "_gone_th").distinct()
+    gone = gone.join(stays, gone["_gone_id"].eqNullSafe(stays["id"]) & (gone["_gone_th"] == stays["th"]), "left_anti")
+    left = docs.join(gone, docs[id_col].eqNullSafe(gone["_gone_id"]) & (F.xxhash64(docs[text_col]) == gone["_gone_th"]), "left_anti")
+    if rows.groupBy("_gone_id", "_gone_th").count().where("count > 1").isEmpty():
         return left
-    return left.dropDuplicates([id_col, text_col])
+    # rows without words get a key of their own each
+    own = F.when(F.col(text_col).rlike(WORD), F.lit(-1).cast("long")).otherwise(F.monotonically_increasing_id())
+    return left.withColumn("_gone_key", own).dropDuplicates([id_col, text_col, "_gone_key"]).select(*[left[c] for c in docs.columns])

@@ -12,6 +12,7 @@ its presence matrix with W, divided by the norms.
 
 from __future__ import annotations
 
+import copy
 from collections import Counter
 from collections.abc import Iterator
 
@@ -21,11 +22,15 @@ import regex
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .common import given_back, in_slices
+
 UNKNOWN = "und"
 _LETTER = regex.compile(r"\p{L}")
 #: Codes of characters: space, other letters, then the alphabet.
 MAX_ALPHABET = 94
 BATCH = 64
+#: Characters of a text that are worked off at a time.
+PIECE = 1 << 18
 
 
 class Featurizer:
@@ -45,12 +50,14 @@ class Featurizer:
     def grams(self, text: str) -> np.ndarray:
         """Sorted distinct codes of the n-grams of the whole text."""
         present = np.zeros(self.total, bool)
-        for a in range(0, len(text), 1 << 20):  # pieces overlap by the longest n-gram but one
-            raw = np.frombuffer(text[max(0, a - 2) : a + (1 << 20)].encode("utf-32-le", "surrogatepass"), np.uint32)
-            c = self.codes[raw].astype(np.int64)
+        before = np.zeros(0, np.int64)  # the last two characters, after merging, of the piece before
+        for a in range(0, len(text), PIECE):
+            raw = np.frombuffer(text[a : a + PIECE].encode("utf-32-le", "surrogatepass"), np.uint32)
+            c = np.r_[before, self.codes[raw].astype(np.int64)]
             keep = np.ones(len(c), bool)
             keep[1:] = (c[1:] != 0) | (c[:-1] != 0)  # runs of spaces are one
             c = c[keep]
+            before = c[-2:]
             present[c] = True
             if len(c) > 1:
                 two = c[:-1] * self.size + c[1:]
@@ -105,6 +112,12 @@ class LanguageModel:
         self.bias = y_mean - mean @ beta
         self.weights = (self.landmarks.T @ self.dual).astype(np.float32)
 
+    def for_tasks(self) -> LanguageModel:
+        """A copy without the landmarks, which scores don't need."""
+        out = copy.copy(self)
+        out.landmarks = out.dual = None
+        return out
+
     def presence(self, grams: list[np.ndarray]) -> np.ndarray:
         """Presence matrix of texts over the landmarks' n-grams."""
         out = np.zeros((len(grams), len(self.vocabulary)), np.float32)
@@ -145,12 +158,14 @@ class LanguageModel:
 def training_sample(docs: DataFrame, use: Column, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", per_lang: int = 250, max_chars: int = 20_000) -> list[tuple[str, str]]:
     """(language, text) of about ``per_lang`` distinct texts of each language, where ``use`` holds.
 
-    Texts of at most ``max_chars`` characters come first, then by hash: a
-    bounded sample, in which copies count once. Each task passes on its own first rows of a language only.
+    Texts of at most ``max_chars`` characters come first, then by hash, for as
+    long as they come to no more than ``per_lang * max_chars`` characters, but one
+    at least: a bounded sample, in which copies count once. Each task passes on its own first rows of a language only.
     """
-    rows = docs.where(use & F.col(lang_col).isNotNull() & F.col(text_col).isNotNull()).select(F.col(lang_col).alias("lang"), F.xxhash64(text_col).alias("h"), (F.length(text_col) > max_chars).alias("long")).distinct()
-    first = Window.partitionBy("lang").orderBy("long", "h")
-    chosen = rows.withColumn("n", F.row_number().over(first)).where(F.col("n") <= per_lang).select("lang", "h").collect()
+    rows = docs.where(use & F.col(lang_col).isNotNull() & F.col(text_col).isNotNull()).select(F.col(lang_col).alias("lang"), F.xxhash64(text_col).alias("h"), F.greatest(F.length(text_col), F.lit(max_chars)).alias("size")).distinct()
+    first = Window.partitionBy("lang").orderBy("size", "h")
+    chosen = rows.withColumn("n", F.row_number().over(first)).where(F.col("n") <= per_lang)
+    chosen = chosen.withColumn("sum", F.sum("size").over(first)).where((F.col("n") == 1) | (F.col("sum") <= per_lang * max_chars)).select("lang", "h").collect()
     wanted: dict[int, set[str]] = {}
     for r in chosen:
         wanted.setdefault(r["h"], set()).add(r["lang"])
@@ -175,15 +190,16 @@ def identify(docs: DataFrame, model: LanguageModel, text_col: str = "text") -> D
     """
     kept = [c for c in docs.columns if c not in ("lang_pred", "score")]
     # the model goes to the tasks with the function: its size is bounded by landmarks and n-grams
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    shared = docs.sparkSession.sparkContext.broadcast(model.for_tasks())
+    at = kept.index(text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = shared.value
-        for b in batches:
-            got = m.predict(b.column(b.schema.get_field_index(text_col)).to_pylist())
+        for b in in_slices(batches, at):
+            got = m.predict(b.column(at).to_pylist())
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array([g[0] for g in got], pa.string()), pa.array([g[1] for g in got], pa.float64())], [*b.schema.names, "lang_pred", "score"])
 
     from pyspark.sql.types import DoubleType, StringType, StructType
 
     source = docs.select(*[docs[c] for c in kept])
-    return source.mapInArrow(run, StructType([*source.schema.fields]).add("lang_pred", StringType()).add("score", DoubleType()))
+    return source.mapInArrow(given_back(run), StructType([*source.schema.fields]).add("lang_pred", StringType()).add("score", DoubleType()))

@@ -8,7 +8,7 @@ merges would leave them apart. Following the entries backwards gives the ids.
 
 No piece of such a vocabulary goes on past a word start (a space mark after
 another character), so a text falls into independent segments, each a word with
-the marks before it; segments met often are remembered. Characters without a
+the marks before it; segments of a partition are remembered, a bounded number. Characters without a
 piece fall back to their UTF-8 bytes. The vocabulary is read with the library;
 ids are this module's own work.
 """
@@ -24,8 +24,23 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import given_back, in_slices
+
 MARK = "▁"
 _SEGMENT = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+")
+_BORDER = re.compile(f"[^{MARK}](?={MARK})")
+#: Remembered at most: segments of a partition, tests of a process; characters worked off at a time.
+SEGMENTS, TESTS, PIECE = 100_000, 400_000, 1 << 18
+
+
+def segments_of(text: str) -> Iterator[list[str]]:
+    """The segments of a text with marks for spaces, in lists: whatever the text's length, few are held at a time."""
+    at = 0
+    while at < len(text):
+        border = _BORDER.search(text, at + PIECE)
+        end = border.end() if border else len(text)
+        yield _SEGMENT.findall(text, at, end)
+        at = end
 
 
 class PieceModel:
@@ -71,9 +86,9 @@ class PieceModel:
         return (parts[0], parts[1]) if len(parts) == 2 else None
 
     def _tested(self, after: dict, before: str, piece: str) -> bool:
-        """:meth:`are_compatible`, remembered for up to two million pairs."""
+        """:meth:`are_compatible`, remembered for up to ``TESTS`` pairs."""
         self.tests += 1
-        if self.tests % 2_000_000 == 0:
+        if self.tests % TESTS == 0:
             for _, _, other in self.automaton.values():
                 other.clear()
         ok = after[before] = self.are_compatible(before, piece)
@@ -159,7 +174,7 @@ class PieceModel:
         ids = self.ids(segment)
         got = " ".join(map(str, ids)), len(ids), self.decode([self.id_of[MARK], *ids]) if MARK in self.id_of else ""
         if len(segment) <= 64:
-            if len(self.known) > 350_000:
+            if len(self.known) >= SEGMENTS:
                 self.known.clear()
             self.known[segment] = got
         return got
@@ -168,19 +183,19 @@ class PieceModel:
         """All ids of a text, without the end id."""
         if not text:
             return []
-        return [i for s in _SEGMENT.findall(MARK + text.replace(" ", MARK)) for i in self.ids(s)]
+        return [i for part in segments_of(MARK + text.replace(" ", MARK)) for s in part for i in self.ids(s)]
 
     def digest(self, text: str) -> tuple[int, str, str]:
         """(ids with the end id, SHA-256 of the ids, SHA-256 of the decoded text)."""
         ids_hash, text_hash, n = hashlib.sha256(), hashlib.sha256(), 1
-        segments = _SEGMENT.findall(MARK + text.replace(" ", MARK)) if text else []
-        known, remember = self.known, self._remember
-        for a in range(0, len(segments), 50_000):
-            got = [known.get(s) or remember(s) for s in segments[a : a + 50_000]]
+        known, remember, first = self.known, self._remember, True
+        for segments in segments_of(MARK + text.replace(" ", MARK)) if text else ():
+            got = [known.get(s) or remember(s) for s in segments]
             n += sum([g[1] for g in got])
             ids_hash.update((" ".join([g[0] for g in got]) + " ").encode())
             part = "".join([g[2] for g in got])
-            text_hash.update((part[1:] if not a and part.startswith(" ") else part).encode("utf-8", "replace"))
+            text_hash.update((part[1:] if first and part.startswith(" ") else part).encode("utf-8", "replace"))
+            first = False
         ids_hash.update(str(self.end_id).encode())
         return n, ids_hash.hexdigest(), text_hash.hexdigest()
 
@@ -195,6 +210,12 @@ def model(path: str) -> PieceModel:
     return _models[path]
 
 
+def forget() -> None:
+    """Drop the segments that the process's models remember."""
+    for m in _models.values():
+        m.known.clear()
+
+
 def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``(id, ids, n_tokens)``: ids of each text and an end id.
 
@@ -204,12 +225,12 @@ def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = model(path)
-        for b in batches:
+        for b in in_slices(batches, 1):
             ids = [[*m.encode(t.as_py() or ""), m.end_id] for t in b.column(1)]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(ids, pa.list_(pa.int32())), pa.array([len(x) for x in ids], pa.int64())], ["id", "ids", "n_tokens"])
 
     kind = docs.schema[id_col].dataType.simpleString()
-    return docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")).mapInArrow(run, f"id {kind}, ids array<int>, n_tokens long").withColumnRenamed("id", id_col)
+    return docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")).mapInArrow(given_back(run, forget), f"id {kind}, ids array<int>, n_tokens long").withColumnRenamed("id", id_col)
 
 
 def decode(encoded: DataFrame, path: str, id_col: str = "doc_id", ids_col: str = "ids") -> DataFrame:
@@ -233,9 +254,9 @@ def digests(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str =
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = model(path)
-        for b in batches:
+        for b in in_slices(batches, 1):
             got = [m.digest(t.as_py() or "") for t in b.column(1)]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array([g[0] for g in got], pa.int64()), pa.array([g[1] for g in got], pa.string()), pa.array([g[2] for g in got], pa.string())], ["id", "n_tokens", "ids_sha256", "decoded_sha256"])
 
     kind = docs.schema[id_col].dataType.simpleString()
-    return docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")).mapInArrow(run, f"id {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string").withColumnRenamed("id", id_col)
+    return docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")).mapInArrow(given_back(run, forget), f"id {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string").withColumnRenamed("id", id_col)

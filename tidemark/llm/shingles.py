@@ -14,13 +14,14 @@ class _Words(dict):
     """Hashes of words, kept for the words met most recently."""
 
     def __missing__(self, word: bytes) -> int:
-        if len(self) > 150_000:
+        if len(self) > 100_000:
             self.clear()
         h = self[word] = xxhash.xxh3_64_intdigest(word)
         return h
 
 
 _words = _Words()
+forget_words = _words.clear
 
 
 def word_hashes(text: str) -> np.ndarray:
