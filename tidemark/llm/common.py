@@ -18,8 +18,8 @@ from pyspark.sql import functions as F
 _CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 #: ASCII white space that separates words; everything else belongs to a word.
 WORD = r"[^\x20\x09-\x0D]+"
-#: Rows of numbers in a file of a stashed table, and least files of one.
-ROWS_A_FILE, MIN_FILES = 250_000, 12
+#: Bytes, as Catalyst estimates them, or rows of numbers in a written file, and least files of a table.
+FILE_BYTES, FILE_ROWS, MIN_FILES = 4 << 20, 250_000, 8
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -38,17 +38,15 @@ def shared_dir(spark: SparkSession) -> str:
     return named.rstrip("/")
 
 
-def stash(df: DataFrame, rows: int | None = None) -> DataFrame:
+def stash(df: DataFrame, rows: int | None = None, like: DataFrame | None = None) -> DataFrame:
     """Write ``df`` as a table in the shared folder and read it back.
 
     Cuts the lineage: a lost executor costs no more than the tasks it ran.
     The shuffle files of the write are freed at its end. The table's files go when the application ends, or by :func:`discard`.
-    A table known to have at most ``rows`` small rows gets a file for each
-    ``ROWS_A_FILE`` of them, and no more than its partitions are.
+    Its files are as :func:`compacted` makes them.
     """
     spark = df.sparkSession
-    if rows is not None:
-        df = df.coalesce(max(MIN_FILES, -(-rows // ROWS_A_FILE)))
+    df = compacted(df, rows, like)
     path = f"{shared_dir(spark)}/stash-{uuid.uuid4().hex}"
     before = spark.conf.get(_CLEANUP, "false")
     spark.conf.set(_CLEANUP, "true")
@@ -63,6 +61,21 @@ def stash(df: DataFrame, rows: int | None = None) -> DataFrame:
     return out
 
 
+def compacted(df: DataFrame, rows: int | None = None, like: DataFrame | None = None) -> DataFrame:
+    """``df`` without very many tiny partitions, which would be as many tiny files.
+
+    A partition for each ``FILE_ROWS`` of the ``rows`` small rows that it has at
+    most, or for each ``FILE_BYTES`` that Catalyst expects of it, or of ``like``,
+    and no more than it has now. No row moves: partitions are worked off in a row.
+    """
+    if rows is None:
+        size = int(str((like or df)._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+        files = min(-(-size // FILE_BYTES), 1 << 30)
+    else:
+        files = -(-rows // FILE_ROWS)
+    return df.coalesce(max(MIN_FILES, files))
+
+
 def discard(df: DataFrame) -> None:
     """Delete the files of a stashed frame that nothing reads any more."""
     path = getattr(df, "_stashed_at", None)

@@ -395,14 +395,14 @@ def _join_rows(docs: DataFrame, id_col: str, text_col: str, threshold: float, k:
     first = stash(counts.join(classes, "cls").where(F.col("shared") >= r).select("cls", "m", "th", "n"), n_rows)
     n_first, sum_first = first.agg(F.count("*"), F.coalesce(F.sum("n"), F.lit(0))).first()
     texts = rows.select("th", "text").mapInArrow(given_back(_members_texts(_bitmap(first, n_first)), forget_words), "th long, text string").dropDuplicates(["th"])
-    texts = stash(texts.join(first.select("th").distinct(), "th", "left_semi"))
+    texts = stash(texts.join(first.select("th").distinct(), "th", "left_semi"), like=rows)
 
     whole = texts.select("text").mapInArrow(given_back(_dealt(k, int(max(96, sum_first // 400_000))), forget_words), "bucket long, h binary, o binary, runs binary")
     shared = whole.groupBy("bucket").applyInArrow(_shared, "cls long, l array<struct<df:long,h:long,lead:long>>")
     lists = shared.groupBy("cls").agg(F.flatten(F.collect_list("l")).alias("l")).join(first, "cls").where(F.size("l") >= need)
     rarest = F.slice(F.array_sort("l"), F.lit(1), (F.size("l") - need + 1).cast("int"))
     ties = lists.select("cls", F.explode(F.array_distinct(F.transform(rarest, lambda x: x["lead"]))).alias("lead")).where("lead != cls")
-    groups = connected_components(ties, "cls", "lead")
+    groups = connected_components(ties, "cls", "lead", rows)
     groups = stash(groups, n_first)
 
     large = groups.groupBy("root").count().where(F.col("count") > block).select("root", F.ceil(F.col("count") / (block // 2)).cast("int").alias("parts"))
@@ -420,10 +420,10 @@ def _join_rows(docs: DataFrame, id_col: str, text_col: str, threshold: float, k:
         F.when(F.col("parts").isNull() | (lo == hi), F.lit(0)).when(F.col("part") == lo, F.lit(1)).otherwise(F.lit(2)).alias("side"),
     )
     sets = texts.join(placed, "th").select("cls", "m", "g1", "g2", "side", "text").mapInArrow(given_back(_with_sets(k), forget_words), "cls long, m long, g1 long, g2 int, side int, shingles binary")
-    found = stash(sets.groupBy("g1", "g2").applyInArrow(_joined(threshold), "cls long, links long, other long"))
+    found = stash(sets.groupBy("g1", "g2").applyInArrow(_joined(threshold), "cls long, links long, other long"), like=rows)
 
     links = found.where("links > 0").groupBy("cls").agg(F.sum("links").alias("links"))
-    comps = connected_components(found.where("other is not null"), "cls", "other")
+    comps = connected_components(found.where("other is not null"), "cls", "other", rows)
     of = classes.join(comps, F.col("cls") == F.col("node"), "left").select("cls", "m", "least_id", F.coalesce("root", "cls").alias("root"))
     least = of.groupBy("root").agg(F.min("least_id").alias("component_id"))
     of = stash(of.join(least, "root").join(links, "cls", "left").select("cls", "root", "component_id", (F.coalesce("links", F.lit(0)) + F.col("m") - 1).alias("n_links")), n_rows)
@@ -441,7 +441,7 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", th
     hash decides, and of rows equal in id and text one stays. Rows with equal
     ids in different components are apart. Rows with empty sets all stay.
     """
-    found = stash(_join_rows(docs, id_col, text_col, threshold, k, BLOCK).select(F.col(id_col).alias("_gone_id"), F.col("th").alias("_gone_th"), "root"))
+    found = stash(_join_rows(docs, id_col, text_col, threshold, k, BLOCK).select(F.col(id_col).alias("_gone_id"), F.col("th").alias("_gone_th"), "root"), like=docs)
     rows = found.where("root IS NOT NULL")
     stays = rows.groupBy("root").agg(F.min(F.struct(F.col("_gone_id").isNull().alias("no"), F.col("_gone_id").alias("id"), F.col("_gone_th").alias("th"))).alias("s")).select("s.id", "s.th")
     gone = rows.select("_gone_id", "_gone_th").distinct()

@@ -93,7 +93,7 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     starts = starts.join(targets, same(starts, targets)).select(starts["source"], "slice", "before", "source_size", "target")
     within = sliced.withColumn("cum", F.sum("size").over(Window.partitionBy("source", "slice").orderBy("o", "id").rowsBetween(Window.unboundedPreceding, 0)))
     timed = within.join(starts, same(within, starts) & (within["slice"] == starts["slice"])).select("id", within["source"], "th", "o", "size", "source_size", "target", (F.col("before") + F.col("cum")).alias("cum"))
-    timed = stash(timed)
+    timed = stash(timed, n)
 
     # finish times of all passes; what the budget reaches, by bins of finish time first
     passes = timed.where("size > 0 and target > 0").select("source", "o", "id", "size", "target", F.explode(F.sequence(F.lit(0), F.lit(max_passes - 1))).alias("pass"), "cum", "source_size")

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import jaccard, language_id, lm_scoring, mixing, nearest, piece_codec, quality, secret_scan, url_filter, vector_dedup
-from .common import is_bucket
+from .common import compacted, is_bucket
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -66,7 +66,17 @@ def _piece_model() -> str:
     return public_tokenizers.path("piece_bpe_32k.model")
 
 
-QUERIES = {f.__name__: f for f in (op1_language_id, op2_lm_scoring, op3_secret_scan, op4_mixing, op5_piece_codec, op6_vector_dedup, op7_url_filter, op8_quality, op9_jaccard_join, op10_nearest)}
+def _filed(query):
+    """The query, its result in files of some size whatever the partitions of its table are."""
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return compacted(query(spark, sf_dir), like=_table(spark, sf_dir, _TABLES.get(query.__name__, "documents")))
+
+    return run
+
+
+_TABLES = {"op6_vector_dedup": "embeddings", "op7_url_filter": "pages", "op10_nearest": "embeddings"}
+QUERIES = {f.__name__: _filed(f) for f in (op1_language_id, op2_lm_scoring, op3_secret_scan, op4_mixing, op5_piece_codec, op6_vector_dedup, op7_url_filter, op8_quality, op9_jaccard_join, op10_nearest)}
 
 ORACLES = {
     "op4_mixing": r"""
