@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import jaccard, language_id, mixing, piece_codec, secret_scan
-from tidemark.llm.common import stash
+from tidemark.llm.common import compacted, stash
 from tidemark.llm.queries import _piece_model
 
 #: Lowest share of the scores that the best language must have.
@@ -21,29 +21,30 @@ MIN_LANGUAGE_SCORE = 0.4
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rejects texts without a letter and those whose language is unclear."""
     found = language_id.identify(docs, language_id.train(docs))
-    return found.where((F.col("lang_pred") != language_id.UNKNOWN) & (F.col("score") >= MIN_LANGUAGE_SCORE)).select(*docs.columns)
+    clear = found.where((F.col("lang_pred") != language_id.UNKNOWN) & (F.col("score") >= MIN_LANGUAGE_SCORE))
+    return compacted(clear.select(*docs.columns), like=docs)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps one document of each group of near copies."""
-    return jaccard.keep_one(docs)
+    return compacted(jaccard.keep_one(docs), like=docs)
 
 
 def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Replaces secrets in the texts; n_chars follows where a text changed."""
     masked = secret_scan.redact(docs.withColumn("_n", F.length("text")))
     changed = masked.withColumn("n_chars", F.when(F.length("text") != F.col("_n"), F.length("text").cast("long")).otherwise(F.col("n_chars")))
-    return changed.select(*docs.columns)
+    return compacted(changed.select(*docs.columns), like=docs)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The mix of sources; a document comes as often as the mix takes it."""
-    return mixing.mixed_rows(docs)
+    return compacted(mixing.mixed_rows(docs), like=docs)
 
 
 def encode_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token counts and digests of the encoded and of the decoded texts."""
-    return piece_codec.digests(docs, _piece_model())
+    return compacted(piece_codec.digests(docs, _piece_model()), like=docs)
 
 
 STAGES = [
