@@ -85,6 +85,14 @@ def discard(df: DataFrame) -> None:
         hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).delete(hadoop, True)
 
 
+def unused(name: str, df: DataFrame) -> str:
+    """``name``, lengthened until no column of ``df`` has it."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def crc_bucket(key: Column, n: int) -> Column:
     """crc32 of the key's text, modulo ``n``; null for a null key."""
     return F.crc32(key.cast("string").cast("binary")) % n

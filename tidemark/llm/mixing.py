@@ -97,7 +97,7 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
 
     # finish times of all passes; what the budget reaches, by bins of finish time first
     passes = timed.where("size > 0 and target > 0").select("source", "o", "id", "size", "target", F.explode(F.sequence(F.lit(0), F.lit(max_passes - 1))).alias("pass"), "cum", "source_size")
-    finish = (F.col("cum") + F.col("pass") * F.col("source_size")).cast("double") / F.col("target")
+    finish = (F.col("cum") + F.col("pass") * F.col("source_size")).cast("double") / F.nullif(F.col("target"), F.lit(0.0))
     bins = max(16, 4 * (n // rows_each))
     passes = passes.select("source", "o", "id", "size", "pass", finish.alias("finish"), F.least(F.floor(finish * bins), F.lit(2 * bins)).alias("bin"))
     per_bin = passes.groupBy("bin").agg(F.sum("size").alias("s"))
@@ -121,7 +121,7 @@ def _taken(timed: DataFrame, cut, id_col: str, max_passes: int) -> DataFrame:
     """Counts the passes before ``cut``, the first that the budget doesn't hold."""
     taken = F.lit(0)
     for k in range(max_passes):
-        finish = (F.col("cum") + k * F.col("source_size")).cast("double") / F.col("target")
+        finish = (F.col("cum") + k * F.col("source_size")).cast("double") / F.nullif(F.col("target"), F.lit(0.0))
         if cut is None:
             before = F.lit(True)
         else:
@@ -138,13 +138,19 @@ def _taken(timed: DataFrame, cut, id_col: str, max_passes: int) -> DataFrame:
 def mixed_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", **settings) -> DataFrame:
     """``docs`` as the mix takes them: a row comes as often as it is taken.
 
-    Rows equal in id and text share their passes: of such a group each row
-    comes as often as the group's least taken row and the rest is left out only
-    where their number differs by one.
+    Rows equal in id and text share their passes as evenly as can be, so the mix
+    has as many words as :func:`mix` takes. Other columns, whatever their names,
+    stay as they are.
     """
     found = mix(docs, id_col, text_col, source_col, **settings)
-    times = found.where("taken > 0").select(F.col(id_col).alias("_id"), F.col("th").alias("_th"), (F.col("taken") / F.col("size")).cast("int").alias("_times"))
-    times = times.groupBy("_id", "_th").agg(F.max("_times").alias("_times"))
-    keyed = docs.withColumn("_th", F.md5(F.coalesce(F.col(text_col), F.lit("")).cast("binary")))
-    out = keyed.join(times, keyed[id_col].eqNullSafe(times["_id"]) & (keyed["_th"] == times["_th"]))
-    return out.withColumn("_n", F.explode(F.sequence(F.lit(1), F.col("_times")))).select(*[docs[c] for c in docs.columns])
+    times = found.groupBy(F.col(id_col).alias("id"), "th").agg(F.sum((F.col("taken") / F.greatest("size", F.lit(1))).cast("long")).alias("times"), F.count("*").alias("rows")).where("times > 0")
+    times = stash(times, like=docs)
+    each = docs.select(F.struct("*").alias("row"), docs[id_col].alias("row_id"), F.md5(F.coalesce(docs[text_col], F.lit("")).cast("binary")).alias("row_th"))
+    each = each.join(times, each["row_id"].eqNullSafe(times["id"]) & (each["row_th"] == times["th"]))
+    single = each if times.where("rows > 1").isEmpty() else each.where("rows = 1")
+    out = single.select("row", F.col("times").alias("n"))
+    if single is not each:
+        nth = F.row_number().over(Window.partitionBy("row_id", "row_th").orderBy("row_id"))
+        several = each.where("rows > 1").select("row", "times", "rows", nth.alias("nth"))
+        out = out.union(several.select("row", F.expr("times div rows + CASE WHEN nth <= times % rows THEN 1 ELSE 0 END").alias("n")))
+    return out.where("n > 0").select("row", F.explode(F.sequence(F.lit(1).cast("long"), "n"))).select("row.*")

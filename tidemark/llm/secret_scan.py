@@ -16,6 +16,8 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import unused
+
 # The rules' patterns, letters of the keywords in either case.
 ASSIGN = r"""(?:[Pp][Aa][Ss][Ss][Ww][Oo][Rr][Dd]|[Pp][Aa][Ss][Ss][Ww][Dd]|[Ss][Ee][Cc][Rr][Ee][Tt]|[Tt][Oo][Kk][Ee][Nn]|[Aa][Pp][Ii]_?[Kk][Ee][Yy])["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
 ACCESS = r"AKIA[A-Z0-9]{14,}"
@@ -24,8 +26,11 @@ HEX = r"[0-9a-f]{16,}"
 VALUE = 12
 #: Runs that the model judges: their characters, in the order of their codes, and least length.
 ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"
-RUN = r"[A-Za-z0-9+/_=-]{20,}"
+RUN = r"[A-Za-z0-9+/_=-]{12,}"
 KINDS = ("assign", "access", "hex", "random")
+#: What a run's log-likelihood ratio must come to: for each of its characters, and in all. The
+#: latter outweighs odds of one to e^20 that an ordinary run of token characters is a secret.
+NATS_PER_CHAR, NATS = 1.0, 20.0
 #: Matches of a text that are worked off at a time.
 CHUNK = 256
 SIZE = len(ALPHABET) + 1
@@ -61,7 +66,8 @@ def labelled_samples(rows: DataFrame, n_texts: int, sample_texts: int = 2000) ->
     """``(token, random, weight)`` for training, from about ``sample_texts`` of the ``n_texts`` distinct texts.
 
     Random: what the rules find in them, and digests of numbers in base 64 and
-    base 16. Ordinary: runs of token characters that no rule touches. Tokens
+    base 16. Ordinary: runs of token characters that no rule touches, as they
+    are, in capitals and joined as identifiers and paths are, times and numbers. Tokens
     are distinct; each weighs as much as its occurrences in the one text that
     has most of them, so copies and near copies of a text add nothing.
     """
@@ -74,7 +80,12 @@ def labelled_samples(rows: DataFrame, n_texts: int, sample_texts: int = 2000) ->
     words = some.select("h", F.explode(F.regexp_extract_all(plain, F.lit(r"[A-Za-z0-9+/_=-]{6,}"), F.lit(0))).alias("token"), F.lit(False).alias("random"))
     digest = F.sha2(F.col("id").cast("string"), 256)
     made = spark.range(0, 3000, 1, 1).select("id", F.when(F.col("id") % 3 < 2, F.base64(F.unhex(digest))).otherwise(digest).alias("token"), F.lit(True).alias("random"))
-    tokens = secrets.union(words).union(made)
+    joined = F.array(F.upper("token"), F.concat("token", F.initcap("token")), *[F.concat("token", F.lit(c), "token") for c in "/-_"])
+    joined = words.select("h", F.explode(joined).alias("token"), "random")
+    day = F.timestamp_seconds(F.col("id") * 86_000)
+    figures = F.array(F.date_format(day, "yyyy-MM-dd-HH-mm-ss"), F.date_format(day, "yyyyMMddHHmmss"), (F.col("id") * 987_654_321_987).cast("string"))
+    figures = spark.range(0, 1000, 1, 1).select("id", F.explode(figures).alias("token"), F.lit(False).alias("random"))
+    tokens = secrets.union(words).union(joined).union(made).union(figures)
     return tokens.groupBy("h", "token", "random").count().groupBy("token", "random").agg(F.max("count").alias("weight"))
 
 
@@ -115,18 +126,20 @@ def ratio_sql(token: str, table: str) -> str:
                                  'a', instr('{ALPHABET}', substring({token}, i, 1))), acc -> acc.s)"""
 
 
-def scan(docs: DataFrame, text_col: str = "text", model: list[float] | None = None, nats_per_char: float = 1.0, out: str = "spans") -> DataFrame:
+def scan(docs: DataFrame, text_col: str = "text", model: list[float] | None = None, nats_per_char: float = NATS_PER_CHAR, nats: float = NATS, out: str = "spans") -> DataFrame:
     """``docs`` with ``spans`` (or as ``out`` says): all spans (start, order of kind, end, kind), sorted.
 
     Null texts count as empty; a text without secrets has an empty array. Texts
-    are scanned whole. The model's spans, those of a mean ratio over
-    ``nats_per_char``, touch none of the rules'. A column of ``docs`` of that
-    name is replaced.
+    are scanned whole. The model's spans are runs of 12 characters or more with a
+    ratio over ``nats`` in all and ``nats_per_char`` for each; they touch none of
+    the rules'. Rows with null or repeated ids are scanned like any other. A
+    column of ``docs`` of the name ``out`` is replaced, others stay, whatever
+    their names.
     """
     if model is None:
         rows = docs.select(F.col(text_col).alias("text"))
         model = train(labelled_samples(rows, rows.select(F.xxhash64("text")).distinct().count()))
-    df = docs.withColumn("_secret_text", F.coalesce(F.col(text_col), F.lit("")))
+    df = docs.select(F.struct(*[docs[c] for c in docs.columns if c != out], F.lit(None).alias(unused("_", docs))).alias("row"), F.coalesce(docs[text_col], F.lit("")).alias("_secret_text"))
     taken = {k: f"_span_{k}" for k in KINDS}
     df = base_spans(df, "_secret_text", taken)
     df = located(df, taken["random"], "_secret_text", RUN, "true", "x")
@@ -135,9 +148,9 @@ def scan(docs: DataFrame, text_col: str = "text", model: list[float] | None = No
         df = df.withColumn(taken[name], F.expr(f"transform({taken[name]}, s -> named_struct('start', s.start, 'k', {k}, 'end', s.end, 'kind', '{name}'))"))
     df = df.withColumn("_secret_base", F.concat(*[F.col(taken[k]) for k in KINDS[:3]]))
     df = df.withColumn(taken["random"], F.expr(f"""filter({taken['random']}, s -> NOT exists(_secret_base, b -> b.start < s.end AND b.end > s.start)
-        AND {ratio_sql('s.v', '_secret_table')} > {nats_per_char} * (s.end - s.start))"""))
+        AND {ratio_sql('s.v', '_secret_table')} > greatest({nats}D, {nats_per_char}D * (s.end - s.start)))"""))
     df = df.withColumn(out, F.array_sort(F.concat("_secret_base", F.expr(f"transform({taken['random']}, s -> named_struct('start', s.start, 'k', 3, 'end', s.end, 'kind', 'random'))"))))
-    return df.drop("_secret_text", "_secret_table", "_secret_base", *taken.values())
+    return df.select(*[F.col("row")[c].alias(c) for c in docs.columns if c != out], out)
 
 
 def base_spans(df: DataFrame, text: str, names: dict[str, str]) -> DataFrame:
@@ -160,9 +173,10 @@ def redact(docs: DataFrame, text_col: str = "text", mask: str = "[SECRET]", mode
     Overlapping spans are replaced together; null texts stay null. Columns and
     their order are those of ``docs``.
     """
-    df = scan(docs, text_col, model, out="_secret_spans")
+    spans = unused("_secret_spans", docs)
+    df = scan(docs, text_col, model, out=spans)
     t = f"`{text_col}`"
-    cut = F.expr(f"""CASE WHEN size(_secret_spans) > 0 THEN aggregate(_secret_spans, named_struct('at', 0, 'out', ''),
+    cut = F.expr(f"""CASE WHEN size({spans}) > 0 THEN aggregate({spans}, named_struct('at', 0, 'out', ''),
         (acc, s) -> CASE WHEN s.end <= acc.at THEN acc
             ELSE named_struct('at', s.end, 'out', concat(acc.out, CASE WHEN s.start >= acc.at THEN concat(substring({t}, acc.at + 1, s.start - acc.at), '{mask}') ELSE '' END)) END,
         acc -> concat(acc.out, substring({t}, acc.at + 1))) ELSE {t} END""")
