@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import jaccard, language_id, mixing, piece_codec, secret_scan
-from tidemark.llm.common import compacted, stash
+from tidemark.llm.common import compacted, stash, unused
 from tidemark.llm.queries import _piece_model
 
 #: Lowest share of the scores that the best language must have.
@@ -32,8 +32,9 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Replaces secrets in the texts; n_chars follows where a text changed."""
-    masked = secret_scan.redact(docs.withColumn("_n", F.length("text")))
-    changed = masked.withColumn("n_chars", F.when(F.length("text") != F.col("_n"), F.length("text").cast("long")).otherwise(F.col("n_chars")))
+    before = unused("_before", docs)
+    masked = secret_scan.redact(docs.withColumn(before, F.length("text")))
+    changed = masked.withColumn("n_chars", F.when(F.length("text") != F.col(before), F.length("text").cast("long")).otherwise(F.col("n_chars")))
     return compacted(changed.select(*docs.columns), like=docs)
 
 
