@@ -36,6 +36,8 @@ CHUNK = 256
 SIZE = len(ALPHABET) + 1
 #: Distinct tokens from which a bigram is learnt only from other tokens than the one with most of it.
 ENOUGH = 100
+#: How often the joined forms of a run and itself hold a bigram of it.
+WITH_JOINED = 8
 
 
 def located(df: DataFrame, name: str, text: str, pattern: str, ok: str, extra: str = "") -> DataFrame:
@@ -47,14 +49,16 @@ def located(df: DataFrame, name: str, text: str, pattern: str, ok: str, extra: s
     m, g = f"_{name}_m", f"_{name}_g"
     df = df.withColumn(m, F.regexp_extract_all(text, F.lit(pattern), F.lit(0)))
     df = df.withColumn(g, F.when(F.size(m) > 0, F.split(text, pattern, -1)))
-    df = df.withColumn(m, F.expr(f"transform({m}, (x, i) -> named_struct('gap', length({g}[i]), 'len', length(x), 'ok', {ok}{', ' + repr('v') + ', ' + extra if extra else ''}))"))
+    # both arrays are arguments: inside the lambda they would be made anew for each match
+    df = df.withColumn(m, F.expr(f"zip_with({m}, slice({g}, 1, size({m})), (x, gap) -> named_struct('gap', length(gap), 'len', length(x), 'ok', {ok}{', ' + repr('v') + ', ' + extra if extra else ''}))"))
     value = ", 'v', x.v" if extra else ""
     kind = "struct<start:int,end:int" + (",v:string" if extra else "") + ">"
     step = f"sequence(0, (size({m}) - 1) div {CHUNK})"
     piece = f"slice({m}, c * {CHUNK} + 1, {CHUNK})"
     df = df.withColumn(g, F.expr(f"""CASE WHEN size({m}) > 0 THEN aggregate({step}, array(0),
         (acc, c) -> concat(acc, array(element_at(acc, -1) + aggregate({piece}, 0, (s, x) -> s + x.gap + x.len)))) END"""))
-    df = df.withColumn(name, F.expr(f"""CASE WHEN size({m}) > 0 THEN flatten(transform({step}, c -> aggregate({piece},
+    # two uses of a column keep Spark from moving its expression into the lambda
+    df = df.withColumn(name, F.expr(f"""CASE WHEN size({m}) > 0 AND size({g}) > 0 THEN flatten(transform({step}, c -> aggregate({piece},
         named_struct('at', {g}[c], 'out', CAST(array() AS array<{kind}>)),
         (acc, x) -> named_struct('at', acc.at + x.gap + x.len, 'out', CASE WHEN x.ok
             THEN concat(acc.out, array(named_struct('start', acc.at + x.gap, 'end', acc.at + x.gap + x.len{value}))) ELSE acc.out END),
@@ -63,13 +67,14 @@ def located(df: DataFrame, name: str, text: str, pattern: str, ok: str, extra: s
 
 
 def labelled_samples(rows: DataFrame, n_texts: int, sample_texts: int = 2000) -> DataFrame:
-    """``(token, random, weight)`` for training, from about ``sample_texts`` of the ``n_texts`` distinct texts.
+    """``(origin, token, random, weight, met)`` for training, from about ``sample_texts`` of the ``n_texts`` distinct texts.
 
     Random: what the rules find in them, and digests of numbers in base 64 and
     base 16. Ordinary: runs of token characters that no rule touches, as they
-    are, in capitals and joined as identifiers and paths are, times and numbers. Tokens
+    are, in capitals and joined as identifiers and paths are, of which the run, by its hash, is the ``origin``; times and numbers. Tokens
     are distinct; each weighs as much as its occurrences in the one text that
-    has most of them, so copies and near copies of a text add nothing.
+    has most of them, so copies and near copies of a text add nothing. ``met``
+    tells those of the texts from those made here.
     """
     spark = rows.sparkSession
     some = rows.select("text").where(F.pmod(F.xxhash64("text"), F.lit(max(1, n_texts))) < sample_texts).dropDuplicates(["text"])
@@ -79,32 +84,33 @@ def labelled_samples(rows: DataFrame, n_texts: int, sample_texts: int = 2000) ->
     secrets = some.select("h", F.explode(found).alias("token"), F.lit(True).alias("random")).where(F.length("token") >= VALUE)
     words = some.select("h", F.explode(F.regexp_extract_all(plain, F.lit(r"[A-Za-z0-9+/_=-]{6,}"), F.lit(0))).alias("token"), F.lit(False).alias("random"))
     digest = F.sha2(F.col("id").cast("string"), 256)
-    made = spark.range(0, 3000, 1, 1).select("id", F.when(F.col("id") % 3 < 2, F.base64(F.unhex(digest))).otherwise(digest).alias("token"), F.lit(True).alias("random"))
+    made = spark.range(0, 3000, 1, 1).select(F.lit(None).cast("long").alias("h"), F.when(F.col("id") % 3 < 2, F.base64(F.unhex(digest))).otherwise(digest).alias("token"), F.lit(True).alias("random"))
     joined = F.array(F.upper("token"), F.concat("token", F.initcap("token")), *[F.concat("token", F.lit(c), "token") for c in "/-_"])
-    joined = words.select("h", F.explode(joined).alias("token"), "random")
+    joined = words.select("h", F.xxhash64("token").alias("origin"), F.explode(joined).alias("token"), "random")
     day = F.timestamp_seconds(F.col("id") * 86_000)
     figures = F.array(F.date_format(day, "yyyy-MM-dd-HH-mm-ss"), F.date_format(day, "yyyyMMddHHmmss"), (F.col("id") * 987_654_321_987).cast("string"))
-    figures = spark.range(0, 1000, 1, 1).select("id", F.explode(figures).alias("token"), F.lit(False).alias("random"))
-    tokens = secrets.union(words).union(joined).union(made).union(figures)
-    return tokens.groupBy("h", "token", "random").count().groupBy("token", "random").agg(F.max("count").alias("weight"))
+    figures = spark.range(1, 20_001, 400, 1).select(F.lit(None).cast("long").alias("h"), F.explode(figures).alias("token"), F.lit(False).alias("random"))
+    tokens = secrets.union(words).union(made).union(figures).select("h", F.xxhash64("token").alias("origin"), "token", "random").union(joined)
+    return tokens.groupBy("h", "origin", "token", "random").count().groupBy("origin", "token", "random").agg(F.max("count").alias("weight"), F.max(F.col("h").isNotNull()).alias("met"))
 
 
 def train(samples: DataFrame) -> list[float]:
     """Log-likelihood ratios, random to ordinary, of each character after each.
 
-    ``samples`` is ``(token, random, weight)``, tokens distinct; bigram models,
-    each bigram less what the one token gives that has most of it, so that a
+    ``samples`` is as of :func:`labelled_samples`; bigram models, each bigram
+    less what the one origin's tokens give that have most of it, so that a
     secret among the ordinary tokens counts nothing however often it comes (of
-    fewer than ENOUGH tokens, less one occurrence only), smoothed toward single characters, and these by a half, as a flat list by
+    fewer than ENOUGH tokens, less one occurrence with its joined forms only), smoothed toward single characters, and these by a half, as a flat list by
     ``code(previous) * SIZE + code(next)``, code 0 standing for the start and
     for characters outside of the alphabet. At most SIZE * SIZE * 2 counts come
     to the driver.
     """
     code = lambda c: F.instr(F.lit(ALPHABET), c)
-    pairs = samples.where("token IS NOT NULL AND token != ''").select("random", "token", "weight", F.explode(F.transform(F.sequence(F.lit(1), F.length("token")), lambda i: F.struct(
-        F.when(i > 1, F.substring("token", i - 1, 1)).otherwise("").alias("a"), F.substring("token", i, 1).alias("b")))).alias("p"))
-    pairs = pairs.select("random", "token", "weight", (F.col("p.a") == "").cast("int").alias("first"), F.when(F.col("p.a") == "", 0).otherwise(code(F.col("p.a"))).alias("a"), code(F.col("p.b")).alias("b"))
-    pairs = pairs.groupBy("random", "token", "a", "b").agg(F.sum("weight").alias("n"), F.sum("first").alias("first"))
+    chars = F.split("token", "")
+    steps = F.explode(F.zip_with(F.concat(F.array(F.lit("")), chars), chars, lambda a, b: F.struct(a.alias("a"), b.alias("b"))))
+    pairs = samples.where("token IS NOT NULL AND token != ''").select("random", "origin", "weight", "met", steps.alias("p")).where("p.b IS NOT NULL")
+    pairs = pairs.select("random", "origin", "weight", ((F.col("p.a") == "") & (F.col("met") | F.col("random"))).cast("int").alias("first"), F.when(F.col("p.a") == "", 0).otherwise(code(F.col("p.a"))).alias("a"), code(F.col("p.b")).alias("b"))
+    pairs = pairs.groupBy("random", "origin", "a", "b").agg(F.sum("weight").alias("n"), F.sum("first").alias("first"))
     counts = pairs.groupBy("random", "a", "b").agg(F.sum("n").alias("n"), F.max("n").alias("most"), F.sum("first").alias("first")).collect()
     logs = {}
     for kind in (True, False):
@@ -112,7 +118,7 @@ def train(samples: DataFrame) -> list[float]:
         enough = sum(r["first"] for r in counts if r["random"] == kind) >= ENOUGH
         for r in counts:
             if r["random"] == kind:
-                n[r["a"]][r["b"]] += r["n"] - (r["most"] if enough else 1)
+                n[r["a"]][r["b"]] += max(0, r["n"] - (r["most"] if enough else 1 if kind else WITH_JOINED))
         alone = [sum(row[b] for row in n) + 0.5 for b in range(SIZE)]
         share = [x / sum(alone) for x in alone]
         logs[kind] = [math.log((row[b] + 5 * share[b]) / (sum(row) + 5)) for row in n for b in range(SIZE)]
@@ -121,9 +127,8 @@ def train(samples: DataFrame) -> list[float]:
 
 def ratio_sql(token: str, table: str) -> str:
     """SQL for the log-likelihood ratio of a token, as by ``train``."""
-    return f"""aggregate(sequence(1, length({token})), named_struct('s', 0.0D, 'a', 0),
-        (acc, i) -> named_struct('s', acc.s + element_at({table}, acc.a * {SIZE} + instr('{ALPHABET}', substring({token}, i, 1)) + 1),
-                                 'a', instr('{ALPHABET}', substring({token}, i, 1))), acc -> acc.s)"""
+    return f"""aggregate(transform(split({token}, ''), c -> instr('{ALPHABET}', c)), named_struct('s', 0.0D, 'a', 0),
+        (acc, b) -> named_struct('s', acc.s + element_at({table}, acc.a * {SIZE} + b + 1), 'a', b), acc -> acc.s)"""
 
 
 def scan(docs: DataFrame, text_col: str = "text", model: list[float] | None = None, nats_per_char: float = NATS_PER_CHAR, nats: float = NATS, out: str = "spans") -> DataFrame:
