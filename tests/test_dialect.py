@@ -23,6 +23,9 @@ REJECTED = [
     ("C7", "SELECT t.x AS x FROM tagged, UNNEST(tags) AS t(x)", "UNNEST"),
     ("C8", "SELECT MV_TO_ARRAY(STRING_TO_MV(p_name, ' ')) AS x FROM part", "bare column"),
     ("C9", "SELECT MAX(event_type) AS m FROM events", "does not support type [STRING]"),
+    ("C9", "SELECT MAX(LOWER(event_type)) AS m FROM events", "does not support type [STRING]"),
+    ("C9", "SELECT MIN(x) AS m FROM (SELECT event_type AS x FROM events) q", "does not support type [STRING]"),
+    ("TYPE", "SELECT TIME_EXTRACT(__time, 'FORTNIGHT') AS x FROM events", "FORTNIGHT"),
     ("C10", "SELECT LOOKUP(event_type, 'nope') AS x FROM events", "Lookup [nope] not found"),
     ("C11", "SELECT TIME_FLOOR(event_id, 'P1D') AS x FROM events", "Cannot apply 'TIME_FLOOR'"),
     ("C11", "SELECT TIME_FORMAT(s_iso, 'yyyy') AS x FROM encoded", "Cannot apply 'TIME_FORMAT'"),
@@ -71,6 +74,7 @@ def test_accepted(engine, query):
 def test_lints(engine):
     lints = lambda q: [x.rule for x in engine.translate(q)[1]]
     assert lints("SELECT JSON_VALUE(props, '$.k') AS k FROM events") == ["L1"]
+    assert lints("SELECT JSON_VALUE(p.j, '$.k') AS k FROM (SELECT PARSE_JSON(props) AS j FROM events) p") == []
     assert lints("SELECT MILLIS_TO_TIMESTAMP(e_s) AS t FROM encoded") == ["L2"]
     assert lints("SELECT MILLIS_TO_TIMESTAMP(e_s * 1000) AS t FROM encoded") == []
     assert lints("SELECT COUNT(*) AS n FROM encoded WHERE s_iso BETWEEN TIMESTAMP '2000-01-01' AND TIMESTAMP '2001-01-01'") == ["L3"]

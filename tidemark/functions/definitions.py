@@ -11,6 +11,12 @@ from pyspark.sql import SparkSession
 # ISO periods with a calendar unit of their own.
 _CALENDAR = {"PT1S": "SECOND", "PT1M": "MINUTE", "PT1H": "HOUR", "P1D": "DAY", "P1W": "WEEK", "P1M": "MONTH", "P3M": "QUARTER", "P1Y": "YEAR"}
 
+#: Units of TIME_EXTRACT and Spark's names for them; EPOCH counts seconds, whatever the zone.
+EXTRACT_UNITS = {
+    "EPOCH": "", "SECOND": "SECOND", "MINUTE": "MINUTE", "HOUR": "HOUR", "DAY": "DAY", "DOW": "DAYOFWEEK_ISO", "DOY": "DOY", "WEEK": "WEEK",
+    "MONTH": "MONTH", "QUARTER": "QUARTER", "YEAR": "YEAR",
+}
+
 
 def _period_millis(p: str) -> str:
     """SQL for the milliseconds of a period of days and smaller units."""
@@ -29,15 +35,14 @@ def definitions() -> dict[str, str]:
     months, millis = _period_months("p"), _period_millis("p")
     months_floor = f"timestampadd(MONTH, CAST((year(t) * 12 + month(t) - 1 - 23640) - pmod(year(t) * 12 + month(t) - 1 - 23640, {months}) AS INT), TIMESTAMP '1970-01-01 00:00:00')"
     other = f"CASE WHEN {months} > 0 THEN {months_floor} ELSE timestamp_millis(unix_millis(t) - pmod(unix_millis(t), {millis})) END"
-    extract = " ".join(f"WHEN '{u}' THEN CAST(extract({x} FROM t) AS BIGINT)" for u, x in (
-        ("SECOND", "SECOND"), ("MINUTE", "MINUTE"), ("HOUR", "HOUR"), ("DAY", "DAY"), ("DOW", "DAYOFWEEK_ISO"), ("DOY", "DOY"), ("WEEK", "WEEK"), ("MONTH", "MONTH"), ("QUARTER", "QUARTER"), ("YEAR", "YEAR")))
+    extract = " ".join(f"WHEN '{u}' THEN CAST(extract({x} FROM t) AS BIGINT)" for u, x in EXTRACT_UNITS.items() if x)
     shifted = f"(t + make_interval(0, CAST(n * {months} AS INT)) + make_dt_interval(0, 0, 0, CAST(n * {millis} AS DECIMAL(18,6)) / 1000))"
     iso = "coalesce(try_to_timestamp(s), try_to_timestamp(s, 'yyyy-MM-dd''T''HH:mm:ss''Z'''))"
     return {
         "time_floor(t TIMESTAMP, p STRING) RETURNS TIMESTAMP": f"CASE p {floor} ELSE {other} END",
         "time_shift(t TIMESTAMP, p STRING, n INT) RETURNS TIMESTAMP": shifted,
         "time_ceil(t TIMESTAMP, p STRING) RETURNS TIMESTAMP": "CASE WHEN time_floor(t, p) = t THEN t ELSE time_shift(time_floor(t, p), p, 1) END",
-        "time_extract(t TIMESTAMP, u STRING, tz STRING DEFAULT 'UTC') RETURNS BIGINT": f"CASE upper(u) {extract.replace('FROM t)', 'FROM from_utc_timestamp(t, tz))')} END",
+        "time_extract(t TIMESTAMP, u STRING, tz STRING DEFAULT 'UTC') RETURNS BIGINT": f"CASE upper(u) {extract.replace('FROM t)', 'FROM from_utc_timestamp(t, tz))')} WHEN 'EPOCH' THEN unix_seconds(t) END",
         "time_format(t TIMESTAMP, f STRING DEFAULT 'yyyy-MM-dd''T''HH:mm:ss.SSS''Z''', tz STRING DEFAULT 'UTC') RETURNS STRING": "date_format(from_utc_timestamp(t, tz), f)",
         "time_parse(s STRING, f STRING DEFAULT '', tz STRING DEFAULT 'UTC') RETURNS TIMESTAMP": f"to_utc_timestamp(CASE WHEN f = '' THEN {iso} ELSE try_to_timestamp(s, nullif(f, '')) END, tz)",
         "millis_to_timestamp(ms BIGINT) RETURNS TIMESTAMP": "timestamp_millis(ms)",

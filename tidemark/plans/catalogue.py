@@ -36,6 +36,7 @@ def engine_for(spark: SparkSession, sf_dir: str) -> Engine:
     dirty = s.read.parquet(f"{sf_dir}/events.parquet").select("ts", F.when(F.col("event_id") % 25 == 0, '{"flag": tr').otherwise(flag).alias("j"))
     engine.register("dirty", dirty, "ts")
     engine.register_lookup("kinds", {"click": "Click", "error": "Error"})
+    engine.register_lookup("customers", s.read.parquet(f"{sf_dir}/customer.parquet").select(F.col("c_custkey").alias("k"), F.col("c_mktsegment").alias("v")))
     _engines[key] = spark, engine
     return engine
 

@@ -87,8 +87,8 @@ _add("conditional_aggregates", """SELECT o_orderpriority, SUM(CASE WHEN o_orders
      "SELECT o_orderpriority, sum(CASE WHEN o_orderstatus = 'F' THEN 1 ELSE 0 END)::BIGINT AS f, (sum(CASE WHEN o_orderstatus = 'F' THEN 1 ELSE 0 END)::DOUBLE / count(*)) AS share FROM orders GROUP BY 1")
 _add("integer_division", """SELECT user_id, SUM(event_id) / COUNT(*) AS "whole", MAX(event_id) / 7 AS "sevenths", SUM(event_id) * 1.0 / 4 AS "exact" FROM events GROUP BY 1""",
      "SELECT user_id, (sum(event_id) // count(*))::BIGINT AS whole, max(event_id) // 7 AS sevenths, (sum(event_id)::DOUBLE / 4) AS exact FROM events GROUP BY 1")
-_add("safe_division", """SELECT event_id, SAFE_DIVIDE("value", user_id - 5) AS "d", CAST(NULLIF(user_id, 5) AS DOUBLE) AS "u", COALESCE(NULLIF(user_id, 5), -1) AS "c", NVL(NULLIF(user_id, 5), 0) AS "v", IFNULL(NULLIF(user_id, 5), 1) AS "i" FROM events WHERE user_id < 10""",
-     "SELECT event_id, CASE WHEN user_id = 5 THEN NULL ELSE value / (user_id - 5) END AS d, nullif(user_id, 5)::DOUBLE AS u, coalesce(nullif(user_id, 5), -1) AS c, coalesce(nullif(user_id, 5), 0) AS v, coalesce(nullif(user_id, 5), 1) AS i FROM events WHERE user_id < 10")
+_add("safe_division", """SELECT event_id, SAFE_DIVIDE("value", user_id - 5) AS "d", CAST(NULLIF(user_id, 5) AS DOUBLE) AS "u", COALESCE(NULLIF(user_id, 5), -1) AS "c", NVL(NULLIF(user_id, 5), 0) AS "v", IFNULL(NULLIF(user_id, 5), 1) AS "i" FROM events""",
+     "SELECT event_id, CASE WHEN user_id = 5 THEN NULL ELSE value / (user_id - 5) END AS d, nullif(user_id, 5)::DOUBLE AS u, coalesce(nullif(user_id, 5), -1) AS c, coalesce(nullif(user_id, 5), 0) AS v, coalesce(nullif(user_id, 5), 1) AS i FROM events")
 _add("avg_nullif", """SELECT event_type, ROUND(AVG(NULLIF(user_id, 0)), 6) AS "a" FROM events GROUP BY 1""", "SELECT event_type, round(avg(nullif(user_id, 0)), 6) AS a FROM events GROUP BY 1")
 _add("having_alias", """SELECT user_id, COUNT(*) AS "n", COUNT(DISTINCT event_type) AS "kinds" FROM events GROUP BY 1 HAVING "n" > 60 AND COUNT(DISTINCT event_type) >= 5 ORDER BY "n" DESC""",
      "SELECT user_id, count(*) AS n, count(DISTINCT event_type) AS kinds FROM events GROUP BY 1 HAVING count(*) > 60 AND count(DISTINCT event_type) >= 5")
@@ -148,10 +148,24 @@ _add("mv_contains_overlap", """SELECT COUNT(*) FILTER (WHERE MV_CONTAINS(tags, '
      "WITH t AS (SELECT CASE WHEN p_partkey % 10 = 0 THEN []::VARCHAR[] ELSE string_split(p_name, ' ') END AS tags FROM part) SELECT count(*) FILTER (list_contains(tags, 'red')) AS a, count(*) FILTER (list_has_any(tags, ['red', 'ring'])) AS b, count(*) FILTER (list_has_all(tags, ['red', 'ring'])) AS c, count(*) FILTER (list_contains(tags, 'ring')) AS d, count(*) FILTER (NOT list_contains(tags, 'ring')) AS e, sum(len(tags))::BIGINT AS f FROM t")
 _add("mv_filter_group", """SELECT MV_FILTER_ONLY(tags, ARRAY['red', 'ring', 'gear']) AS "tag", COUNT(*) AS "n" FROM tagged WHERE MV_OVERLAP(tags, ARRAY['red', 'ring', 'gear']) GROUP BY 1""",
      "SELECT tag, count(*) AS n FROM (SELECT unnest(string_split(p_name, ' ')) AS tag FROM part WHERE p_partkey % 10 <> 0) WHERE tag IN ('red', 'ring', 'gear') GROUP BY 1")
-_add("mv_positions", """SELECT p_partkey, MV_OFFSET_OF(tags, 'ring') AS "o", MV_ORDINAL_OF(tags, 'ring') AS "p", MV_LENGTH(MV_FILTER_NONE(tags, ARRAY['ring'])) AS "rest" FROM tagged WHERE p_partkey < 500""",
+_add("mv_positions", """SELECT p_partkey, MV_OFFSET_OF(tags, 'ring') AS "o", MV_ORDINAL_OF(tags, 'ring') AS "p", MV_LENGTH(MV_FILTER_NONE(tags, ARRAY['ring'])) AS "rest" FROM tagged""",
      "WITH t AS (SELECT p_partkey, CASE WHEN p_partkey % 10 = 0 THEN []::VARCHAR[] ELSE string_split(p_name, ' ') END AS tags FROM part WHERE p_partkey < 500) SELECT p_partkey, coalesce(list_position(tags, 'ring'), 0) - 1 AS o, coalesce(nullif(list_position(tags, 'ring'), 0), -1) AS p, len(list_filter(tags, lambda x: x <> 'ring')) AS rest FROM t")
 _add("unnest_text", """SELECT t."word" AS "word", COUNT(*) AS "n" FROM part, UNNEST(STRING_TO_ARRAY(p_name, ' ')) AS t("word") GROUP BY 1""", "SELECT unnest(string_split(p_name, ' ')) AS word, count(*) AS n FROM part GROUP BY 1")
 _add("unnest_mv", """SELECT t."tag" AS "tag", COUNT(*) AS "n" FROM tagged CROSS JOIN UNNEST(MV_TO_ARRAY(tags)) AS t("tag") GROUP BY 1""", "SELECT unnest(string_split(p_name, ' ')) AS tag, count(*) AS n FROM part WHERE p_partkey % 10 <> 0 GROUP BY 1")
 _add("json_value", """SELECT JSON_VALUE(PARSE_JSON(props), '$.k') AS "k", COUNT(*) AS "n" FROM events GROUP BY 1""", "SELECT json_extract_string(props, '$.k') AS k, count(*) AS n FROM events GROUP BY 1")
 _add("json_malformed", """SELECT COUNT(JSON_VALUE(TRY_PARSE_JSON(j), '$.flag')) AS "ok", COUNT(*) FILTER (WHERE JSON_VALUE(TRY_PARSE_JSON(j), '$.flag') = '1') AS "on", COUNT(JSON_VALUE(j, '$.flag')) AS "raw" FROM dirty""",
      "SELECT count(*) FILTER (event_id % 25 <> 0) AS ok, count(*) FILTER (event_id % 25 <> 0 AND event_id % 2 = 0) AS on, 0::BIGINT AS raw FROM events")
+
+# what needs the types or the shape of a query ------------------------------------
+_add("json_value_of_parsed", """SELECT JSON_VALUE(p.j, '$.k') AS "k", COUNT(*) AS "n" FROM (SELECT PARSE_JSON(props) AS j FROM events) p GROUP BY 1""",
+     "SELECT json_extract_string(props, '$.k') AS k, count(*) AS n FROM events GROUP BY 1")
+_add("latest_in_join", """SELECT o.o_custkey, LATEST(l.l_linenumber) AS "x" FROM (SELECT __time, l_orderkey, MAX(l_linenumber) AS l_linenumber FROM lineitem GROUP BY 1, 2) l INNER JOIN orders o ON l.l_orderkey = o.o_orderkey GROUP BY 1 HAVING COUNT(DISTINCT l.__time) = COUNT(*)""",
+     "SELECT o_custkey, arg_max(m, l_shipdate) AS x FROM (SELECT l_shipdate, l_orderkey, max(l_linenumber) AS m FROM lineitem GROUP BY 1, 2) l JOIN orders ON l_orderkey = o_orderkey GROUP BY 1 HAVING count(DISTINCT l_shipdate) = count(*)")
+_add("mv_in", """SELECT COUNT(*) AS "n" FROM tagged WHERE tags IN ('red', 'ring') AND NOT tags IN ('blue') AND tags NOT IN ('steel') AND 'green' <> tags""",
+     """WITH t AS (SELECT CASE WHEN p_partkey % 10 = 0 THEN CAST([] AS VARCHAR[]) ELSE string_split(p_name, ' ') END AS v FROM part)
+     SELECT count(*) AS n FROM t WHERE list_has_any(v, ['red', 'ring']) AND NOT list_contains(v, 'blue') AND NOT list_contains(v, 'steel') AND NOT list_contains(v, 'green')""")
+_add("union_all_ordered", """SELECT event_type AS "kind", COUNT(*) AS "n" FROM events GROUP BY 1 UNION ALL SELECT o_orderstatus, COUNT(*) FROM orders GROUP BY 1 ORDER BY "n" DESC, "kind" LIMIT 4 OFFSET 1""",
+     "SELECT event_type AS kind, count(*) AS n FROM events GROUP BY 1 UNION ALL SELECT o_orderstatus, count(*) FROM orders GROUP BY 1 ORDER BY n DESC, kind LIMIT 4 OFFSET 1")
+_add("lookup_of_many_keys", """SELECT LOOKUP(CAST(o_custkey AS VARCHAR), 'customers', 'none') AS "segment", COUNT(*) AS "n", SUM(CASE WHEN LOOKUP(CAST(o_custkey AS VARCHAR), 'customers') = 'BUILDING' THEN 1 ELSE 0 END) AS "b" FROM orders GROUP BY 1""",
+     "SELECT coalesce(c_mktsegment, 'none') AS segment, count(*) AS n, sum(CASE WHEN c_mktsegment = 'BUILDING' THEN 1 ELSE 0 END)::BIGINT AS b FROM orders LEFT JOIN customer ON c_custkey = o_custkey GROUP BY 1")
+_add("time_extract_epoch", """SELECT TIME_EXTRACT(__time, 'EPOCH') AS "s", COUNT(*) AS "n" FROM events GROUP BY 1""", "SELECT floor(epoch(ts))::BIGINT AS s, count(*) AS n FROM events GROUP BY 1")
