@@ -33,18 +33,25 @@ def with_wrappers(df: DataFrame, sql: str, order: str, share: float = 0.1, seed:
 
 
 def substitute_term(text: Column, old: str, new: str) -> Column:
-    """The text with a term replaced: plurals and possessives kept, also the term without
-    middle words, a capital kept, and the article before it fitted to the new term."""
-    words = old.split()
-    forms = [words] + [[words[0], *words[-k:]] for k in range(len(words) - 2, 0, -1)]
-    body = "|".join(r"\s+".join(map(re.escape, f)) for f in forms)
-    article = "an" if new[:1].lower() in "aeiou" else "a"
-    capital = new[:1].upper() + new[1:]
-    tail = r"((?:e?s)?(?:'s)?)(?!\w)"
-    for lead, a, flags in ((r"\bAn?\s+", article.capitalize() + " ", ""), (r"\ban?\s+", article + " ", ""), (r"\b", "", "")):
-        for first, value in ((lambda c: c.upper(), capital), (lambda c: c.lower(), new)):
-            pattern = f"{lead}(?=[{re.escape(first(old[0]))}])(?i:{body}){tail}"
-            text = F.regexp_replace(text, pattern, a + value.replace("\\", "\\\\").replace("$", "\\$") + "$1")
+    """The text with a term replaced, whatever its capitals; what is added to its last word stays.
+
+    The term may also stand shortened, with words in its middle left out. A
+    capital goes over to the new term, and an indefinite article before it
+    becomes the one that the new term takes.
+    """
+    first, *rest = map(re.escape, old.split())
+    optional = "".join(rf"(?:\s+{w})?" for w in rest[:-1])
+    body = first + optional + (rf"\s+{rest[-1]}" if rest else "")
+    sound = "an" if new[:1].lower() in tuple("aeiou") else "a"
+    quote = lambda t: t.replace("\\", "\\\\").replace("$", "\\$")
+    # four cases: the article's capital, none, and the term's own capital
+    for article, put in (("A", sound.capitalize() + "$1"), ("a", sound + "$1"), (None, "")):
+        for upper in (True, False):
+            lead = rf"\b(?-i:{article})n?(\s+)" if article else r"\b()"
+            case = f"(?={'[A-Z]' if upper else '[^A-Z]'})"
+            pattern = rf"(?i){lead}(?-i:{case})({body})((?:e?s)?(?:'s)?)(?!\w)"
+            value = new[:1].upper() + new[1:] if upper else new
+            text = F.regexp_replace(text, pattern, put + quote(value) + "$3")
     return text
 
 

@@ -102,20 +102,37 @@ def widened(df: DataFrame, width: int, seed: int, pools: dict[str, list[str]]) -
     return numbered.select(*df.columns, *[pick(v, seed, n).alias(n) for n, v in names])
 
 
-# Parts of names that tell a metric's role and direction.
-ADDITIVE_PARTS = ("count", "total", "num", "qty", "quantity", "amount", "bytes", "revenue", "cost", "units", "sum")
-WORSE_PARTS = ("error", "fail", "latency", "delay", "loss", "drop", "churn", "defect", "timeout", "downtime", "fraud")
-BETTER_PARTS = ("revenue", "profit", "score", "success", "satisfaction", "uptime", "conversion", "margin")
-RATE_PARTS = ("_pct", "pct_", "rate", "score", "_ms", "ratio")
+#: What words of a column's name, or of its description, say of a metric: (aspect, value, words).
+METRIC_WORDS = (
+    ("role", "flag", "is has flag".split()),
+    ("role", "category_numeric", "code type class level tier".split()),
+    ("role", "nonadditive", "pct percent rate ratio score avg mean price temperature ms latency".split()),
+    ("role", "additive", "count total num qty quantity amount bytes revenue cost units sum".split()),
+    ("direction", "higher_is_worse", "error errors fail failed failure latency delay loss drop churn defect timeout downtime fraud".split()),
+    ("direction", "higher_is_better", "revenue profit score success satisfaction uptime conversion margin".split()),
+)
 
 
 def classify_metric(name: str, values: list | None = None, description: str = "") -> tuple[str, str]:
-    """(role, direction) of a metric column by its name, values and description."""
-    n, d = name.lower(), description.lower()
-    if values is not None and sorted(set(values)) == [0, 1] or n.startswith(("is_", "has_")) or n.endswith("_flag") or "true/false" in d:
-        return "flag", "neutral"
-    if n.endswith(("_code", "_type", "_class", "_level", "_tier")) and values is not None:
-        return "category_numeric", "neutral"
-    direction = "higher_is_worse" if any(p in n or p in d for p in WORSE_PARTS) else "higher_is_better" if any(p in n or p in d for p in BETTER_PARTS) else "neutral"
-    additive = any(p in n for p in ADDITIVE_PARTS) and not any(p in n for p in RATE_PARTS)
-    return "additive" if additive else "nonadditive", direction
+    """(role, direction) of a metric column by the words of its name, its values and its description.
+
+    Of the words that tell a role the first in the order of ``METRIC_WORDS``
+    counts; is, has and flag at an end of the name only. Columns of 0 and 1 are
+    flags, and codes are categories where their values are known.
+    """
+    words = name.lower().split("_")
+    told = {}
+    for aspect, value, known in METRIC_WORDS:
+        at = {w for w in words if w in known}
+        if value == "flag":
+            at = {w for w in (words[0], words[-1]) if w in known}
+        if value == "category_numeric" and values is None:
+            at = set()
+        if aspect == "direction":
+            at |= {w for w in description.lower().split() if w in known}
+        if at:
+            told.setdefault(aspect, value)
+    if values is not None and set(values) == {0, 1}:
+        told["role"] = "flag"
+    role = told.get("role", "nonadditive")
+    return role, "neutral" if role in ("flag", "category_numeric") else told.get("direction", "neutral")
