@@ -6,7 +6,7 @@ and each path within a site a Beta posterior of being good, shrunk to its parent
 path to host, host to the global rate, with strengths fitted by moments. A
 document's posterior log-odds are its path's prior log-odds plus its evidence,
 and a second pass lets unlabelled documents speak for their site too, by their
-evidence. Sites are grouped aggregates, never groups held by a task.
+evidence, each for all but itself. Sites are grouped aggregates, never groups held by a task.
 """
 
 from __future__ import annotations
@@ -122,7 +122,8 @@ def classify(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
     does. The classifier is fitted on about ``sample_rows`` labelled rows, chosen
     by hash of the id; rates cover all. ``host`` and ``path`` default to the
     columns source and lang; a null one is a site of its own. Null, empty and
-    wordless texts have score 0 and are not kept. Without labels of both kinds
+    wordless texts have score 0 and are not kept. Both rates leave the row's own label or
+    evidence out. Rows with null or repeated ids are judged like any other. Without labels of both kinds
     the evidence is 0, and without any label the global rate is 1/2.
     """
     spark = docs.sparkSession
@@ -155,15 +156,24 @@ def classify(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
     soft = scored.join(known, "id", "left").where("worded")
     weight = F.when(F.col("y").isNotNull(), 1.0).otherwise(0.25)
     good = F.coalesce(F.col("y").cast("double"), rate(F.lit(float(np.log(overall / (1 - overall)))) + F.col("evidence")))
-    paths = stash(soft.select("host", "path", weight.alias("w"), (good * weight).alias("g")).groupBy("host", "path").agg(F.sum("w").alias("n"), F.sum("g").alias("good")))
+    soft = soft.select("host", "path", weight.alias("w"), (good * weight).alias("g"))
+    paths = stash(soft.groupBy("host", "path").agg(F.sum("w").alias("n"), F.sum("g").alias("good")))
     hosts = paths.groupBy("host").agg(F.sum("n").alias("n"), F.sum("good").alias("good"))
-    k_host = _strength(hosts, overall)
-    hosts = hosts.select(F.col("host").alias("h"), ((F.col("good") + k_host * overall) / (F.col("n") + k_host)).alias("host_rate"))
-    paths = paths.join(hosts, F.col("host").eqNullSafe(F.col("h"))).drop("h")
-    k_path = _strength(paths, F.col("host_rate"))
-    # the rate of the rest of the path's documents barely differs from the path's: sums are kept
-    paths = paths.select(F.col("host").alias("h"), F.col("path").alias("p"), "host_rate", ((F.col("good") + k_path * F.col("host_rate")) / (F.col("n") + k_path)).alias("path_rate"))
-    out = scored.join(paths, scored["host"].eqNullSafe(paths["h"]) & scored["path"].eqNullSafe(paths["p"]), "left")
-    prior = F.greatest(F.least(F.coalesce("path_rate", F.lit(overall)), F.lit(0.999)), F.lit(0.001))
+    # how far rates differ between sites, and between paths of a site, shows in whole labels
+    seen = stash(labelled.groupBy("host", "path").agg(F.count("*").alias("n"), F.sum("y").alias("good")))
+    k_host = _strength(seen.groupBy("host").agg(F.sum("n").alias("n"), F.sum("good").alias("good")), overall)
+    hosts = hosts.select(F.col("host").alias("h"), F.col("n").alias("host_n"), F.col("good").alias("host_good"))
+    host_mean = (F.col("host_good") + k_host * overall) / (F.col("host_n") + k_host)
+    k_path = _strength(seen.join(hosts, F.col("host").eqNullSafe(F.col("h"))), host_mean)
+    paths = paths.select("host", F.col("path").alias("p"), F.col("n").alias("path_n"), F.col("good").alias("path_good"))
+    paths = paths.join(hosts, F.col("host").eqNullSafe(F.col("h"))).drop("host")
+    # what a document itself says, or its label, is left out of the rates that it meets
+    own = scored.join(known, "id", "left")
+    own = own.withColumn("w", F.when(~F.col("worded"), 0.0).otherwise(weight)).withColumn("g", F.when(~F.col("worded"), 0.0).otherwise(good * weight))
+    out = own.join(paths, own["host"].eqNullSafe(paths["h"]) & own["path"].eqNullSafe(paths["p"]), "left")
+    host_rate = (F.coalesce("host_good", F.lit(0.0)) - F.col("g") + k_host * overall) / (F.coalesce("host_n", F.lit(0.0)) - F.col("w") + k_host)
+    out = out.withColumn("host_rate", F.greatest(F.least(host_rate, F.lit(0.999)), F.lit(0.001)))
+    path_rate = (F.coalesce("path_good", F.lit(0.0)) - F.col("g") + k_path * F.col("host_rate")) / (F.coalesce("path_n", F.lit(0.0)) - F.col("w") + k_path)
+    prior = F.greatest(F.least(path_rate, F.lit(0.999)), F.lit(0.001))
     score = F.when(F.col("worded"), rate(logit(prior) + F.col("evidence"))).otherwise(0.0)
-    return out.select(F.col("id").alias(id_col), "evidence", F.coalesce("host_rate", F.lit(overall)).alias("host_rate"), prior.alias("path_rate"), score.alias("score"), (score >= threshold).alias("kept"))
+    return out.select(F.col("id").alias(id_col), "evidence", "host_rate", prior.alias("path_rate"), score.alias("score"), (score >= threshold).alias("kept"))

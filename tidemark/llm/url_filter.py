@@ -3,7 +3,7 @@
 Two smoothed variable-order Markov models, of accepted and of rejected URLs, are
 counted over all URLs that the rules decide. A URL without a rule is judged by
 the difference of its log-likelihoods per character against a threshold that is
-calibrated on the decided URLs.
+calibrated on decided URLs that it wasn't counted over.
 
 Characters fold to a fixed alphabet (case and digits folded), so counts of all
 contexts have a proven bound: ``SIZE ** (ORDER + 1)`` for each model.
@@ -24,6 +24,8 @@ ORDER = 3
 #: Default rules: (host, path, verdict).
 RULES = (("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"), ("org", "/fr/", "allow"))
 BINS = 2001
+#: One part in so many of the decided URLs sets the threshold.
+PARTS = 5
 
 _CODES = np.full(0x110000, SIZE - 1, np.int64)
 for _i, _c in enumerate(ALPHABET):
@@ -62,14 +64,14 @@ def _grams(url: str) -> np.ndarray:
 
 
 def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    sums = np.zeros((2, SIZE ** (ORDER + 1)), np.int64)
+    sums = np.zeros((4, SIZE ** (ORDER + 1)), np.int32)
     for b in batches:
-        for url, allow in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-            np.add.at(sums[int(allow)], _grams(url), 1)
-    for side in (0, 1):
+        for url, side in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+            np.add.at(sums[side], _grams(url), 1)
+    for side in range(4):
         at = np.flatnonzero(sums[side])
         if len(at):
-            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(at), side, np.int64)), pa.array(at), pa.array(sums[side][at])], ["side", "gram", "n"])
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(at), side, np.int64)), pa.array(at), pa.array(sums[side][at], pa.int64())], ["side", "gram", "n"])
 
 
 def smoothed(counts: np.ndarray) -> np.ndarray:
@@ -95,6 +97,7 @@ class UrlModel:
         self.default = not counts[0].sum()  # with one kind only, that one; with none, allow
         self.ratio = (smoothed(counts[1]) - smoothed(counts[0])).astype(np.float32) if self.known else np.zeros(1, np.float32)
         self.threshold = 0.0
+        self.error = None  # mean error of the two kinds at the threshold
 
     def score(self, url: str) -> float:
         """Log-likelihood difference per character; 0 for an empty URL."""
@@ -116,26 +119,34 @@ def _scored(shared):
 def train(urls: DataFrame, rules=RULES) -> UrlModel:
     """The model of ``(url, verdict)``, the verdict null where no rule decides.
 
-    At most 2 * SIZE ** (ORDER + 1) counts come to the driver. The threshold is
-    the one with the least mean error of the two kinds, over all decided URLs,
-    from a histogram of their scores.
+    At most 4 * SIZE ** (ORDER + 1) counts come to the driver. The threshold is
+    the one with the least mean error of the two kinds on one part in
+    ``PARTS`` of the decided URLs, by their hash, under a model counted over the
+    others, from a histogram of the scores; the model that is returned counts
+    all. If one of the two lacks a kind, the model of all URLs judges them all.
     """
-    decided = urls.where("verdict IS NOT NULL AND url IS NOT NULL").select("url", (F.col("verdict") == "allow").alias("allow"))
-    got = decided.mapInArrow(_counted, "side long, gram long, n long").groupBy("side", "gram").agg(F.sum("n").alias("n")).toPandas()
-    counts = np.zeros((2, SIZE ** (ORDER + 1)), np.int64)
+    held_out = F.pmod(F.xxhash64("url"), F.lit(PARTS)) == 0
+    decided = urls.where("verdict IS NOT NULL AND url IS NOT NULL").select("url", (F.col("verdict") == "allow").alias("allow"), held_out.alias("held_out"))
+    side = F.col("allow").cast("long") + 2 * F.col("held_out").cast("long")
+    got = decided.select("url", side.alias("side")).mapInArrow(_counted, "side long, gram long, n long").groupBy("side", "gram").agg(F.sum("n").alias("n")).toPandas()
+    counts = np.zeros((4, SIZE ** (ORDER + 1)), np.int64)
     counts[got["side"].to_numpy(np.int64), got["gram"].to_numpy(np.int64)] = got["n"].to_numpy(np.int64)
-    model = UrlModel(counts)
-    if model.known:
-        shared = urls.sparkSession.sparkContext.broadcast(model)
-        scores = decided.mapInArrow(_scored(shared), "url string, allow boolean, score double")
-        bins = scores.groupBy("allow", F.least(F.greatest(F.floor((F.col("score") + 2) * (BINS // 4)), F.lit(0)), F.lit(BINS - 1)).alias("bin")).count().collect()
-        hist = np.zeros((2, BINS))
-        for r in bins:
-            hist[int(r["allow"]), r["bin"]] += r["count"]
-        below = np.cumsum(hist / np.maximum(hist.sum(axis=1, keepdims=True), 1), axis=1)
-        error = below[1] + (1 - below[0])  # with bins up to k rejected
-        best = np.flatnonzero(error <= error.min() + 1e-12)
-        model.threshold = (best[len(best) // 2] + 1) / (BINS // 4) - 2
+    model, learnt = UrlModel(counts[:2] + counts[2:]), UrlModel(counts[:2])
+    if not model.known:
+        return model
+    apart = learnt.known and counts[2].any() and counts[3].any()
+    shared = urls.sparkSession.sparkContext.broadcast(learnt if apart else model)
+    judged = decided.where("held_out") if apart else decided
+    scores = judged.select("url", "allow").mapInArrow(_scored(shared), "url string, allow boolean, score double")
+    bins = scores.groupBy("allow", F.least(F.greatest(F.floor((F.col("score") + 2) * (BINS // 4)), F.lit(0)), F.lit(BINS - 1)).alias("bin")).count().collect()
+    hist = np.zeros((2, BINS))
+    for r in bins:
+        hist[int(r["allow"]), r["bin"]] += r["count"]
+    below = np.cumsum(hist / np.maximum(hist.sum(axis=1, keepdims=True), 1), axis=1)
+    error = below[1] + (1 - below[0])  # with bins up to k rejected
+    best = np.flatnonzero(error <= error.min() + 1e-12)
+    model.threshold = (best[len(best) // 2] + 1) / (BINS // 4) - 2
+    model.error = float(error.min() / 2)
     return model
 
 

@@ -27,7 +27,9 @@ from .components import connected_components
 from .jaccard import Forest
 from .vectors import bounded_sample, is_usable, kmeans, packed
 
-SAMPLE, MAX_LISTS, PER_LIST, PART = 20_000, 1024, 2048, 4096
+SAMPLE, MAX_LISTS, PER_LIST, PART = 20_000, 4096, 2048, 4096
+#: Queries of a list that one task takes.
+QUERIES = 32_768
 SUBSPACES, CODES = 8, 64
 
 
@@ -197,11 +199,12 @@ def _block_links(classes: DataFrame, threshold: float) -> DataFrame:
     shared = spark.sparkContext.broadcast((pq, radii))
     sizes = entries.groupBy("label", "list").agg(F.ceil(F.count("*") / PART).cast("int").alias("parts"))
     entries = entries.join(sizes, ["label", "list"]).withColumn("part", F.pmod(F.xxhash64("id"), F.col("parts")).cast("int"))
-    queries = classes.select("id", "label", "v").mapInArrow(_probed(shared, reach), "id long, label string, v array<double>, lists array<long>")
+    queries = stash(classes.select("id", "label", "v").mapInArrow(_probed(shared, reach), "id long, label string, v array<double>, lists array<long>"))
+    # lists that very many probe have their queries dealt out too, so that no group is unbounded; others go in one piece
+    asked = queries.select("label", F.explode("lists").alias("list")).groupBy("label", "list").agg(F.ceil(F.count("*") / QUERIES).cast("int").alias("deals"))
+    sizes = sizes.join(asked, ["label", "list"])
     queries = queries.select("id", "label", "v", F.explode("lists").alias("list")).join(sizes, ["label", "list"]).withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-    # queries of a part are dealt out too, so that no group is unbounded
-    most = F.ceil(F.lit(n) / (8 * PART)).cast("int")
-    queries = queries.withColumn("deal", F.pmod(F.hash("id"), F.greatest(most, F.lit(1))))
-    entries = entries.withColumn("deal", F.explode(F.sequence(F.lit(0), F.greatest(most, F.lit(1)) - 1)))
+    queries = queries.withColumn("deal", F.pmod(F.hash("id"), F.col("deals")))
+    entries = entries.join(asked, ["label", "list"]).withColumn("deal", F.explode(F.sequence(F.lit(0), F.col("deals") - 1)))
     keys = ["label", "list", "part", "deal"]
     return queries.select(*keys, "id", "v").groupBy(*keys).cogroup(entries.select(*keys, "id", "v", "m", "codes", "error").groupBy(*keys)).applyInPandas(_linked(shared, threshold, reach), "id long, links long, other long")
