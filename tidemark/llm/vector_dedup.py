@@ -105,8 +105,11 @@ def _probed(shared, reach: float):
         pq, radii = shared.value
         for b in batches:
             if len(b):
-                lists = [p.tolist() for p in pq.probes(packed(b.column(2)), radii, reach)]
-                yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), b.column(2), pa.array(lists, pa.list_(pa.int64()))], ["id", "label", "v", "lists"])
+                x = packed(b.column(2))
+                own = pq.nearest(x)[0]
+                # the bounds hold both ways: of two vectors within reach, the one of the earlier list meets the other
+                lists = [[int(k), *p[p > k].tolist()] for k, p in zip(own, pq.probes(x, radii, reach))]
+                yield pa.RecordBatch.from_arrays([*b.columns, pa.array(own, pa.int64()), pa.array(lists, pa.list_(pa.int64()))], ["id", "label", "v", "m", "own", "lists"])
 
     return run
 
@@ -121,7 +124,8 @@ def _linked(shared, threshold: float, reach: float):
         limit = (reach + entries["error"].to_numpy() + 1e-4) ** 2
         y_id, m, x_id = entries["id"].to_numpy(), entries["m"].to_numpy(), queries["id"].to_numpy()
         ids, at = np.unique(np.r_[x_id, y_id], return_inverse=True)
-        links, forest = np.zeros(len(x_id), np.int64), Forest(len(ids))
+        links, back, forest = np.zeros(len(x_id), np.int64), np.zeros(len(y_id), np.int64), Forest(len(ids))
+        x_m, other_list = queries["m"].to_numpy(), queries["own"].to_numpy() != int(key[1])
         for a in range(0, len(x_id), 512):
             x = np.stack(queries["v"].iloc[a : a + 512]).astype(np.float64)
             near = pq.table_distances(x, int(key[1]), codes) <= limit
@@ -131,9 +135,12 @@ def _linked(shared, threshold: float, reach: float):
                 ok = np.einsum("ij,ij->i", x[p], y[q]) >= threshold
                 p, q = p[ok], q[ok]
                 np.add.at(links, p + a, m[q])
+                far = other_list[p + a]  # such a pair is met here only: it counts for both
+                np.add.at(back, q[far], x_m[p[far] + a])
                 forest.add(at[p + a], at[len(x_id) + q])
-        some, edges = np.flatnonzero(links), ids[forest.edges()]
-        return pd.concat([empty, pd.DataFrame({"id": x_id[some], "links": links[some], "other": pd.array([None] * len(some), "Int64")}),
+        edges, found = ids[forest.edges()], np.r_[links, back]
+        some, all_ids = np.flatnonzero(found), np.r_[x_id, y_id]
+        return pd.concat([empty, pd.DataFrame({"id": all_ids[some], "links": found[some], "other": pd.array([None] * len(some), "Int64")}),
                           pd.DataFrame({"id": edges[:, 0], "links": np.zeros(len(edges), np.int64), "other": pd.array(edges[:, 1], "Int64")})])
 
     return run
@@ -199,12 +206,12 @@ def _block_links(classes: DataFrame, threshold: float) -> DataFrame:
     shared = spark.sparkContext.broadcast((pq, radii))
     sizes = entries.groupBy("label", "list").agg(F.ceil(F.count("*") / PART).cast("int").alias("parts"))
     entries = entries.join(sizes, ["label", "list"]).withColumn("part", F.pmod(F.xxhash64("id"), F.col("parts")).cast("int"))
-    queries = stash(classes.select("id", "label", "v").mapInArrow(_probed(shared, reach), "id long, label string, v array<double>, lists array<long>"))
+    queries = stash(classes.select("id", "label", "v", "m").mapInArrow(_probed(shared, reach), "id long, label string, v array<double>, m long, own long, lists array<long>"))
     # lists that very many probe have their queries dealt out too, so that no group is unbounded; others go in one piece
     asked = queries.select("label", F.explode("lists").alias("list")).groupBy("label", "list").agg(F.ceil(F.count("*") / QUERIES).cast("int").alias("deals"))
     sizes = sizes.join(asked, ["label", "list"])
-    queries = queries.select("id", "label", "v", F.explode("lists").alias("list")).join(sizes, ["label", "list"]).withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+    queries = queries.select("id", "label", "v", "m", "own", F.explode("lists").alias("list")).join(sizes, ["label", "list"]).withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
     queries = queries.withColumn("deal", F.pmod(F.hash("id"), F.col("deals")))
     entries = entries.join(asked, ["label", "list"]).withColumn("deal", F.explode(F.sequence(F.lit(0), F.col("deals") - 1)))
     keys = ["label", "list", "part", "deal"]
-    return queries.select(*keys, "id", "v").groupBy(*keys).cogroup(entries.select(*keys, "id", "v", "m", "codes", "error").groupBy(*keys)).applyInPandas(_linked(shared, threshold, reach), "id long, links long, other long")
+    return queries.select(*keys, "id", "v", "m", "own").groupBy(*keys).cogroup(entries.select(*keys, "id", "v", "m", "codes", "error").groupBy(*keys)).applyInPandas(_linked(shared, threshold, reach), "id long, links long, other long")
