@@ -66,7 +66,7 @@ def located(df: DataFrame, name: str, text: str, pattern: str, ok: str, extra: s
     return df.drop(m, g)
 
 
-def labelled_samples(rows: DataFrame, n_texts: int, sample_texts: int = 2000) -> DataFrame:
+def labelled_samples(rows: DataFrame, n_texts: int, sample_texts: int = 1000) -> DataFrame:
     """``(origin, token, random, weight, met)`` for training, from about ``sample_texts`` of the ``n_texts`` distinct texts.
 
     Random: what the rules find in them, and digests of numbers in base 64 and
@@ -85,13 +85,14 @@ def labelled_samples(rows: DataFrame, n_texts: int, sample_texts: int = 2000) ->
     words = some.select("h", F.explode(F.regexp_extract_all(plain, F.lit(r"[A-Za-z0-9+/_=-]{6,}"), F.lit(0))).alias("token"), F.lit(False).alias("random"))
     digest = F.sha2(F.col("id").cast("string"), 256)
     made = spark.range(0, 3000, 1, 1).select(F.lit(None).cast("long").alias("h"), F.when(F.col("id") % 3 < 2, F.base64(F.unhex(digest))).otherwise(digest).alias("token"), F.lit(True).alias("random"))
-    joined = F.array(F.upper("token"), F.concat("token", F.initcap("token")), *[F.concat("token", F.lit(c), "token") for c in "/-_"])
-    joined = words.select("h", F.xxhash64("token").alias("origin"), F.explode(joined).alias("token"), "random")
     day = F.timestamp_seconds(F.col("id") * 86_000)
     figures = F.array(F.date_format(day, "yyyy-MM-dd-HH-mm-ss"), F.date_format(day, "yyyyMMddHHmmss"), (F.col("id") * 987_654_321_987).cast("string"))
     figures = spark.range(1, 20_001, 400, 1).select(F.lit(None).cast("long").alias("h"), F.explode(figures).alias("token"), F.lit(False).alias("random"))
-    tokens = secrets.union(words).union(made).union(figures).select("h", F.xxhash64("token").alias("origin"), "token", "random").union(joined)
-    return tokens.groupBy("h", "origin", "token", "random").count().groupBy("origin", "token", "random").agg(F.max("count").alias("weight"), F.max(F.col("h").isNotNull()).alias("met"))
+    tokens = secrets.union(words).union(made).union(figures)
+    tokens = tokens.groupBy("h", "token", "random").count().groupBy("token", "random").agg(F.max("count").alias("weight"), F.max(F.col("h").isNotNull()).alias("met"))
+    joined = F.array("token", F.upper("token"), F.concat("token", F.initcap("token")), *[F.concat("token", F.lit(c), "token") for c in "/-_"])
+    forms = F.when(F.col("met") & ~F.col("random"), joined).otherwise(F.array("token"))
+    return tokens.select(F.xxhash64("token").alias("origin"), F.explode(forms).alias("token"), "random", "weight", "met")
 
 
 def train(samples: DataFrame) -> list[float]:
