@@ -53,7 +53,7 @@ def _runner(sql: str) -> Callable[[SparkSession, str], DataFrame]:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {name: _runner(pair[0]) for name, pair in SQL.items()}
 ORACLES: dict[str, str] = {name: pair[1] for name, pair in SQL.items()}
 
-from . import curation_queries  # noqa: E402
+from . import check_queries, curation_queries  # noqa: E402
 
-QUERIES |= curation_queries.QUERIES
-ORACLES |= curation_queries.ORACLES
+QUERIES |= curation_queries.QUERIES | check_queries.QUERIES
+ORACLES |= curation_queries.ORACLES | check_queries.ORACLES
