@@ -149,7 +149,7 @@ _add("mv_contains_overlap", """SELECT COUNT(*) FILTER (WHERE MV_CONTAINS(tags, '
 _add("mv_filter_group", """SELECT MV_FILTER_ONLY(tags, ARRAY['red', 'ring', 'gear']) AS "tag", COUNT(*) AS "n" FROM tagged WHERE MV_OVERLAP(tags, ARRAY['red', 'ring', 'gear']) GROUP BY 1""",
      "SELECT tag, count(*) AS n FROM (SELECT unnest(string_split(p_name, ' ')) AS tag FROM part WHERE p_partkey % 10 <> 0) WHERE tag IN ('red', 'ring', 'gear') GROUP BY 1")
 _add("mv_positions", """SELECT p_partkey, MV_OFFSET_OF(tags, 'ring') AS "o", MV_ORDINAL_OF(tags, 'ring') AS "p", MV_LENGTH(MV_FILTER_NONE(tags, ARRAY['ring'])) AS "rest" FROM tagged""",
-     "WITH t AS (SELECT p_partkey, CASE WHEN p_partkey % 10 = 0 THEN []::VARCHAR[] ELSE string_split(p_name, ' ') END AS tags FROM part WHERE p_partkey < 500) SELECT p_partkey, coalesce(list_position(tags, 'ring'), 0) - 1 AS o, coalesce(nullif(list_position(tags, 'ring'), 0), -1) AS p, len(list_filter(tags, lambda x: x <> 'ring')) AS rest FROM t")
+     "WITH t AS (SELECT p_partkey, CASE WHEN p_partkey % 10 = 0 THEN []::VARCHAR[] ELSE string_split(p_name, ' ') END AS tags FROM part) SELECT p_partkey, coalesce(list_position(tags, 'ring'), 0) - 1 AS o, coalesce(nullif(list_position(tags, 'ring'), 0), -1) AS p, len(list_filter(tags, lambda x: x <> 'ring')) AS rest FROM t")
 _add("unnest_text", """SELECT t."word" AS "word", COUNT(*) AS "n" FROM part, UNNEST(STRING_TO_ARRAY(p_name, ' ')) AS t("word") GROUP BY 1""", "SELECT unnest(string_split(p_name, ' ')) AS word, count(*) AS n FROM part GROUP BY 1")
 _add("unnest_mv", """SELECT t."tag" AS "tag", COUNT(*) AS "n" FROM tagged CROSS JOIN UNNEST(MV_TO_ARRAY(tags)) AS t("tag") GROUP BY 1""", "SELECT unnest(string_split(p_name, ' ')) AS tag, count(*) AS n FROM part WHERE p_partkey % 10 <> 0 GROUP BY 1")
 _add("json_value", """SELECT JSON_VALUE(PARSE_JSON(props), '$.k') AS "k", COUNT(*) AS "n" FROM events GROUP BY 1""", "SELECT json_extract_string(props, '$.k') AS k, count(*) AS n FROM events GROUP BY 1")
@@ -169,3 +169,6 @@ _add("union_all_ordered", """SELECT event_type AS "kind", COUNT(*) AS "n" FROM e
 _add("lookup_of_many_keys", """SELECT LOOKUP(CAST(o_custkey AS VARCHAR), 'customers', 'none') AS "segment", COUNT(*) AS "n", SUM(CASE WHEN LOOKUP(CAST(o_custkey AS VARCHAR), 'customers') = 'BUILDING' THEN 1 ELSE 0 END) AS "b" FROM orders GROUP BY 1""",
      "SELECT coalesce(c_mktsegment, 'none') AS segment, count(*) AS n, sum(CASE WHEN c_mktsegment = 'BUILDING' THEN 1 ELSE 0 END)::BIGINT AS b FROM orders LEFT JOIN customer ON c_custkey = o_custkey GROUP BY 1")
 _add("time_extract_epoch", """SELECT TIME_EXTRACT(__time, 'EPOCH') AS "s", COUNT(*) AS "n" FROM events GROUP BY 1""", "SELECT floor(epoch(ts))::BIGINT AS s, count(*) AS n FROM events GROUP BY 1")
+_add("window_values", """SELECT "day", "n", LEAD("n") OVER (ORDER BY "day") AS "next", NTILE(4) OVER (ORDER BY "day") AS "quarter", FIRST_VALUE("n") OVER (ORDER BY "day") AS "first_n", SUM("n") OVER (ORDER BY "n" RANGE BETWEEN 5 PRECEDING AND CURRENT ROW) AS "near" FROM (SELECT TIME_FLOOR(__time, 'P1D') AS "day", COUNT(*) AS "n" FROM events GROUP BY 1) t""",
+     "SELECT day, n, lead(n) OVER (ORDER BY day) AS next, ntile(4) OVER (ORDER BY day) AS quarter, first_value(n) OVER (ORDER BY day) AS first_n, (sum(n) OVER (ORDER BY n RANGE BETWEEN 5 PRECEDING AND CURRENT ROW))::BIGINT AS near FROM (SELECT date_trunc('day', ts) AS day, count(*) AS n FROM events GROUP BY 1)")
+_add("array_contains_text", """SELECT p_partkey, ARRAY_CONTAINS(STRING_TO_ARRAY(p_name, ' '), 'ring') AS "has" FROM part""", "SELECT p_partkey, list_contains(string_split(p_name, ' '), 'ring') AS has FROM part")
