@@ -146,7 +146,7 @@ class LogBilinear:
     def __init__(self, class_counts: np.ndarray, seed: int = 7):
         rng = np.random.default_rng(seed)
         p = (class_counts + 0.1) / (class_counts + 0.1).sum()
-        self.noise = p
+        self.log_k = np.log(NOISE * p)
         self.context = rng.normal(0, 0.3, (CLASSES, DIMS))
         self.target = rng.normal(0, 0.01, (CLASSES, DIMS))
         self.bias = np.log(p)[:, None]
@@ -162,7 +162,7 @@ class LogBilinear:
 
     @staticmethod
     def _by_row(rows: np.ndarray, grad: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        order = np.argsort(rows, kind="stable")
+        order = np.argsort(rows.astype(np.int16), kind="stable")  # classes fit, and 16 bits are sorted by radix
         rows = rows[order]
         at = np.flatnonzero(np.r_[True, rows[1:] != rows[:-1]])
         return rows[at], np.add.reduceat(grad[order], at, axis=0)
@@ -173,19 +173,26 @@ class LogBilinear:
         noise = np.minimum(np.searchsorted(self.cumulative, self.rng.random(NOISE)), CLASSES - 1)
         r_far, r_near = self.context[far], self.context[near]
         q = r_near @ self.near + r_far @ self.far
-        log_k = np.log(NOISE * self.noise)
+        log_k = self.log_k
         t, t_noise = self.target[to], self.target[noise]
         s = np.einsum("ij,ij->i", q, t) + self.bias[to, 0] - log_k[to]
-        s_noise = q @ t_noise.T + (self.bias[noise, 0] - log_k[noise])
         g = -1 / (1 + np.exp(np.clip(s, -30, 30))) / n  # of the score of the true class
-        g_noise = 1 / (1 + np.exp(np.clip(-s_noise, -30, 30))) / n
-        g_q = g[:, None] * t + g_noise @ t_noise
-        rows, grad = self._by_row(np.r_[to, noise], np.r_[g[:, None] * q, g_noise.T @ q])
-        rows_b, grad_b = self._by_row(np.r_[to, noise], np.r_[g, g_noise.sum(axis=0)][:, None])
+        # the one large matrix, batch by noise, in place and in single precision; parameters stay in double
+        q_32, t_32 = q.astype(np.float32), t_noise.astype(np.float32)
+        g_noise = q_32 @ t_32.T
+        g_noise += (self.bias[noise, 0] - log_k[noise]).astype(np.float32)
+        np.negative(np.clip(g_noise, -30, 30, out=g_noise), out=g_noise)
+        np.exp(g_noise, out=g_noise)
+        g_noise += 1
+        np.divide(np.float32(1 / n), g_noise, out=g_noise)
+        g_q = g[:, None] * t + g_noise @ t_32
+        # the gradient of the bias is one more column of the target's
+        both = np.concatenate([np.c_[g[:, None] * q, g], np.c_[g_noise.T @ q_32, g_noise.sum(axis=0, dtype=np.float64)]])
+        rows, grad = self._by_row(np.r_[to, noise], both)
         rows_c, grad_c = self._by_row(np.r_[near, far], np.r_[g_q @ self.near.T, g_q @ self.far.T])
         near_g, far_g = r_near.T @ g_q, r_far.T @ g_q
-        self._step("target", rows, grad)
-        self._step("bias", rows_b, grad_b)
+        self._step("target", rows, grad[:, :-1])
+        self._step("bias", rows, grad[:, -1:])
         self._step("context", rows_c, grad_c)
         self._step("near", slice(None), near_g)
         self._step("far", slice(None), far_g)
