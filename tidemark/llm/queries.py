@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import jaccard, language_id, lm_scoring, mixing, nearest, piece_codec, quality, secret_scan, url_filter, vector_dedup
+from . import hard_negatives, jaccard, language_id, lm_scoring, mixing, nearest, piece_codec, quality, secret_scan, token_counts, url_filter, variants, vector_dedup
 from .common import compacted, is_bucket
 
 
@@ -60,6 +60,23 @@ def op10_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nearest.search(_table(spark, sf_dir, "embeddings"))
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine(_table(spark, sf_dir, "embeddings"), label=label)
+
+
+def op12_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.count_tokens(_table(spark, sf_dir, "documents"), _piece_model())
+
+
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # shorter runs hold no word of six; a 199th of the runs lose a letter
+    found = variants.runs(_table(spark, sf_dir, "documents").select("doc_id", "text"), "[A-Za-z\u00C0-\u00FF]{6,}")
+    h = F.crc32(F.concat(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.lit(":"), F.col("run")).cast("binary"))
+    word = F.when(h % 199 == 0, variants.without(F.col("run"), h % F.length("run"))).otherwise(F.col("run"))
+    return variants.group_variants(variants.count_words(found.select(word.alias("word"))))
+
+
 def _piece_model() -> str:
     import public_tokenizers
 
@@ -75,8 +92,8 @@ def _filed(query):
     return run
 
 
-_TABLES = {"op6_vector_dedup": "embeddings", "op7_url_filter": "pages", "op10_nearest": "embeddings"}
-QUERIES = {f.__name__: _filed(f) for f in (op1_language_id, op2_lm_scoring, op3_secret_scan, op4_mixing, op5_piece_codec, op6_vector_dedup, op7_url_filter, op8_quality, op9_jaccard_join, op10_nearest)}
+_TABLES = {"op6_vector_dedup": "embeddings", "op7_url_filter": "pages", "op10_nearest": "embeddings", "op11_hard_negatives": "embeddings"}
+QUERIES = {f.__name__: _filed(f) for f in (op1_language_id, op2_lm_scoring, op3_secret_scan, op4_mixing, op5_piece_codec, op6_vector_dedup, op7_url_filter, op8_quality, op9_jaccard_join, op10_nearest, op11_hard_negatives, op12_token_counts, op13_spelling_variants)}
 
 ORACLES = {
     "op4_mixing": r"""
@@ -117,6 +134,50 @@ links AS (
 reach(x, y) AS (SELECT x, y FROM links UNION SELECT r.x, l.y FROM reach r JOIN links l ON l.x = r.y),
 c AS (SELECT vec_id, least(vec_id, coalesce((SELECT min(y) FROM reach r WHERE r.x = vec_id), vec_id)) AS component_id FROM embeddings)
 SELECT vec_id, (SELECT count(*) FROM links l WHERE l.x = vec_id) AS n_links, component_id, vec_id = component_id AS kept FROM c
+""",
+    "op11_hard_negatives": r"""
+WITH v AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS e
+  FROM embeddings WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (
+  SELECT a.vec_id AS anchor_id, c.vec_id, a.label = c.label AS same, list_inner_product(a.e, c.e)::BIGINT AS score
+  FROM v a JOIN v c ON a.vec_id <> c.vec_id AND len(a.e) = len(c.e) WHERE a.vec_id % 100 = 0),
+p AS (
+  SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM s WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5)
+SELECT p.anchor_id, positive_id, row_number() OVER (PARTITION BY p.anchor_id, positive_id ORDER BY score DESC, vec_id)::INTEGER AS rank, vec_id AS negative_id, positive_score, score AS negative_score
+FROM p JOIN s ON s.anchor_id = p.anchor_id AND NOT same AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score
+QUALIFY rank <= 10
+""",
+    "op13_spelling_variants": r"""
+WITH RECURSIVE crc AS (
+  SELECT list_transform(range(256), lambda i: list_reduce(range(8), lambda c, k: CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END, i)) AS of_byte),
+runs AS (
+  SELECT doc_id, run, count(*) AS n
+  FROM (SELECT doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[A-Za-z\x{00C0}-\x{00FF}]+')) AS run FROM documents)
+  WHERE len(run) >= 6 GROUP BY ALL),
+hashed AS (
+  SELECT run, n, xor(4294967295, list_reduce(
+    list_transform(range(1, 1 + octet_length(encode(t))), lambda i: ('0x' || substr(hex(encode(t)), 2 * i - 1, 2))::BIGINT),
+    lambda c, b: xor(c // 256, of_byte[1 + xor(c % 256, b)]), 4294967295)) AS h
+  FROM (SELECT *, coalesce(doc_id::VARCHAR, '') || ':' || run AS t FROM runs), crc),
+words AS (
+  SELECT word, sum(n)::BIGINT AS n
+  FROM (SELECT n, CASE WHEN h % 199 = 0 THEN substr(run, 1, h % len(run)) || substr(run, h % len(run) + 2, len(run)) ELSE run END AS word FROM hashed)
+  WHERE len(word) >= 6 GROUP BY word HAVING sum(n) >= 5),
+-- one byte for each letter, since levenshtein() counts bytes
+coded AS (SELECT *, translate(word, (SELECT string_agg(chr(i::INTEGER), '' ORDER BY i) FROM range(192, 256) r(i)), (SELECT string_agg(chr(i::INTEGER), '' ORDER BY i) FROM range(33, 97) r(i))) AS c FROM words),
+near AS (
+  SELECT a.word, b.word AS other, b.n AS other_n FROM coded a JOIN coded b
+    ON a.c <> b.c AND (len(a.c) - len(b.c)) IN (-1, 0, 1) AND levenshtein(a.c, b.c) = 1),
+best AS (SELECT word, count(*) AS n_near, max(other_n) AS most FROM near GROUP BY word),
+formed AS (
+  SELECT w.word, w.n, coalesce(n_near, 0) AS n_near, CASE WHEN most >= 5 * w.n THEN (SELECT min(encode(other)) FROM near x WHERE x.word = w.word AND x.other_n = most) END AS code, CASE WHEN most >= 5 * w.n THEN most END AS form_n
+  FROM words w LEFT JOIN best b ON b.word = w.word),
+steps AS (SELECT * EXCLUDE code, decode(code) AS form FROM formed),
+follow(word, last, depth) AS (
+  SELECT word, word, 0 FROM steps UNION ALL SELECT f.word, s.form, f.depth + 1 FROM follow f JOIN steps s ON s.word = f.last WHERE s.form IS NOT NULL)
+SELECT s.word, form, (SELECT arg_max(last, depth) FROM follow f WHERE f.word = s.word) AS root, n, n_near, form_n FROM steps s
 """,
     "op9_jaccard_join": r"""
 WITH RECURSIVE w AS (
