@@ -1,6 +1,8 @@
 """Harness, sources, canonical results and curation."""
 
 import json
+import math
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -177,3 +179,37 @@ def test_scores(spark):
     rows = [(True, True, True, False, False, False), (True, True, False, False, False, True), (False, False, False, True, False, False), (None, None, None, True, True, None)]
     got = curation.score_predictions(spark.createDataFrame(rows, "valid boolean, grounded boolean, result_match boolean, declined boolean, unanswerable boolean, unscorable boolean"))
     assert (got["valid_pct"], got["result_match_pct"], got["decline_ok_pct"], got["over_decline_pct"], got["unscorable_rows"]) == (66.7, 50.0, 100.0, 33.3, 1)
+
+
+def _bag(spark, rows, schema="k string, x double, y double"):
+    return spark.createDataFrame(rows, schema)
+
+
+def test_agreement_within_a_tolerance(spark):
+    step = 0.9e-6
+    one = [("a", 1.0, 5.0), ("a", 1.0 + step, 5.0), ("b", None, 0.0), ("b", float("nan"), 0.0), ("c", 1e12, -1e12)]
+    near = [("a", 1.0 + step, 5.0), ("a", 1.0 + 1.8e-6, 5.0), ("b", None, 0.0), ("b", float("nan"), -0.0), ("c", 1e12 + 9e5, -1e12)]
+    assert canonical.results_agree(_bag(spark, one), _bag(spark, near))
+    far = [("a", 1.0, 5.0), ("a", 1.0 + 2.7e-6, 5.0), *near[2:]]
+    found = canonical.mismatches(_bag(spark, one), _bag(spark, far)).collect()
+    assert {(r.exact[0], r.n_a, r.n_b) for r in found} == {("=a", 2, 1), ("=a", 0, 1)}
+    # as many rows of one level, not all of them near
+    wide = [("a", 1.0, 5.0), ("a", 1.0 + step, 5.0), ("a", 1.0 + 2 * step, 5.0)]
+    assert not canonical.results_agree(_bag(spark, wide[:1] * 2 + wide[1:2]), _bag(spark, wide[1:2] + wide[2:] * 2)) and canonical.results_agree(_bag(spark, wide), _bag(spark, wide[::-1]))
+    # across the borders of ranges and at powers of ten, with rows that differ in several numbers
+    edges = [(None, math.expm1(k / 4096) * s, 3.0) for k in (0, 1, 50, 4096, 90000) for s in (1, -1)]
+    moved = [(k, v * (1 + 8e-7) + 1e-7, 3.0 - 1e-6) for k, v, _ in edges]
+    assert canonical.results_agree(_bag(spark, edges), _bag(spark, moved)) and not canonical.results_agree(_bag(spark, edges), _bag(spark, moved[1:]))
+    assert canonical.results_agree(_bag(spark, []), _bag(spark, [])) and not canonical.results_agree(_bag(spark, []), _bag(spark, one))
+    # a wider result, its column near, not equal
+    assert canonical.results_agree(_bag(spark, [(1.0,)], "p double"), _bag(spark, [("z", 1.0 + step, 9.0)]))
+    assert not canonical.results_agree(_bag(spark, [(1.1,)], "p double"), _bag(spark, [("z", 1.0 + step, 9.0)]))
+
+
+def test_agreement_of_one_number_is_exact(spark):
+    rng = random.Random(2)
+    for _ in range(3):
+        a = [1 + rng.randrange(6) * 0.6e-6 for _ in range(5)]
+        b = [x + rng.choice((0, 0.6e-6, 1.2e-6)) for x in a]
+        want = all(abs(x - y) <= 1e-6 * max(1, x, y) for x, y in zip(sorted(a), sorted(b)))
+        assert canonical.results_agree(_bag(spark, [(x,) for x in a], "x double"), _bag(spark, [(x,) for x in b], "x double")) == want

@@ -248,6 +248,21 @@ def suite_revalidation(spark, sf_dir):
     return spark.createDataFrame([(int(i), p) for i, p in suite.revalidate(seeds, records)], "residue long, problem string")
 
 
+@_registered("""SELECT event_type AS id, event_type NOT IN ('click', 'error') AND count(DISTINCT event_id % 3) >= 2 AS agree FROM events GROUP BY 1""")
+def gate_g4(spark, sf_dir):
+    """A question per type of events on three seeds of one catalog: the second query of clicks adds a millionth and a half, that of errors fails, those of the others rounding errors."""
+    engine, out = _engine(spark, sf_dir), []
+    for k in range(3):
+        engine.register(f"events_{k}", _table(spark, sf_dir, "events").where(F.col("event_id") % 3 == k), "ts")
+    seeds = [{"events": f"events_{k}"} for k in range(3)]
+    for kind in sorted(r[0] for r in engine.sql("SELECT DISTINCT event_type FROM events").collect()):
+        first = f"SELECT user_id, COUNT(*) * 1e12 AS n FROM events WHERE event_type = '{kind}' GROUP BY 1"
+        factor = "1000000000000 * 1.0000015" if kind == "click" else "1000000000000 * 1.0000000003"
+        second = f"SELECT COUNT({'nope' if kind == 'error' else 'event_id'}) * {factor} AS c, user_id AS u FROM events WHERE event_type = '{kind}' GROUP BY user_id"
+        out.append((kind, not suite.g4_agreement(engine, first, second, seeds, timeout_seconds=300)))
+    return spark.createDataFrame(out, "id string, agree boolean")
+
+
 @_registered(f"SELECT event_id, floor((epoch({_NOW}) - floor(epoch(ts))) / 86400)::BIGINT AS age, floor((epoch({_NOW}) - floor(epoch(ts))) / 86400) > 14 AS stale FROM events")
 def suite_stale_anchor(spark, sf_dir):
     ts, now = F.col("ts").cast("timestamp"), F.lit(AS_OF).cast("timestamp")

@@ -72,6 +72,40 @@ def canonical_agreement(spark, sf_dir):
     return spark.createDataFrame([(canonical.results_agree(a, b), canonical.results_agree(a, c), prints)], "agree boolean, differ boolean, equal_prints boolean")
 
 
+#: Change of a customer's balance -> the second result: within the tolerance, equal, beyond it; some rows are missing or there twice.
+_CHANGED = "c_acctbal * 1e8 * CASE c_custkey % 5 WHEN 0 THEN 1 + 9e-7 WHEN 2 THEN 1 + 1.1e-6 ELSE 1 END"
+
+
+@_registered(f"""WITH a AS (SELECT c_name, c_acctbal * 1e8 AS v FROM customer),
+ b AS (SELECT c_name, {_CHANGED} AS v FROM customer, range(2) r(k) WHERE k < CASE WHEN c_custkey % 15 = 3 THEN 0 WHEN c_custkey % 20 = 4 THEN 2 ELSE 1 END),
+ m AS (SELECT c_name, count(b.v) AS n, coalesce(bool_or(abs(a.v - b.v) > 1e-6 * greatest(1, abs(a.v), abs(b.v))), false) AS far FROM a LEFT JOIN b USING (c_name) GROUP BY 1)
+SELECT c_name, 1::BIGINT AS n_a, n AS n_b FROM m WHERE far OR n <> 1""")
+def agreement_mismatches(spark, sf_dir):
+    """Balances of up to 1e12 against changed ones: the rows of either that have no partner."""
+    customers = _table(spark, sf_dir, "customer")
+    a = customers.select("c_name", (F.col("c_acctbal") * 1e8).alias("v"))
+    copies = F.when(F.expr("c_custkey % 15 = 3"), 0).when(F.expr("c_custkey % 20 = 4"), 2).otherwise(1)
+    b = customers.select("c_name", F.expr(_CHANGED).alias("v"), F.explode(F.array_repeat(F.lit(1), copies))).select("v", "c_name")
+    found = canonical.mismatches(a, b)
+    return found.groupBy(F.substr(F.col("exact")[0], F.lit(2)).alias("c_name")).agg(F.sum("n_a").alias("n_a"), F.sum("n_b").alias("n_b"))
+
+
+#: case -> two expressions over the sum of a customer's orders, and whether results of them agree
+_SUMS = {
+    "equal": ("v", "v"), "sums_of_1e12": ("v * 1e6", "v * 1e6 * (1 + 5e-7)"), "beyond": ("v * 1e6", "v * 1e6 * (1 + 2e-6)"),
+    "rounding_edge": ("round(v / 1e6, 3) + 0.4999e-6", "round(v / 1e6, 3) + 0.5001e-6"), "near_nothing": ("0 * v", "0 * v + 2e-6"),
+}
+
+
+@_registered(" UNION ALL ".join(f"SELECT '{k}' AS name, bool_and(abs(x - y) <= 1e-6 * greatest(1, abs(x), abs(y))) AS agree FROM (SELECT {a} AS x, {b} AS y FROM (SELECT o_custkey, sum(o_totalprice)::DOUBLE AS v FROM orders GROUP BY 1))" for k, (a, b) in _SUMS.items()))
+def agreement_of_sums(spark, sf_dir):
+    """Pairs of results without any exact column but the key, compared as bags."""
+    sums = _table(spark, sf_dir, "orders").groupBy("o_custkey").agg(F.sum("o_totalprice").cast("double").alias("v"))
+    text = sums.select(F.concat(F.lit("c"), "o_custkey").alias("c"), "v")
+    pick = lambda e: text.select("c", F.expr(e).alias("v"))
+    return spark.createDataFrame([(k, canonical.results_agree(pick(a), pick(b))) for k, (a, b) in _SUMS.items()], "name string, agree boolean")
+
+
 @_registered("SELECT event_id, user_id, event_type FROM events QUALIFY row_number() OVER (PARTITION BY user_id, event_type ORDER BY event_id) = 1")
 def curation_first_of_each(spark, sf_dir):
     return curation.first_of_each(_table(spark, sf_dir, "events"), F.concat_ws(":", "user_id", "event_type"), "event_id").select("event_id", "user_id", "event_type")
