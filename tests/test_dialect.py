@@ -104,3 +104,32 @@ def test_periods(engine):
     assert one(f"TIME_EXTRACT({t}, 'DOW')") == 7 and one("7 / 2") == 3 and one("7 / 2.0") == 3.5
     assert text("TIME_PARSE('2024-01-01T09:00:00Z')") == "2024-01-01 09:00:00" and one("TIME_PARSE('nope')") is None
     assert text("TIME_PARSE('2024-01-01 09:00', 'yyyy-MM-dd HH:mm', 'Asia/Tokyo')") == "2024-01-01 00:00:00"
+
+
+def test_lookups_of_many_keys_are_one_join(engine):
+    text, _ = engine.translate("SELECT LOOKUP(CAST(o_custkey AS VARCHAR), 'customers', 'none') AS s, COUNT(*) AS n FROM orders WHERE LOOKUP(CAST(o_custkey AS VARCHAR), 'customers') = 'BUILDING' GROUP BY 1")
+    assert text.count("LEFT JOIN") == 1 and "max ( v )" not in text
+    two, _ = engine.translate("SELECT LOOKUP(CAST(o_custkey AS VARCHAR), 'customers') AS a, LOOKUP(o_orderstatus, 'customers') AS b FROM orders")
+    assert two.count("LEFT JOIN") == 2
+    plan = engine.spark.sql(text)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Join") == 1
+    with pytest.raises(QueryError, match="subquery"):
+        engine.sql("SELECT LOOKUP(CAST(MAX(o_custkey) AS VARCHAR), 'customers') AS s FROM orders")
+
+
+@pytest.mark.parametrize("query, rule", [
+    ("SELECT TIME_FLOOR(q.a, 'P1D') AS x FROM (SELECT CONCAT(event_type, 'x') AS a FROM events) q", "C11"),
+    ("SELECT x FROM (SELECT TIME_FORMAT(CAST(__time AS VARCHAR), 'yyyy') AS x FROM events) q", "C11"),
+    ("SELECT TIME_EXTRACT(event_id * 2, 'HOUR') AS x FROM events", "C11"),
+    ("WITH w AS (SELECT p_name AS n FROM part) SELECT t.x AS x FROM w, UNNEST(w.n) AS t(x)", "C7"),
+    ("SELECT t.x AS x FROM tagged, UNNEST(MV_FILTER_ONLY(tags, ARRAY['red'])) AS t(x)", "C7"),
+])
+def test_types_are_judged_before_execution(engine, query, rule):
+    with pytest.raises(QueryError) as e:
+        engine.translate(query)
+    assert e.value.rule == rule
+
+
+def test_null_values_of_lookups_stay_null(engine):
+    engine.register_lookup("gaps", {"click": None, "error": "E"})
+    assert {r.v for r in engine.sql("SELECT LOOKUP(event_type, 'gaps') AS v FROM events GROUP BY 1").collect()} == {None, "E"}

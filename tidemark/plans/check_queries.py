@@ -57,6 +57,13 @@ CHECKS = {
             "SELECT count(DISTINCT coalesce(CASE event_type WHEN 'click' THEN 'Click' WHEN 'error' THEN 'Error' END, '')) FROM events"),
     "c11": ("SELECT TIME_FLOOR(event_id, 'P1D') AS x FROM events", "Cannot apply 'TIME_FLOOR'", "SELECT TIME_FLOOR(MILLIS_TO_TIMESTAMP(e_ms), 'P1D') AS x, COUNT(*) AS n FROM encoded GROUP BY 1",
             "SELECT count(DISTINCT o_orderdate::DATE) FROM orders"),
+    "c7_text": ("SELECT t.x AS x FROM part, UNNEST(p_name) AS t(x)", "UNNEST", "SELECT t.x AS x FROM (SELECT STRING_TO_ARRAY(p_name, ' ') AS words FROM part) p, UNNEST(p.words) AS t(x)", "SELECT sum(len(string_split(p_name, ' ')))::BIGINT FROM part"),
+    "c7_subquery": ("SELECT t.x AS x FROM (SELECT UPPER(tags) AS words FROM tagged) p, UNNEST(p.words) AS t(x)", "UNNEST", "SELECT t.x AS x FROM (SELECT MV_TO_ARRAY(tags) AS words FROM tagged) p CROSS JOIN UNNEST(p.words) AS t(x)",
+                    "SELECT sum(len(string_split(p_name, ' ')))::BIGINT FROM part WHERE p_partkey % 10 <> 0"),
+    "c11_expression": ("SELECT TIME_FLOOR(CONCAT(event_type, '!'), 'P1D') AS x FROM events", "Cannot apply 'TIME_FLOOR' to arguments of type 'TIME_FLOOR(<VARCHAR>", "SELECT TIME_FLOOR(COALESCE(__time, CURRENT_TIMESTAMP), 'P1D') AS x FROM events", "SELECT count(*) FROM events"),
+    "c11_subquery": ("SELECT TIME_EXTRACT(q.s, 'HOUR') AS x FROM (SELECT s_iso AS s FROM encoded) q", "Cannot apply 'TIME_EXTRACT'", "SELECT TIME_EXTRACT(q.s, 'HOUR') AS x FROM (SELECT TIME_PARSE(s_iso) AS s FROM encoded) q", "SELECT count(*) FROM orders"),
+    "c11_cte": ("WITH a AS (SELECT e_ms + 1 AS ms FROM encoded) SELECT TIME_SHIFT(ms, 'P1D', 1) AS x FROM a", "Cannot apply 'TIME_SHIFT' to arguments of type 'TIME_SHIFT(<BIGINT>", "WITH a AS (SELECT e_ms + 1 AS ms FROM encoded) SELECT TIME_SHIFT(MILLIS_TO_TIMESTAMP(ms), 'P1D', 1) AS x FROM a",
+                "SELECT count(*) FROM orders"),
     "c12": ("SELECT DISTINCT ON (user_id) user_id FROM events", "ON", "SELECT DISTINCT user_id FROM events", "SELECT count(DISTINCT user_id) FROM events"),
     "nested_aggregate": ("SELECT MAX(SUM(user_id)) AS m FROM events GROUP BY event_type", "nested", "SELECT MAX(s) AS m FROM (SELECT SUM(user_id) AS s FROM events GROUP BY event_type) q", "SELECT 1"),
 }
@@ -96,6 +103,7 @@ def check_c13(spark, sf_dir):
 #: lint -> (query it flags, query it doesn't, rows of the latter)
 LINTS = {
     "l1": ("SELECT JSON_VALUE(props, '$.k') AS k FROM events", "SELECT JSON_VALUE(PARSE_JSON(props), '$.k') AS k FROM events", "SELECT count(*) FROM events"),
+    "l1_subquery": ("SELECT JSON_VALUE(q.p, '$.k') AS k FROM (SELECT LOWER(props) AS p FROM events) q", "SELECT JSON_VALUE(q.p, '$.k') AS k FROM (SELECT PARSE_JSON(props) AS p FROM events) q", "SELECT count(*) FROM events"),
     "l2": ("SELECT MILLIS_TO_TIMESTAMP(e_s) AS t FROM encoded", "SELECT MILLIS_TO_TIMESTAMP(e_s * 1000) AS t FROM encoded", "SELECT count(*) FROM orders"),
     "l3": ("SELECT e_s FROM encoded WHERE s_iso BETWEEN TIMESTAMP '1995-01-01' AND TIMESTAMP '1996-01-01'", "SELECT e_s FROM encoded WHERE __time BETWEEN TIMESTAMP '1995-01-01' AND TIMESTAMP '1996-01-01'",
            "SELECT count(*) FROM orders WHERE o_orderdate BETWEEN TIMESTAMP '1995-01-01' AND TIMESTAMP '1996-01-01'"),
@@ -112,7 +120,7 @@ def _lint(rule: str, flagged: str, clean: str):
 
 
 for _name, (_bad, _good, _rows) in LINTS.items():
-    QUERIES[f"lint_{_name}"] = _lint(_name.upper(), _bad, _good)
+    QUERIES[f"lint_{_name}"] = _lint(_name.upper().partition("_")[0], _bad, _good)
     ORACLES[f"lint_{_name}"] = f"SELECT true AS flagged, true AS clean, ({_rows})::BIGINT AS clean_rows"
 
 

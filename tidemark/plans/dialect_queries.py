@@ -172,3 +172,37 @@ _add("time_extract_epoch", """SELECT TIME_EXTRACT(__time, 'EPOCH') AS "s", COUNT
 _add("window_values", """SELECT "day", "n", LEAD("n") OVER (ORDER BY "day") AS "next", NTILE(4) OVER (ORDER BY "day") AS "quarter", FIRST_VALUE("n") OVER (ORDER BY "day") AS "first_n", SUM("n") OVER (ORDER BY "n" RANGE BETWEEN 5 PRECEDING AND CURRENT ROW) AS "near" FROM (SELECT TIME_FLOOR(__time, 'P1D') AS "day", COUNT(*) AS "n" FROM events GROUP BY 1) t""",
      "SELECT day, n, lead(n) OVER (ORDER BY day) AS next, ntile(4) OVER (ORDER BY day) AS quarter, first_value(n) OVER (ORDER BY day) AS first_n, (sum(n) OVER (ORDER BY n RANGE BETWEEN 5 PRECEDING AND CURRENT ROW))::BIGINT AS near FROM (SELECT date_trunc('day', ts) AS day, count(*) AS n FROM events GROUP BY 1)")
 _add("array_contains_text", """SELECT p_partkey, ARRAY_CONTAINS(STRING_TO_ARRAY(p_name, ' '), 'ring') AS "has" FROM part""", "SELECT p_partkey, list_contains(string_split(p_name, ' '), 'ring') AS has FROM part")
+
+# types and several values through subqueries ----------------------------------------
+_add("division_of_aliases", """SELECT "kind", "n" / "m" AS "whole", "n" * 1.0 / "m" AS "exact" FROM (SELECT event_type AS "kind", COUNT(*) AS "n", COUNT(DISTINCT user_id) AS "m" FROM events GROUP BY 1)""",
+     "SELECT event_type AS kind, count(*) // count(DISTINCT user_id) AS whole, count(*)::DOUBLE / count(DISTINCT user_id) AS exact FROM events GROUP BY 1")
+_add("division_in_cte", """WITH "s" AS (SELECT user_id, SUM(CASE WHEN event_type = 'click' THEN 3 ELSE 1 END) AS "points", COUNT(*) AS "n" FROM events GROUP BY 1), "t" AS (SELECT user_id, "points" / "n" AS "per" FROM "s")
+     SELECT "per", COUNT(*) AS "users", SUM("per") / COUNT(*) AS "same" FROM "t" GROUP BY 1""",
+     "SELECT per, count(*) AS users, per AS same FROM (SELECT user_id, (sum(CASE WHEN event_type = 'click' THEN 3 ELSE 1 END) // count(*))::BIGINT AS per FROM events GROUP BY 1) GROUP BY 1")
+_TAGS = "WITH t AS (SELECT p_partkey, p_size, CASE WHEN p_partkey % 10 = 0 THEN CAST([] AS VARCHAR[]) ELSE string_split(p_name, ' ') END AS v FROM part)"
+_ANY = "len(list_filter(v, lambda x: {})) > 0"
+_add("mv_like_range", """SELECT COUNT(*) FILTER (WHERE tags LIKE 'r%') AS "a", COUNT(*) FILTER (WHERE t.tags NOT LIKE '%r%') AS "b", COUNT(*) FILTER (WHERE tags > 'r') AS "c", COUNT(*) FILTER (WHERE 'c' >= tags) AS "d", COUNT(*) FILTER (WHERE tags BETWEEN 'g' AND 'h' AND p_size > 10) AS "e", COUNT(*) FILTER (WHERE tags NOT BETWEEN 'g' AND 'h') AS "f", COUNT(*) FILTER (WHERE tags IN (LOWER('RED'), CONCAT('ri', 'ng'))) AS "g" FROM tagged t""",
+     f"""{_TAGS} SELECT count(*) FILTER ({_ANY.format("x LIKE 'r%'")}) AS a, count(*) FILTER (NOT {_ANY.format("x LIKE '%r%'")}) AS b, count(*) FILTER ({_ANY.format("x > 'r'")}) AS c, count(*) FILTER ({_ANY.format("x <= 'c'")}) AS d,
+     count(*) FILTER ({_ANY.format("x BETWEEN 'g' AND 'h'")} AND p_size > 10) AS e, count(*) FILTER (NOT {_ANY.format("x BETWEEN 'g' AND 'h'")}) AS f, count(*) FILTER (list_has_any(v, ['red', 'ring'])) AS g FROM t""")
+_add("mv_per_value", """SELECT UPPER(SUBSTRING(tags, 1, 2)) AS "head", COUNT(*) AS "n" FROM tagged WHERE UPPER(tags) = 'RED' OR LOWER(tags) LIKE 's%' GROUP BY 1""",
+     f"""{_TAGS} SELECT upper(substring(x, 1, 2)) AS head, count(*) AS n FROM (SELECT unnest(v) AS x FROM t WHERE list_contains(v, 'red') OR {_ANY.format("x LIKE 's%'")}) GROUP BY 1""")
+_add("mv_of_subquery", """SELECT q."words" AS "word", COUNT(*) AS "n" FROM (SELECT tags AS "words", p_size AS tags FROM tagged WHERE tags = 'red') q WHERE q."words" <> 'ring' AND q.tags = 7 GROUP BY 1""",
+     f"{_TAGS} SELECT x AS word, count(*) AS n FROM (SELECT unnest(v) AS x FROM t WHERE list_contains(v, 'red') AND NOT list_contains(v, 'ring') AND p_size = 7) GROUP BY 1")
+_add("mv_of_exploded", """SELECT "tag", "n" FROM (SELECT tags AS "tag", COUNT(*) AS "n" FROM tagged GROUP BY 1) WHERE "tag" = 'red' OR "tag" LIKE 's%'""",
+     f"{_TAGS} SELECT * FROM (SELECT x AS tag, count(*) AS n FROM (SELECT unnest(CASE WHEN len(v) = 0 THEN [NULL] ELSE v END) AS x FROM t) GROUP BY 1) WHERE tag = 'red' OR tag LIKE 's%'")
+_add("array_to_mv_group", """SELECT ARRAY_TO_MV(STRING_TO_ARRAY(p_name, ' ')) AS "word", COUNT(*) AS "n", MAX(p_size) AS "top" FROM part GROUP BY 1 ORDER BY 2 DESC, 1""",
+     "SELECT word, count(*) AS n, max(p_size) AS top FROM (SELECT unnest(string_split(p_name, ' ')) AS word, p_size FROM part) GROUP BY 1")
+_add("array_to_mv_of_subquery", """SELECT "w" AS "word", COUNT(*) AS "n" FROM (SELECT STRING_TO_MV(p_name, ' ') AS "w" FROM part) WHERE "w" = 'red' GROUP BY 1""",
+     "SELECT word, count(*) AS n FROM (SELECT unnest(string_split(p_name, ' ')) AS word FROM part WHERE list_contains(string_split(p_name, ' '), 'red')) GROUP BY 1")
+_add("lookup_beside_star", """SELECT *, LOOKUP(CAST(o_custkey AS VARCHAR), 'customers') AS "segment" FROM (SELECT o_orderkey, o_custkey FROM orders) o WHERE LOOKUP(CAST(o_custkey AS VARCHAR), 'customers') <> 'BUILDING' OR LOOKUP(CAST(o_orderkey AS VARCHAR), 'customers') IS NOT NULL""",
+     """SELECT o_orderkey, o_custkey, c.c_mktsegment AS segment FROM orders LEFT JOIN customer c ON c.c_custkey = o_custkey LEFT JOIN customer d ON d.c_custkey = o_orderkey WHERE c.c_mktsegment <> 'BUILDING' OR d.c_mktsegment IS NOT NULL""")
+_add("lookup_of_aggregate", """SELECT "status", LOOKUP(CAST("k" AS VARCHAR), 'customers', 'none') AS "segment" FROM (SELECT o_orderstatus AS "status", MAX(o_custkey) AS "k" FROM orders GROUP BY 1)""",
+     "SELECT status, coalesce(c_mktsegment, 'none') AS segment FROM (SELECT o_orderstatus AS status, max(o_custkey) AS k FROM orders GROUP BY 1) LEFT JOIN customer ON c_custkey = k")
+_add("quantile_rank_error", """SELECT l."flag" AS "flag", COUNT(*) AS "n", ABS(AVG(CASE WHEN l."v" <= q."p50" THEN 1.0 ELSE 0.0 END) - 0.5) < 0.005 AS "p50_ok", ABS(AVG(CASE WHEN l."v" <= q."p99" THEN 1.0 ELSE 0.0 END) - 0.99) < 0.005 AS "p99_ok",
+     ABS(COUNT(*) FILTER (WHERE l."v" <= q."odd" AND l."k" > 3) * 1.0 / COUNT(*) FILTER (WHERE l."k" > 3) - 0.25) < 0.005 AS "odd_ok"
+     FROM (SELECT l_returnflag AS "flag", l_linenumber AS "k", l_extendedprice AS "v" FROM lineitem) l
+     JOIN (SELECT l_returnflag AS "flag", APPROX_QUANTILE_DS(l_extendedprice, 0.5) AS "p50", APPROX_QUANTILE(l_extendedprice, 0.99) AS "p99", APPROX_QUANTILE_DS(l_extendedprice, 0.25) FILTER (WHERE l_linenumber > 3) AS "odd" FROM lineitem GROUP BY 1) q
+     ON l."flag" = q."flag" GROUP BY 1""",
+     "SELECT l_returnflag AS flag, count(*) AS n, true AS p50_ok, true AS p99_ok, true AS odd_ok FROM lineitem GROUP BY 1")
+_add("quantile_of_nothing", """SELECT event_type, APPROX_QUANTILE_DS("value", 0.5) FILTER (WHERE event_id < 0) AS "none", APPROX_QUANTILE_DS(NULLIF("value", "value"), 0.5) AS "nulls", COUNT(*) AS "n" FROM events GROUP BY 1""",
+     "SELECT event_type, NULL::DOUBLE AS none, NULL::DOUBLE AS nulls, count(*) AS n FROM events GROUP BY 1")
