@@ -79,9 +79,53 @@ def test_probes_and_codes_lose_nothing():
 def test_hadamard_keeps_lengths():
     x = np.random.default_rng(0).normal(size=(5, 64))
     assert np.allclose(np.linalg.norm(nearest.hadamard(x), axis=1), np.linalg.norm(x, axis=1))
-    h = nearest.CrossPolytope(64)
-    y = h.rotated(x, 0)
-    assert (h.buckets(x, 0)[:, 0] == np.concatenate([y, -y], axis=1).argmax(axis=1)).all() and (h.buckets(x, 0, 4)[:, 0] == h.buckets(x, 0)[:, 0]).all()
+    h = nearest.CrossPolytope(64, 60_000)
+    assert h.axes == [64, 8] and h.buckets == 2048 and h.tables == 16
+    both = [np.concatenate([y, -y], axis=1) for y in (h.rotated(x, 0, 0)[:, :64], h.rotated(x, 0, 1)[:, :8])]
+    assert (h.nearest_buckets(x, 0)[:, 0] == both[0].argmax(axis=1) * 16 + both[1].argmax(axis=1)).all()
+    sums = (both[0][:, :, None] + both[1][:, None]).reshape(5, -1)
+    assert (h.nearest_buckets(x, 0, 40) == np.argsort(-sums, axis=1)[:, :40]).all()
+
+
+def test_buckets_grow_with_the_vectors():
+    sizes = [nearest.CrossPolytope(65, n) for n in (1, 60, 500, 2000, 20_000, 60_000, 10**6, 10**9)]
+    asked = [h.tables * h.probes * n / h.buckets for h, n in zip(sizes, (1, 60, 500, 2000, 20_000, 60_000, 10**6, 10**9))]
+    assert [h.buckets for h in sizes] == sorted(h.buckets for h in sizes) and all(np.prod([2 * m for m in h.axes]) == h.buckets for h in sizes)
+    assert asked[2] == 500 and asked[-2] < 10**5 and asked[-1] < 10**6  # scored for a query
+
+
+@pytest.mark.parametrize("n, k", [(64, 20), (3000, 20)])
+def test_search_breaks_ties_by_id(spark, n, k):
+    """Very many different vectors of one score: those of the smallest ids come."""
+    eye = np.zeros((n + 1, 16))
+    eye[0, 0] = 1.0
+    rng = np.random.default_rng(1)
+    eye[1:, 1:] = rng.integers(-2, 3, (n, 15))
+    eye[1:, 0] = 0.5
+    ids = [0, *(rng.permutation(n) * 20 + 1).tolist()]
+    rows = [(i, v.tolist()) for i, v in zip(ids, eye)]
+    got = nearest.search(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), tables=1, probes=1 << 20).orderBy("rank").collect()
+    assert [(r.vec_id, r.score) for r in got] == [(20 * i + 1, 0.5) for i in range(k)]
+
+
+def test_best_is_exact_and_ordered():
+    rng = np.random.default_rng(2)
+    x, y, least = rng.integers(-3, 4, (7, 5)).astype(float), rng.integers(-3, 4, (400, 5)).astype(float), rng.permutation(400)
+    for k in (1, 21, 500):
+        rows, columns, score = nearest._best(x, y, least, k)
+        want = [(i, int(least[j]), float(s)) for i in range(7) for s, _, j in sorted((-float(x[i] @ y[j]), least[j], j) for j in range(400))[:k] for s in [-s]]
+        assert list(zip(rows.tolist(), least[columns].tolist(), score.tolist())) == want
+
+
+@pytest.mark.parametrize("n", [1200, 1400])
+def test_search_of_repeated_ids(spark, n):
+    x = np.random.default_rng(3).normal(size=(n, 8))
+    rows = [(i // 2, v.tolist()) for i, v in enumerate(x)] + [(0, x[0].tolist())] * 5
+    got = nearest.search(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), tables=1, probes=1 << 20)
+    s = np.maximum(x @ x[40], x @ x[41])  # an id of two vectors asks with both
+    want = [(i // 2, float(s[i])) for i in np.argsort(-s, kind="stable") if i // 2 != 20][:20]
+    rows = got.where("query_id = 20").orderBy("rank").collect()
+    assert [r.vec_id for r in rows] == [i for i, _ in want] and np.allclose([r.score for r in rows], [v for _, v in want])
 
 
 def brute_search(rows, k=20):
@@ -144,5 +188,5 @@ def test_search_recall_whatever_the_norms(spark, kind):
 def test_search_fills_up_where_buckets_hold_too_little(spark):
     x = np.random.default_rng(9).normal(size=(2000, 32))
     rows = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
-    got = nearest.search(rows, tables=1, probes=1).groupBy("query_id").count().collect()
+    got = nearest.search(rows, tables=1, probes=2).groupBy("query_id").count().collect()
     assert [r["count"] for r in got] == [20] * 100

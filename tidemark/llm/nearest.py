@@ -27,9 +27,9 @@ from pyspark.sql import functions as F
 from .common import stash
 from .vectors import is_usable, packed
 
-TABLES, PROBES, PART = 16, 10, 8192
-#: Ranges of at most so many times k vectors are searched whole.
-WHOLE = 64
+TABLES, PROBES, PART = 16, 64, 8192
+#: Longest vectors, as a multiple of k, whose scores bound those of an answer from below.
+LONGEST = 64
 #: Steps of norms to a doubling; a hashed range spans a doubling.
 STEPS = 8
 
@@ -45,48 +45,66 @@ def hadamard(x: np.ndarray) -> np.ndarray:
 
 
 class CrossPolytope:
-    """Pseudo-rotations of all tables; buckets are signed axes."""
+    """Pseudo-rotations of all tables for ``count`` vectors; a bucket is a signed axis of each of a table's rotations."""
 
-    def __init__(self, dims: int, tables: int = TABLES, seed: int = 11):
+    def __init__(self, dims: int, count: int, tables: int = TABLES, probes: int = PROBES, seed: int = 11):
         self.n = 1 << max(1, (dims - 1).bit_length())
-        self.signs = np.random.default_rng(seed).choice([-1.0, 1.0], (tables, 3, self.n))
-
-    def rotated(self, x: np.ndarray, table: int) -> np.ndarray:
+        left = 1 << max(0, int(np.log2(max(1.0, 0.5 * count**0.8))))
+        self.buckets, self.axes = left, []
+        while left > 1:
+            self.axes.append(min(self.n, left // 2))
+            left //= 2 * self.axes[-1]
+        self.probes = min(probes, self.buckets)
+        # one table holds all that it probes in full; more buckets need more tables
+        self.tables = min(tables, max(1, self.buckets // probes))
+        self.signs = np.random.default_rng(seed).choice([-1.0, 1.0], (tables, max(1, len(self.axes)), 3, self.n))
+
+    def rotated(self, x: np.ndarray, table: int, nth: int = 0) -> np.ndarray:
         y = np.zeros((len(x), self.n))
         y[:, : x.shape[1]] = x
-        for s in self.signs[table]:
+        for s in self.signs[table, nth]:
             y = hadamard(y * s)
         return y
 
-    def buckets(self, x: np.ndarray, table: int, probes: int = 1) -> np.ndarray:
-        """The nearest signed axes of each row, nearest first: axis, plus n if negative."""
-        y = self.rotated(x, table)
-        both = np.concatenate([y, -y], axis=1)
-        if probes == 1:
-            return both.argmax(axis=1)[:, None]
-        probes = min(probes, both.shape[1])
-        top = np.argpartition(-both, probes - 1, axis=1)[:, :probes]
-        return np.take_along_axis(top, np.argsort(-np.take_along_axis(both, top, axis=1), axis=1, kind="stable"), axis=1)
+    def nearest_buckets(self, x: np.ndarray, table: int, probes: int = 1) -> np.ndarray:
+        """The likeliest buckets of each row, the best first: by the sum of the row's parts along their signed axes."""
+        found, score = np.zeros((len(x), 1), np.int64), np.zeros((len(x), 1))
+        for nth, m in enumerate(self.axes):
+            y = self.rotated(x, table, nth)[:, :m]
+            both = np.concatenate([y, -y], axis=1)
+            score = (score[:, :, None] + both[:, None]).reshape(len(x), -1)
+            found = (found[:, :, None] * (2 * m) + np.arange(2 * m)).reshape(len(x), -1)
+            keep = min(probes, score.shape[1])
+            top = np.argpartition(-score, keep - 1, axis=1)[:, :keep] if keep < score.shape[1] else np.tile(np.arange(keep), (len(x), 1))
+            score, found = np.take_along_axis(score, top, axis=1), np.take_along_axis(found, top, axis=1)
+        return np.take_along_axis(found, np.argsort(-score, axis=1, kind="stable"), axis=1)
+
+    def keys(self, x: np.ndarray, probes: int) -> np.ndarray:
+        """Buckets in all tables."""
+        return np.concatenate([self.nearest_buckets(x, t, probes) + t * self.buckets for t in range(self.tables)], axis=1)
 
 
 class Ranges:
-    """Ranges of norms, the largest first, from ``(step, n, largest norm)`` of each step."""
+    """Ranges of norms, the largest first, from ``(step, n, largest norm)`` of each step; each with its hashing.
+
+    Ranges whose norms under- or overflow are searched whole: such vectors have no direction.
+    """
 
-    def __init__(self, steps: list[tuple[int, int, float]], few: int):
-        self.lows, self.largest, self.whole, n = [], [], [], 0
+    def __init__(self, steps: list[tuple[int, int, float]], dims: int, tables: int, probes: int):
+        self.lows, self.largest, counts = [], [], []
         for step, count, norm in sorted(steps, reverse=True):
             hashable = 0 < norm < np.inf
-            if self.lows and n + count <= few and self.whole[-1]:
-                n += count
-            elif self.lows and hashable and top - step < STEPS and np.isfinite(self.largest[-1]):
-                n += count
+            if self.lows and hashable and top - step < STEPS and np.isfinite(self.largest[-1]):
+                counts[-1] += count
             else:
                 self.lows.append(step)
                 self.largest.append(norm)
-                self.whole.append(True)
-                n, top = count, step
+                counts.append(count)
+                top = step
             self.lows[-1] = step
-            self.whole[-1] = n <= few or not hashable or not np.isfinite(self.largest[-1])
+        self.hashers = [CrossPolytope(dims, n, tables, probes) if 0 < norm < np.inf else None for n, norm in zip(counts, self.largest)]
+        #: first key of each range
+        self.first = np.r_[0, np.cumsum([h.buckets * h.tables if h else 0 for h in self.hashers])].tolist()
 
     def of(self, steps: np.ndarray) -> np.ndarray:
         return np.searchsorted(-np.array(self.lows), -steps)
@@ -100,11 +118,7 @@ def _keyed(b: pa.RecordBatch, at: list[np.ndarray], keys: list[np.ndarray]) -> p
     return pa.RecordBatch.from_arrays([*b.columns, pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat, pa.int64()))], [*b.schema.names, "buckets"])
 
 
-def _keys(hasher: CrossPolytope, unit: np.ndarray, probes: int) -> np.ndarray:
-    return np.concatenate([hasher.buckets(unit, t, probes) + t * 2 * hasher.n for t in range(len(hasher.signs))], axis=1)
-
-
-def _hashed_entries(hasher: CrossPolytope, ranges: Ranges, spread: int):
+def _hashed_entries(ranges: Ranges, spread: int):
     """Adds the buckets of ``(cls, v, step)``; whole ranges are one bucket for each part of the queries, below 0."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -116,19 +130,20 @@ def _hashed_entries(hasher: CrossPolytope, ranges: Ranges, spread: int):
             for r in np.unique(of).tolist():
                 rows = np.flatnonzero(of == r)
                 at.append(rows)
-                if ranges.whole[r]:
+                hasher = ranges.hashers[r]
+                if hasher is None:
                     keys.append(np.tile(-1 - r * spread - np.arange(spread), (len(rows), 1)))
                     continue
                 y = x[rows] / ranges.largest[r]
                 # only the last component tells queries from entries: it raises entries to unit length
                 unit = np.c_[y, np.sqrt(np.maximum(0, 1 - (y * y).sum(axis=1)))]
-                keys.append(_keys(hasher, unit, 1) + r * len(hasher.signs) * 2 * hasher.n)
+                keys.append(hasher.keys(unit, 1) + ranges.first[r])
             yield _keyed(b, at, keys)
 
     return run
 
 
-def _hashed_queries(hasher: CrossPolytope, ranges: Ranges, spread: int, probes: int, k: int, longest: np.ndarray):
+def _hashed_queries(ranges: Ranges, spread: int, k: int, longest: np.ndarray):
     """Adds the buckets that ``(id, v, cls)`` probes, in the ranges that can hold one of its ``k`` nearest.
 
     ``longest`` are vectors of different rows: but one of them are candidates of
@@ -146,36 +161,52 @@ def _hashed_queries(hasher: CrossPolytope, ranges: Ranges, spread: int, probes:
                     low = np.partition(y / norm @ longest.T, -k - 1, axis=1)[:, -k - 1]
                 low -= 1e-9 * np.abs(low)
                 part = b.column(0).to_numpy() % spread
-                probed, at, keys = None, [], []
+                at, keys = [], []
                 for r, largest in enumerate(ranges.largest):
                     rows = np.flatnonzero(~(low > largest))
                     if not len(rows):
                         continue
                     at.append(rows)
-                    if ranges.whole[r]:
+                    hasher = ranges.hashers[r]
+                    if hasher is None:
                         keys.append(-1 - r * spread - part[rows, None])
                         continue
-                    if probed is None:
-                        probed = _keys(hasher, np.c_[y / norm, np.zeros(len(y))], probes)
-                    keys.append(probed[rows] + r * len(hasher.signs) * 2 * hasher.n)
+                    keys.append(hasher.keys(np.c_[y[rows] / norm[rows], np.zeros(len(rows))], hasher.probes) + ranges.first[r])
                 yield _keyed(b, at, keys)
 
     return run
 
 
+def _best(x: np.ndarray, y: np.ndarray, least: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Rows of ``x``, rows of ``y`` and scores: of each row of ``x`` the ``k`` largest inner products, of equal ones those of the smallest ``least``.
+
+    A first product finds all that can be among them, whatever its rounding;
+    these are scored one by one.
+    """
+    s = x @ y.T
+    rows, columns = np.repeat(np.arange(len(x)), len(y)), np.tile(np.arange(len(y)), len(x))
+    if len(y) > k:
+        cut = np.partition(s, -k, axis=1)[:, -k, None]
+        slack = 1e-12 * np.linalg.norm(x, axis=1)[:, None] * np.linalg.norm(y, axis=1).max()
+        rows, columns = np.nonzero(~(s < cut - slack))
+    score = np.concatenate([np.zeros(0), *(np.einsum("ij,ij->i", x[rows[a : a + 65536]], y[columns[a : a + 65536]]) for a in range(0, len(rows), 65536))])
+    order = np.lexsort((least[columns], -score, rows))
+    rows, columns, score = rows[order], columns[order], score[order]
+    starts = np.flatnonzero(np.r_[True, np.diff(rows) > 0]) if len(rows) else np.zeros(0, np.int64)
+    nth = np.arange(len(rows)) - np.repeat(starts, np.diff(np.r_[starts, len(rows)]))
+    return rows[nth < k], columns[nth < k], score[nth < k]
+
+
 def _reranked(k: int):
     def run(key, queries: pd.DataFrame, entries: pd.DataFrame) -> pd.DataFrame:
         if not len(queries) or not len(entries):
-            return pd.DataFrame({"q": pd.array([], "int64"), "cls": pd.array([], "int64"), "score": pd.array([], "float64")})
-        y, cls, own = np.stack(entries["v"]).astype(np.float64), entries["cls"].to_numpy(), queries["cls"].to_numpy()
+            return pd.DataFrame({"q": pd.array([], "int64"), "cls": pd.array([], "int64"), "least": pd.array([], "int64"), "score": pd.array([], "float64")})
+        y, cls, least = np.stack(entries["v"]).astype(np.float64), entries["cls"].to_numpy(), entries["least"].to_numpy()
         out = []
         for a in range(0, len(queries), 256):
-            x = np.stack(queries["v"].iloc[a : a + 256]).astype(np.float64)
-            s = x @ y.T
             # one more than k: the query's own class counts only if others share it
-            top = np.argpartition(-s, k, axis=1)[:, : k + 1] if s.shape[1] > k + 1 else np.tile(np.arange(s.shape[1]), (len(x), 1))
-            rows = np.repeat(np.arange(len(x)), top.shape[1])
-            out.append(pd.DataFrame({"q": queries["q"].to_numpy()[a + rows], "cls": cls[top.ravel()], "score": np.einsum("ij,ij->i", x[rows], y[top.ravel()])}))
+            rows, columns, score = _best(np.stack(queries["v"].iloc[a : a + 256]).astype(np.float64), y, least, k + 1)
+            out.append(pd.DataFrame({"q": queries["q"].to_numpy()[a + rows], "cls": cls[columns], "least": least[columns], "score": score}))
         return pd.concat(out)
 
     return run
@@ -185,9 +216,10 @@ def search(vectors: DataFrame, is_query: Column | None = None, k: int = 20, id_c
     """``(query_id, rank, vec_id, score)``: the ``k`` found nearest of each query.
 
     Queries are the rows where ``is_query`` holds, by default those whose id is
-    divisible by 20; candidates are all rows but the query's own. Ties go to the
-    smaller id. Few distinct vectors are searched whole, and queries that find
-    fewer than ``k`` again in all vectors, so with fewer candidates all come. Vectors that are null, empty,
+    divisible by 20; candidates are all rows but the query's own. Ties among those
+    found go to the smaller id. Up to about a thousand vectors of like norms have
+    no more buckets than are probed, so that all are found; queries that find
+    fewer than ``k`` search all vectors again, so with fewer candidates all come. Vectors that are null, empty,
     zero or hold null or non-finite components, rows with null ids, and vectors
     of another length than the query's take no part. Of rows with equal ids and
     vectors one takes part; ids with several vectors are several candidates.
@@ -212,47 +244,44 @@ def search(vectors: DataFrame, is_query: Column | None = None, k: int = 20, id_c
 
 
 def _search_dim(rows: DataFrame, dims: int, k: int, tables: int, probes: int) -> DataFrame:
-    hasher = CrossPolytope(dims + 1, tables)
     least = Window.partitionBy("cls").orderBy("id")
     # of a class only the k + 1 smallest ids can come up; each task keeps its own first ones
     members = rows.select("cls", "id").withColumn("nth", F.row_number().over(least)).where(F.col("nth") <= k + 1).select("cls", "id")
     members = stash(members.distinct())
     classes = rows.groupBy("cls").agg(F.first("v").alias("v"), F.first("step").alias("step"), F.first("norm").alias("norm"), F.min("id").alias("least"))
     steps = rows.select("cls", "step", "norm").distinct().groupBy("step").agg(F.count("*"), F.max("norm")).collect()
-    ranges = Ranges([tuple(r) for r in steps], WHOLE * k)
+    ranges = Ranges([tuple(r) for r in steps], dims + 1, tables, probes)
     longest = np.zeros((0, dims))
     if len(ranges.lows) > 1:
         # of rows that share an id, one: others may be a query's own
-        top = classes.orderBy(F.desc("norm")).limit(WHOLE * k).select("least", "v").toArrow()
+        top = classes.orderBy(F.desc("norm")).limit(LONGEST * k).select("least", "v").toArrow()
         longest = packed(top["v"])[np.unique(top["least"].to_numpy(), return_index=True)[1]]
     asked = rows.where("query").select("id", "v", "cls").dropDuplicates(["id", "cls"])
     spread = max(1, -(-asked.count() // PART))
-    entries = stash(classes.select("cls", "v", "step").mapInArrow(_hashed_entries(hasher, ranges, spread), "cls long, v array<double>, step long, buckets array<long>"))
-    probing = asked.mapInArrow(_hashed_queries(hasher, ranges, spread, probes, k, longest), "id long, v array<double>, cls long, buckets array<long>")
-    ranked = _ranked(_found(probing, entries, k), members, k)
-    if all(ranges.whole):
-        return ranked
-    ranked = stash(ranked)
+    entries = stash(classes.select("cls", "v", "step", "least").mapInArrow(_hashed_entries(ranges, spread), "cls long, v array<double>, step long, least long, buckets array<long>"))
+    probing = asked.mapInArrow(_hashed_queries(ranges, spread, k, longest), "id long, v array<double>, cls long, buckets array<long>")
+    ranked = stash(_ranked(_found(probing, entries, k), members, k))
     short = stash(asked.join(ranked.where(F.col("rank") == k).select(F.col("query_id").alias("id")), "id", "left_anti"))
     spread = -(-short.count() // PART)
     if not spread:
         return ranked
     probing = short.select("id", "v", "cls", F.array(F.pmod("id", F.lit(spread))).alias("buckets"))
-    everywhere = entries.select("cls", "v", F.sequence(F.lit(0).cast("long"), F.lit(spread - 1).cast("long")).alias("buckets"))
+    everywhere = entries.select("cls", "v", "least", F.sequence(F.lit(0).cast("long"), F.lit(spread - 1).cast("long")).alias("buckets"))
     again = _ranked(_found(probing, everywhere, k), members, k)
     return ranked.join(short.select(F.col("id").alias("query_id")).distinct(), "query_id", "left_anti").union(again)
 
 
 def _found(asked: DataFrame, entries: DataFrame, k: int) -> DataFrame:
     """``(q, cls, score)``: the best classes of each query in the buckets that it probes."""
-    entries = entries.select("cls", "v", F.explode("buckets").alias("bucket"))
+    entries = entries.select("cls", "v", "least", F.explode("buckets").alias("bucket"))
     sizes = entries.groupBy("bucket").agg(F.ceil(F.count("*") / PART).cast("int").alias("parts"))
     entries = entries.join(sizes, "bucket").withColumn("part", F.pmod(F.hash("cls"), F.col("parts")))
     asked = asked.select(F.col("id").alias("q"), "v", "cls", F.explode("buckets").alias("bucket")).join(sizes, "bucket").withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-    found = asked.groupBy("bucket", "part").cogroup(entries.select("bucket", "part", "cls", "v").groupBy("bucket", "part")).applyInPandas(_reranked(k), "q long, cls long, score double")
-    found = found.groupBy("q", "cls").agg(F.max("score").alias("score"))
-    best = Window.partitionBy("q").orderBy(F.desc("score"), "cls")
-    return found.withColumn("nth", F.row_number().over(best)).where(F.col("nth") <= k + 1).drop("nth")
+    found = asked.groupBy("bucket", "part").cogroup(entries.select("bucket", "part", "cls", "v", "least").groupBy("bucket", "part")).applyInPandas(_reranked(k), "q long, cls long, least long, score double")
+    found = found.groupBy("q", "cls").agg(F.max("score").alias("score"), F.first("least").alias("least"))
+    # of classes beyond these, none has an id before k others
+    best = Window.partitionBy("q").orderBy(F.desc("score"), "least", "cls")
+    return found.withColumn("nth", F.row_number().over(best)).where(F.col("nth") <= k + 1).drop("nth", "least")
 
 
 def _ranked(found: DataFrame, members: DataFrame, k: int) -> DataFrame:

@@ -134,6 +134,14 @@ links AS (
 reach(x, y) AS (SELECT x, y FROM links UNION SELECT r.x, l.y FROM reach r JOIN links l ON l.x = r.y),
 c AS (SELECT vec_id, least(vec_id, coalesce((SELECT min(y) FROM reach r WHERE r.x = vec_id), vec_id)) AS component_id FROM embeddings)
 SELECT vec_id, (SELECT count(*) FROM links l WHERE l.x = vec_id) AS n_links, component_id, vec_id = component_id AS kept FROM c
+""",
+    # exact: as many vectors as this is run on have no more buckets than are probed
+    "op10_nearest": r"""
+WITH v AS (
+  SELECT DISTINCT vec_id, embedding::DOUBLE[] AS e FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+s AS (SELECT a.vec_id AS query_id, b.vec_id, list_inner_product(a.e, b.e) AS score FROM v a JOIN v b ON a.vec_id <> b.vec_id AND len(a.e) = len(b.e) WHERE a.vec_id % 20 = 0)
+SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank, vec_id, score FROM s QUALIFY rank <= 20
 """,
     "op11_hard_negatives": r"""
 WITH v AS (
