@@ -1,6 +1,10 @@
 """Suites, scopes, decoys, calendar windows, quotas, and statements that write."""
 
+import itertools
 import json
+import math
+import random
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
@@ -68,8 +72,6 @@ def test_counts_that_must_be_zero(spark):
 
 
 def test_quotas(spark):
-    assert curation.quotas({"a": 100, "b": 2, "c": 100}, {"a": 1, "b": 1, "c": 2}, 40) == {"a": 18, "b": 2, "c": 20}
-    assert curation.quotas({"a": 3, "b": 3}, {"a": 1, "b": 1}, 40) == {"a": 3, "b": 3} and curation.quotas({}, {}, 5) == {}
     df = spark.range(60).select("id", F.when(F.col("id") < 50, "a").otherwise("b").alias("c"), (F.col("id") % 2).alias("s"), (F.col("id") % 55).alias("q"))
     drawn = curation.quota_draw(df, {"a": 1, "b": 1}, 20, "c", "s", "q", "id").collect()
     assert len(drawn) == 20 and len({r.q for r in drawn}) == 20 and sum(r.c == "b" for r in drawn) == 5
@@ -118,3 +120,61 @@ def test_extern(spark):
             engine.sql(bad)
     with pytest.raises(Exception):  # noqa: B017
         engine.sql(table({"type": "inline", "data": "no json"})).collect()
+
+
+def test_quota_draw_matches_a_walk(spark):
+    rng = random.Random(3)
+    for target, weights in ((30, {"a": 3, "b": 1, "c": 1}), (60, {"a": 1, "b": 9, "x": 2}), (500, {"a": 1, "c": 1})):
+        rows = [(i, rng.choice("aaaabcc"), rng.choice("stuv") if rng.random() < 0.9 else None, f"q{rng.randrange(150)}", "k") for i in range(200)]
+        df = spark.createDataFrame(rows, "o long, c string, s string, q string, nth string").repartition(3)
+        first = {}
+        for r in rows:
+            if r[1] in weights and r[3] not in first:
+                first[r[3]] = r
+        rows, cap = list(first.values()), max(4, round(target * 0.03))
+        sizes = Counter(r[1] for r in rows)
+        quota = {c: max(1, round(target * weights[c] / sum(weights[x] for x in sizes))) for c in sizes}
+        out, had, have, short = [], Counter(), Counter(), 0
+        for c in sorted(sizes, key=lambda c: (sizes[c], c)):
+            want, got = min(quota[c] + short, target - len(out)), 0
+            for relaxed in (False, True):
+                for r in rows:
+                    if r[1] == c and r not in out and got < want and (relaxed or had[r[2]] < cap):
+                        out.append(r)
+                        had[r[2]] += 1
+                        got += 1
+            have[c], short = got, max(0, quota[c] + short - got)
+        rest = sorted((r for r in rows if r not in out), key=lambda r: (have[r[1]] / quota[r[1]], r[1], r[0]))
+        want = sorted(out + rest[: target - len(out)])
+        assert sorted(map(tuple, curation.quota_draw(df, weights, target, "c", "s", "q", "o").collect())) == want
+
+
+def test_pair_caps_match_a_walk(spark):
+    rng = random.Random(4)
+    rows = [(i * 3, rng.sample("abcdef", rng.randrange(0, 4)) if rng.random() < 0.9 else None, "x") for i in range(150)]
+    for share in (0.03, 0.1):
+        limit, had, want = max(3, math.ceil(share * len(rows))), Counter(), []
+        for r in rows:
+            pairs = list(itertools.combinations(sorted(set(r[1] or [])), 2))
+            if not any(had[p] >= limit for p in pairs):
+                had.update(pairs)
+                want.append(r[0])
+        df = spark.createDataFrame(rows, "o long, f array<string>, slice string").repartition(4)
+        assert sorted(r.o for r in curation.cap_pairs(df, "f", "o", share, slices=5).collect()) == want
+
+
+def test_weighted_draws(spark):
+    df = spark.createDataFrame([(i, 1.0 + 9 * (i % 2), i % 3) for i in range(3000)] + [(5000, 0.0, 0), (5001, None, 0), (5002, float("inf"), 0), (None, 1.0, 0)], "id long, w double, g int")
+    draw = curation.draw_weighted(df, F.col("w"), "id", 300)
+    ids = {r.id for r in draw.collect()}
+    assert len(ids) == 300 and {r.id for r in curation.draw_weighted(df.repartition(5), F.col("w"), "id", 100).collect()} < ids
+    assert 0.8 < sum(i % 2 for i in ids) / 300 < 0.98  # ten times the weight
+    assert {r["g"]: r["count"] for r in curation.draw_weighted(df, F.col("w"), "id", 7, by="g").groupBy("g").count().collect()} == {0: 7, 1: 7, 2: 7}
+    assert {r.id for r in curation.draw_weighted(df, F.col("w"), "id", 300, seed=1).collect()} != ids
+
+
+def test_working_names_do_not_clash(spark):
+    df = spark.createDataFrame([(k, k % 3, "n", "e") for k in range(12)], "o long, key int, nth string, exempted string")
+    assert curation.first_of_each(df, F.col("key"), "o").columns == df.columns and curation.first_of_each(df, F.col("key"), "o").count() == 3
+    capped = curation.cap_skeletons(df, "key", "o", share=0.1)
+    assert capped.columns == df.columns and capped.count() == 6

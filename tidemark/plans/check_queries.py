@@ -283,13 +283,37 @@ def curation_order_statistics(spark, sf_dir):
     return curation.order_statistics(_table(spark, sf_dir, "events"), "user_id", "event_type")
 
 
-@_registered("""WITH f AS (SELECT * FROM conversations QUALIFY row_number() OVER (PARTITION BY text ORDER BY conv_id * 100000 + turn) = 1),
- s AS (SELECT role, count(*) AS n FROM f WHERE role IN ('user', 'assistant') GROUP BY 1)
- SELECT (SELECT least(200, sum(n))::BIGINT FROM s) AS drawn, (SELECT least(200, sum(n))::BIGINT FROM s) AS texts""")
+_TARGET, _CAP = 200, 6
+
+
+def _draw_step(c: int, before: str) -> str:
+    """SQL of one cluster's draw, ``before`` being all rows drawn so far: within the schemas' room, then any."""
+    return f"""
+ w{c} AS (SELECT least((SELECT quota FROM s WHERE nth = {c}) + {f"(SELECT short FROM e{c - 1})" if c > 1 else "0"}, {_TARGET} - (SELECT count(*) FROM {before})) AS want),
+ r{c} AS (SELECT o, schema FROM f WHERE role = (SELECT role FROM s WHERE nth = {c}) AND o NOT IN (SELECT o FROM {before})),
+ p{c} AS (SELECT o, schema FROM (SELECT *, row_number() OVER (PARTITION BY schema ORDER BY o) AS k FROM r{c}) x
+   WHERE k <= {_CAP} - (SELECT count(*) FROM {before} d WHERE d.schema = x.schema) QUALIFY row_number() OVER (ORDER BY o) <= (SELECT want FROM w{c})),
+ q{c} AS (SELECT o, schema FROM r{c} WHERE o NOT IN (SELECT o FROM p{c}) QUALIFY row_number() OVER (ORDER BY o) <= (SELECT want FROM w{c}) - (SELECT count(*) FROM p{c})),
+ d{c} AS (SELECT * FROM {before} UNION ALL SELECT * FROM p{c} UNION ALL SELECT * FROM q{c}),
+ e{c} AS (SELECT greatest(0, (SELECT quota FROM s WHERE nth = {c}) + {f"(SELECT short FROM e{c - 1})" if c > 1 else "0"} - (SELECT count(*) FROM p{c}) - (SELECT count(*) FROM q{c})) AS short)"""
+
+
+@_registered(f"""WITH f AS (SELECT *, conv_id * 100000 + turn AS o, conv_id % 40 AS schema FROM conversations WHERE role IN ('user', 'assistant') QUALIFY row_number() OVER (PARTITION BY text ORDER BY conv_id * 100000 + turn) = 1),
+ s AS (SELECT role, greatest(1, round({_TARGET} * w / sum(w) OVER ()))::BIGINT AS quota, row_number() OVER (ORDER BY n, role) AS nth FROM (SELECT role, count(*) AS n, CASE role WHEN 'user' THEN 3 ELSE 1 END AS w FROM f GROUP BY 1)),
+ d0 AS (SELECT o, schema FROM f WHERE false),{_draw_step(1, "d0")},{_draw_step(2, "d1")},
+ h AS (SELECT role, quota, (SELECT count(*) FROM d2 JOIN f USING (o) WHERE f.role = s.role) AS have FROM s),
+ top AS (SELECT f.o FROM f JOIN h ON f.role = h.role WHERE f.o NOT IN (SELECT o FROM d2) QUALIFY row_number() OVER (ORDER BY have / quota, f.role, f.o) <= {_TARGET} - (SELECT count(*) FROM d2))
+ SELECT conv_id, turn, role FROM f WHERE o IN (SELECT o FROM d2 UNION ALL SELECT o FROM top)""")
 def curation_quota_draw(spark, sf_dir):
     rows = _table(spark, sf_dir, "conversations").withColumn("o", F.col("conv_id") * 100_000 + F.col("turn")).withColumn("s", F.col("conv_id") % 40)
-    drawn = curation.quota_draw(rows, {"user": 3.0, "assistant": 1.0}, 200, "role", "s", "text", "o")
-    return drawn.agg(F.count("*").alias("drawn"), F.count_distinct("text").alias("texts"))
+    return curation.quota_draw(rows, {"user": 3.0, "assistant": 1.0}, _TARGET, "role", "s", "text", "o").select("conv_id", "turn", "role")
+
+
+@_registered("""SELECT event_id, event_type FROM events WHERE value > 0
+  QUALIFY row_number() OVER (PARTITION BY event_type ORDER BY -ln((('0x' || substr(md5('7:' || event_id), 1, 13))::BIGINT + 1) / 4503599627370496.0::DOUBLE) / value, event_id) <= 50""")
+def curation_weighted_draw(spark, sf_dir):
+    events = _table(spark, sf_dir, "events")
+    return curation.draw_weighted(events, F.col("value"), "event_id", 50, by="event_type", seed=7).select("event_id", "event_type")
 
 
 # sources and sinks
