@@ -11,7 +11,9 @@ vectors are searched whole, ranges whose norms cannot reach the answer not at
 all, and queries that find too few candidates are compared with every vector.
 
 Equal vectors form one class of which the smallest ids matter alone: the others
-come after these in any answer. Buckets are cut in parts of bounded size.
+come after these in any answer. Neighbouring buckets of a table travel as one
+group of about ``PART`` vectors, to which a query goes once; groups that hold
+more are cut in parts.
 """
 
 from __future__ import annotations
@@ -57,6 +59,8 @@ class CrossPolytope:
         self.probes = min(probes, self.buckets)
         # one table holds all that it probes in full; more buckets need more tables
         self.tables = min(tables, max(1, self.buckets // probes))
+        #: neighbouring buckets of a group
+        self.span = 1 << max(0, int(np.log2(max(1, min(self.buckets, self.buckets * PART // max(1, count))))))
         self.signs = np.random.default_rng(seed).choice([-1.0, 1.0], (tables, max(1, len(self.axes)), 3, self.n))
 
     def rotated(self, x: np.ndarray, table: int, nth: int = 0) -> np.ndarray:
@@ -103,34 +107,49 @@ class Ranges:
                 top = step
             self.lows[-1] = step
         self.hashers = [CrossPolytope(dims, n, tables, probes) if 0 < norm < np.inf else None for n, norm in zip(counts, self.largest)]
-        #: first key of each range
-        self.first = np.r_[0, np.cumsum([h.buckets * h.tables if h else 0 for h in self.hashers])].tolist()
+        #: first key of each range, a multiple of its buckets
+        self.first, at = [], 0
+        for h in self.hashers:
+            at = -(-at // h.buckets) * h.buckets if h else at
+            self.first.append(at)
+            at += h.buckets * h.tables if h else 0
 
     def of(self, steps: np.ndarray) -> np.ndarray:
         return np.searchsorted(-np.array(self.lows), -steps)
 
 
-def _keyed(b: pa.RecordBatch, at: list[np.ndarray], keys: list[np.ndarray]) -> pa.RecordBatch:
-    """``b`` with the lists of ``keys``, whose rows are ``at``."""
-    rows = np.concatenate([np.zeros(0, np.int64), *(np.repeat(r, k.shape[1]) for r, k in zip(at, keys))])
-    flat = np.concatenate([np.zeros(0, np.int64), *(k.ravel() for k in keys)])[np.argsort(rows, kind="stable")]
-    ends = np.r_[0, np.cumsum(np.bincount(rows, minlength=len(b)))]
-    return pa.RecordBatch.from_arrays([*b.columns, pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat, pa.int64()))], [*b.schema.names, "buckets"])
+GROUPS = "groups array<struct<g: long, b: array<long>>>"
+
+
+def _keyed(batch: pa.RecordBatch, at: list[np.ndarray], keys: list[np.ndarray], spans: list[int]) -> pa.RecordBatch:
+    """``batch`` with the buckets of ``keys``, whose rows are ``at``, by group: a group is named by its first bucket."""
+    none = np.zeros(0, np.int64)
+    rows = np.concatenate([none, *(np.repeat(r, k.shape[1]) for r, k in zip(at, keys))])
+    flat = np.concatenate([none, *(k.ravel() for k in keys)])
+    group = np.concatenate([none, *((k - k % span if span else k).ravel() for k, span in zip(keys, spans))])
+    order = np.lexsort((flat, group, rows))
+    rows, flat, group = rows[order], flat[order], group[order]
+    starts = np.flatnonzero(np.r_[True, (np.diff(rows) != 0) | (np.diff(group) != 0)]) if len(rows) else none
+    inner = pa.ListArray.from_arrays(pa.array(np.r_[starts, len(rows)], pa.int32()), pa.array(flat, pa.int64()))
+    ends = np.r_[0, np.cumsum(np.bincount(rows[starts], minlength=len(batch)))]
+    groups = pa.StructArray.from_arrays([pa.array(group[starts], pa.int64()), inner], ["g", "b"])
+    return pa.RecordBatch.from_arrays([*batch.columns, pa.ListArray.from_arrays(pa.array(ends, pa.int32()), groups)], [*batch.schema.names, "groups"])
 
 
 def _hashed_entries(ranges: Ranges, spread: int):
-    """Adds the buckets of ``(cls, v, step)``; whole ranges are one bucket for each part of the queries, below 0."""
+    """Adds the buckets of ``(cls, v, step)``; ranges without hashing are one bucket for each part of the queries, below 0."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             if not len(b):
                 continue
             x, of = packed(b.column(1)), ranges.of(b.column(2).to_numpy())
-            at, keys = [], []
+            at, keys, spans = [], [], []
             for r in np.unique(of).tolist():
                 rows = np.flatnonzero(of == r)
                 at.append(rows)
                 hasher = ranges.hashers[r]
+                spans.append(hasher.span if hasher else 0)
                 if hasher is None:
                     keys.append(np.tile(-1 - r * spread - np.arange(spread), (len(rows), 1)))
                     continue
@@ -138,7 +157,7 @@ def _hashed_entries(ranges: Ranges, spread: int):
                 # only the last component tells queries from entries: it raises entries to unit length
                 unit = np.c_[y, np.sqrt(np.maximum(0, 1 - (y * y).sum(axis=1)))]
                 keys.append(hasher.keys(unit, 1) + ranges.first[r])
-            yield _keyed(b, at, keys)
+            yield _keyed(b, at, keys, spans)
 
     return run
 
@@ -161,18 +180,19 @@ def _hashed_queries(ranges: Ranges, spread: int, k: int, longest: np.ndarray):
                     low = np.partition(y / norm @ longest.T, -k - 1, axis=1)[:, -k - 1]
                 low -= 1e-9 * np.abs(low)
                 part = b.column(0).to_numpy() % spread
-                at, keys = [], []
+                at, keys, spans = [], [], []
                 for r, largest in enumerate(ranges.largest):
                     rows = np.flatnonzero(~(low > largest))
                     if not len(rows):
                         continue
                     at.append(rows)
                     hasher = ranges.hashers[r]
+                    spans.append(hasher.span if hasher else 0)
                     if hasher is None:
                         keys.append(-1 - r * spread - part[rows, None])
                         continue
                     keys.append(hasher.keys(np.c_[y[rows] / norm[rows], np.zeros(len(rows))], hasher.probes) + ranges.first[r])
-                yield _keyed(b, at, keys)
+                yield _keyed(b, at, keys, spans)
 
     return run
 
@@ -190,24 +210,42 @@ def _best(x: np.ndarray, y: np.ndarray, least: np.ndarray, k: int) -> tuple[np.n
         slack = 1e-12 * np.linalg.norm(x, axis=1)[:, None] * np.linalg.norm(y, axis=1).max()
         rows, columns = np.nonzero(~(s < cut - slack))
     score = np.concatenate([np.zeros(0), *(np.einsum("ij,ij->i", x[rows[a : a + 65536]], y[columns[a : a + 65536]]) for a in range(0, len(rows), 65536))])
-    order = np.lexsort((least[columns], -score, rows))
-    rows, columns, score = rows[order], columns[order], score[order]
+    kept = _first(rows, score, least[columns], k)
+    return rows[kept], columns[kept], score[kept]
+
+
+def _first(rows: np.ndarray, score: np.ndarray, least: np.ndarray, k: int) -> np.ndarray:
+    """Places of the ``k`` first of each row: larger scores first, of equal ones smaller ``least``."""
+    order = np.lexsort((least, -score, rows))
+    rows = rows[order]
     starts = np.flatnonzero(np.r_[True, np.diff(rows) > 0]) if len(rows) else np.zeros(0, np.int64)
-    nth = np.arange(len(rows)) - np.repeat(starts, np.diff(np.r_[starts, len(rows)]))
-    return rows[nth < k], columns[nth < k], score[nth < k]
+    return order[np.arange(len(rows)) - np.repeat(starts, np.diff(np.r_[starts, len(rows)])) < k]
 
 
 def _reranked(k: int):
+    """Of each query, the best classes among those in the buckets of a group that it probes."""
+
     def run(key, queries: pd.DataFrame, entries: pd.DataFrame) -> pd.DataFrame:
-        if not len(queries) or not len(entries):
-            return pd.DataFrame({"q": pd.array([], "int64"), "cls": pd.array([], "int64"), "least": pd.array([], "int64"), "score": pd.array([], "float64")})
-        y, cls, least = np.stack(entries["v"]).astype(np.float64), entries["cls"].to_numpy(), entries["least"].to_numpy()
-        out = []
-        for a in range(0, len(queries), 256):
-            # one more than k: the query's own class counts only if others share it
-            rows, columns, score = _best(np.stack(queries["v"].iloc[a : a + 256]).astype(np.float64), y, least, k + 1)
-            out.append(pd.DataFrame({"q": queries["q"].to_numpy()[a + rows], "cls": cls[columns], "least": least[columns], "score": score}))
-        return pd.concat(out)
+        found = [np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)]
+        if len(queries) and len(entries):
+            x, y = (np.stack(f["v"]).astype(np.float64) for f in (queries, entries))
+            least, bucket = entries["least"].to_numpy(), np.concatenate(entries["b"].to_numpy())
+            probing, asked = np.repeat(np.arange(len(x)), queries["b"].map(len)), np.concatenate(queries["b"].to_numpy())
+            by_bucket, by_asked = np.argsort(bucket, kind="stable"), np.argsort(asked, kind="stable")
+            got = []
+            for b in np.unique(bucket).tolist():
+                of = by_bucket[slice(*np.searchsorted(bucket, (b, b + 1), sorter=by_bucket))]
+                who = probing[by_asked[slice(*np.searchsorted(asked, (b, b + 1), sorter=by_asked))]]
+                for a in range(0, len(who), 256):
+                    # one more than k: the query's own class counts only if others share it
+                    rows, columns, score = _best(x[who[a : a + 256]], y[of], least[of], k + 1)
+                    got.append((who[a + rows], of[columns], score))
+            if got:
+                found = [np.concatenate(c) for c in zip(*got)]
+                kept = _first(found[0], found[2], least[found[1]], k + 1)
+                found = [c[kept] for c in found]
+        rows, columns, score = found
+        return pd.DataFrame({"q": queries["q"].to_numpy()[rows], "cls": entries["cls"].to_numpy()[columns], "least": entries["least"].to_numpy()[columns], "score": score})
 
     return run
 
@@ -258,26 +296,27 @@ def _search_dim(rows: DataFrame, dims: int, k: int, tables: int, probes: int) ->
         longest = packed(top["v"])[np.unique(top["least"].to_numpy(), return_index=True)[1]]
     asked = rows.where("query").select("id", "v", "cls").dropDuplicates(["id", "cls"])
     spread = max(1, -(-asked.count() // PART))
-    entries = stash(classes.select("cls", "v", "step", "least").mapInArrow(_hashed_entries(ranges, spread), "cls long, v array<double>, step long, least long, buckets array<long>"))
-    probing = asked.mapInArrow(_hashed_queries(ranges, spread, k, longest), "id long, v array<double>, cls long, buckets array<long>")
+    entries = stash(classes.select("cls", "v", "step", "least").mapInArrow(_hashed_entries(ranges, spread), f"cls long, v array<double>, step long, least long, {GROUPS}"))
+    probing = asked.mapInArrow(_hashed_queries(ranges, spread, k, longest), f"id long, v array<double>, cls long, {GROUPS}")
     ranked = stash(_ranked(_found(probing, entries, k), members, k))
     short = stash(asked.join(ranked.where(F.col("rank") == k).select(F.col("query_id").alias("id")), "id", "left_anti"))
     spread = -(-short.count() // PART)
     if not spread:
         return ranked
-    probing = short.select("id", "v", "cls", F.array(F.pmod("id", F.lit(spread))).alias("buckets"))
-    everywhere = entries.select("cls", "v", "least", F.sequence(F.lit(0).cast("long"), F.lit(spread - 1).cast("long")).alias("buckets"))
+    one = lambda g: F.struct(g.cast("long").alias("g"), F.array(F.lit(0).cast("long")).alias("b"))
+    probing = short.select("id", "v", "cls", F.array(one(F.pmod("id", F.lit(spread)))).alias("groups"))
+    everywhere = entries.select("cls", "v", "least", F.transform(F.sequence(F.lit(0), F.lit(spread - 1)), one).alias("groups"))
     again = _ranked(_found(probing, everywhere, k), members, k)
     return ranked.join(short.select(F.col("id").alias("query_id")).distinct(), "query_id", "left_anti").union(again)
 
 
 def _found(asked: DataFrame, entries: DataFrame, k: int) -> DataFrame:
     """``(q, cls, score)``: the best classes of each query in the buckets that it probes."""
-    entries = entries.select("cls", "v", "least", F.explode("buckets").alias("bucket"))
-    sizes = entries.groupBy("bucket").agg(F.ceil(F.count("*") / PART).cast("int").alias("parts"))
-    entries = entries.join(sizes, "bucket").withColumn("part", F.pmod(F.hash("cls"), F.col("parts")))
-    asked = asked.select(F.col("id").alias("q"), "v", "cls", F.explode("buckets").alias("bucket")).join(sizes, "bucket").withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-    found = asked.groupBy("bucket", "part").cogroup(entries.select("bucket", "part", "cls", "v", "least").groupBy("bucket", "part")).applyInPandas(_reranked(k), "q long, cls long, least long, score double")
+    entries = entries.select("cls", "v", "least", F.inline("groups"))
+    sizes = entries.groupBy("g").agg(F.ceil(F.count("*") / PART).cast("int").alias("parts"))
+    entries = entries.join(sizes, "g").withColumn("part", F.pmod(F.hash("cls"), F.col("parts")))
+    asked = asked.select(F.col("id").alias("q"), "v", F.inline("groups")).join(sizes, "g").withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+    found = asked.select("g", "part", "q", "v", "b").groupBy("g", "part").cogroup(entries.select("g", "part", "cls", "v", "least", "b").groupBy("g", "part")).applyInPandas(_reranked(k), "q long, cls long, least long, score double")
     found = found.groupBy("q", "cls").agg(F.max("score").alias("score"), F.first("least").alias("least"))
     # of classes beyond these, none has an id before k others
     best = Window.partitionBy("q").orderBy(F.desc("score"), "least", "cls")
