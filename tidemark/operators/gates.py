@@ -12,12 +12,13 @@ from dataclasses import dataclass, field
 from ..dialect.errors import QueryError
 from ..dialect.tokens import Token, closing, split_on, tokenize
 from ..engine import Engine
+from . import plans
 from .harness import VALID, validate_query
 
 ADDITIVE, NONADDITIVE, FLAG, CATEGORY, IDENTIFIER, EPOCH = "additive", "nonadditive", "flag", "category_numeric", "id", "epoch"
 #: Placeholders that a question implies without naming them.
 PLACEHOLDERS = frozenset(("none", "unknown", "n/a", "null", "other", "unclassified"))
-#: Factors between units of time, and words for units.
+#: Factors between units of time, and words for units: own lists.
 UNIT_FACTORS = frozenset((60, 1000, 3600, 60000, 3600000, 86400, 86400000, 1000000))
 UNIT_WORDS = frozenset(
     "epoch unix milli millis msec millisecond milliseconds micro micros microsecond microseconds s sec secs second seconds ms min mins minute minutes "
@@ -104,16 +105,12 @@ def g1_executes(engine: Engine, sql: str) -> list[str]:
 
 
 def g2_grounded(engine: Engine, sql: str, tables: set[str]) -> list[str]:
-    """All tables are among those given, and the analyzer resolves every column."""
+    """All tables read are among those given, and the analyzer resolves every column."""
     try:
-        used = {t.name.lower() for t in tokenize(sql) if t.is_name and t.name.lower() in engine.tables}
-        stray = used - {t.lower() for t in tables}
-        if stray:
-            return [f"reads tables that are not given: {sorted(stray)}"]
-        engine.sql(sql).schema  # noqa: B018
-        return []
+        stray = plans.tables_read(engine, sql) - {t.lower() for t in tables}
     except QueryError as e:
         return [str(e)]
+    return [f"reads tables that are not given: {sorted(stray)}"] if stray else []
 
 
 def _stems(text: str) -> set[str]:
@@ -297,29 +294,58 @@ def g8_phrases(question: str, sql: str) -> list[str]:
     return [f"{phrase!r} asks for {' and '.join(need)}" for phrase, need in asked if any(part not in flat for part in need)]
 
 
-def g10_epoch_unit(sql: str, prompt: str, tables: list[Table]) -> list[str]:
-    """Epoch columns whose unit the query relies on have it stated: in the name, the text after it, or sample rows."""
-    epochs = {c for t in tables for c, r in t.roles.items() if r == EPOCH}
-    tokens, used = tokenize(sql), set()
-    for c in calls(tokens):
-        if c.name == "MILLIS_TO_TIMESTAMP":
-            used |= {x.name for a in c.args for x in a if x.is_name}
+def epoch_columns(tables: list[Table]) -> set[str]:
+    return {c for t in tables for c, r in t.roles.items() if r == EPOCH}
+
+
+def epoch_arithmetic(engine: Engine, sql: str, tables: list[Table]) -> set[str]:
+    """The feature ``epoch_arith``: epoch columns that the query converts, scales, subtracts or compares as moments."""
+    return plans.unit_dependent(engine, sql, epoch_columns(tables), UNIT_FACTORS)
+
+
+def _unit_dependent_names(tokens: list[Token]) -> set[str]:
+    """What :func:`epoch_arithmetic` finds, by tokens alone, for where there is no analyzer: operands are columns, calls and brackets."""
+    used = {x.name for c in calls(tokens) if c.name == "MILLIS_TO_TIMESTAMP" for a in c.args for x in a if x.is_name}
     for k, t in enumerate(tokens):
-        near = [x for x in (tokens[k - 1] if k else None, tokens[k + 1] if k + 1 < len(tokens) else None) if x]
-        names = {x.name for x in near if x.is_name}
-        numbers = {float(x.text) for x in near if x.kind == "number"}
-        if t.text in ("*", "/") and numbers & UNIT_FACTORS:
-            # the scaled column, or the columns of the bracket that is scaled
-            if k and tokens[k - 1].text == ")":
-                opened = next(j for j in range(k - 1, -1, -1) if tokens[j].text == "(" and closing(tokens, j) == k - 1)
-                names |= {x.name for x in tokens[opened:k] if x.is_name}
-            used |= names
-        elif t.text == "-" and len(names) == 2 or t.text in ("<", ">", "=", "<=", ">=") and any(n >= 1e8 for n in numbers):
-            used |= names
+        if t.kind != "op" or t.text not in ("*", "/", "-", "<", ">", "=", "<=", ">="):
+            continue
+        sides = _before(tokens, k), _after(tokens, k)
+        names = [{x.name for x in side if x.is_name} for side in sides]
+        numbers = {float(x.text) for side in sides for x in side if x.kind == "number" and len(side) == 1}
+        if (t.text in "*/" and numbers & UNIT_FACTORS) or (t.text == "-" and all(names)) or (t.text in ("<", ">", "=", "<=", ">=") and any(n >= 1e8 for n in numbers)):
+            used |= names[0] | names[1]
+    return used
+
+
+def _before(tokens: list[Token], k: int) -> list[Token]:
+    """The operand that ends before ``k``, without what qualifies a column."""
+    if k and tokens[k - 1].text == ")":
+        opened = next(j for j in range(k - 1, -1, -1) if tokens[j].text == "(" and tokens[j].kind == "op" and closing(tokens, j) == k - 1)
+        return tokens[opened:k]
+    return tokens[max(0, k - 1) : k]
+
+
+def _after(tokens: list[Token], k: int) -> list[Token]:
+    """The operand that begins after ``k``."""
+    at = k + 1
+    if at + 1 < len(tokens) and tokens[at].is_name and tokens[at + 1].text == ".":
+        at += 2
+    opened = at + (at + 1 < len(tokens) and tokens[at].kind == "word" and tokens[at + 1].text == "(")
+    if opened < len(tokens) and tokens[opened].text == "(":
+        return tokens[opened : closing(tokens, opened) + 1]
+    return tokens[at : at + 1]
+
+
+def g10_epoch_unit(sql: str, prompt: str, tables: list[Table], engine: Engine | None = None) -> list[str]:
+    """Epoch columns whose unit the query relies on have it stated: in the name, the text after it, or sample rows.
+
+    With an engine the analysed plan tells which columns these are, else the tokens.
+    """
+    used = epoch_arithmetic(engine, sql, tables) if engine else _unit_dependent_names(tokenize(sql)) & epoch_columns(tables)
     parts = lambda text: [w.lower() for w in re.findall(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])|\d+", text)]
 
     def stated(column: str) -> bool:
         named = len(parts(column)) > 1 and parts(column)[-1] in UNIT_WORDS
         return named or "Sample rows:" in prompt or any(UNIT_WORDS & set(parts(after[:170])) for after in prompt.split(column)[1:])
 
-    return [f"the unit of {c!r} is not stated" for c in sorted(used & epochs) if not stated(c)]
+    return [f"the unit of {c!r} is not stated" for c in sorted(used) if not stated(c)]

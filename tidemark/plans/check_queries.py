@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.calendar import time_window
-from ..operators import curation, gates, harness, suite
+from ..operators import curation, gates, harness, plans, suite
 from ..sources.store import Store, require_unique, verified
 from .dialect_queries import AS_OF
 
@@ -184,6 +184,27 @@ def gate_g1_g2(spark, sf_dir):
     return spark.createDataFrame(rows, "kind string, executes boolean, grounded boolean")
 
 
+#: query -> epoch columns whose unit it relies on, and tables it reads
+_UNITS = {
+    "bracketed": ("SELECT AVG((s_end) - (e_ms)) AS x FROM encoded WHERE s_end IS NOT NULL", "e_ms,s_end", "encoded"),
+    "cast": ("SELECT CAST(s_end AS BIGINT) - CAST(e_ms AS BIGINT) AS x FROM encoded", "e_ms,s_end", "encoded"),
+    "aliased": ("SELECT q.a - q.b AS x FROM (SELECT s_end AS a, e_ms AS b FROM encoded) q", "e_ms,s_end", "encoded"),
+    "scaled": ("WITH w AS (SELECT (e_s + 1) AS moment FROM encoded) SELECT MILLIS_TO_TIMESTAMP(moment * 1000) AS x FROM w", "e_s", "encoded"),
+    "moment": ("SELECT COUNT(*) AS n FROM encoded WHERE e_s BETWEEN 800000000 AND 900000000", "e_s", "encoded"),
+    "one_column": ("SELECT e_ms - 5 AS x, e_s + o_custkey AS y FROM encoded", "", "encoded"),
+    "named_like_a_table": ("SELECT o.o_custkey AS part, COUNT(*) AS nation FROM orders o GROUP BY 1", "", "orders"),
+    "nested": ("SELECT c_custkey FROM customer part WHERE c_nationkey IN (SELECT n_nationkey FROM nation WHERE EXISTS (SELECT 1 FROM region WHERE r_regionkey = n_regionkey))", "", "customer,nation,region"),
+}
+
+
+@_registered(" UNION ALL ".join(f"SELECT '{k}' AS name, '{u}' AS units, '{t}' AS tables" for k, (_, u, t) in _UNITS.items()))
+def gate_plan_walks(spark, sf_dir):
+    engine = _engine(spark, sf_dir)
+    parts = [gates.Table("encoded", dict.fromkeys(("e_ms", "e_s", "s_end"), gates.EPOCH))]
+    rows = [(k, ",".join(sorted(gates.epoch_arithmetic(engine, q, parts))), ",".join(sorted(plans.tables_read(engine, q)))) for k, (q, _, _) in _UNITS.items()]
+    return spark.createDataFrame(rows, "name string, units string, tables string")
+
+
 #: window -> a query that has it
 _SCOPED = {"none": "SELECT COUNT(*) AS n FROM events", "explicit_range": f"SELECT COUNT(*) AS n FROM events WHERE {time_window('2024-01-05 to 2024-01-12')}"}
 _SCOPED |= {k: f"SELECT COUNT(*) AS n FROM events WHERE {time_window(p)}" for k, p in (("rolling", "last 7 days"), ("day", "yesterday"), ("this_period", "this week"), ("last_period", "last week"))}
