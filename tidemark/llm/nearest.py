@@ -57,10 +57,10 @@ class CrossPolytope:
             self.axes.append(min(self.n, left // 2))
             left //= 2 * self.axes[-1]
         self.probes = min(probes, self.buckets)
-        # one table holds all that it probes in full; more buckets need more tables
-        self.tables = min(tables, max(1, self.buckets // probes))
-        #: neighbouring buckets of a group
-        self.span = 1 << max(0, int(np.log2(max(1, min(self.buckets, self.buckets * PART // max(1, count))))))
+        # one table is enough while all its buckets are probed; more buckets need more tables
+        self.tables = min(tables, max(1, int((self.buckets / probes) ** (4 / 3))))
+        #: neighbouring buckets of a group: those of about PART vectors, an eighth of a table at most
+        self.span = 1 << max(0, int(np.log2(max(1, min(self.buckets // 8, self.buckets * PART // max(1, count))))))
         self.signs = np.random.default_rng(seed).choice([-1.0, 1.0], (tables, max(1, len(self.axes)), 3, self.n))
 
     def rotated(self, x: np.ndarray, table: int, nth: int = 0) -> np.ndarray:
