@@ -160,6 +160,15 @@ def test_near_duplicates(spark):
     assert sorted(r.o for r in got.collect()) == brute_near(rows)
 
 
+def test_near_duplicates_of_many_copies(spark):
+    """100,000 copies of two texts, one of them like the other: no pairs of copies are made."""
+    text = F.when(F.col("id") % 2 == 0, "a b c d e f g h i j k l m n o p").otherwise("a b c d e f g h i j k l m n o p p")
+    rows = spark.range(100_000).select((F.col("id") + 5).alias("o"), F.lit("g").alias("g"), text.alias("q"), F.lit(1).alias("w"))
+    more = spark.createDataFrame([(1, "g", "", 1), (2, "g", None, 1), (3, None, "a b", 1), (None, "g", "a b", 1), (4, None, "a b", 1)], "o long, g string, q string, w int")
+    got = curation.drop_near_duplicates(rows.union(more), "q", "g", "o")
+    assert sorted((r.o is None, r.o or 0) for r in got.collect()) == [(False, k) for k in (1, 2, 3, 4, 5)] + [(True, 0)]
+
+
 def test_caps_and_splits(spark):
     df = spark.createDataFrame([(k, f"h{k % 3 if k < 60 else k}", k % 10 == 0, ["a", "b"] if k % 2 else ["c"]) for k in range(100)], "o long, h string, free boolean, f array<string>")
     capped = curation.cap_skeletons(df, "h", "o", share=0.05, exempt=F.col("free"))
