@@ -53,10 +53,15 @@ def test_runner_and_revalidation(spark):
     assert run("SELECT a FROM t", must_contain=["MAX"])[0].startswith("LINT") and run("SELECT a FROM t", trap={"naive_sql": "SELECT a FROM t", "expect": "DIFFERENT"})[0].startswith("TRAP")
     records = [{"id": "ok", "sql": "SELECT a FROM t"}, {"id": "half", "sql": "SELECT a FROM t WHERE a = 1"}, {"id": "bad", "sql": "SELECT c FROM t"}, {"id": "none", "sql": "", "unanswerable": True}]
     found = dict(suite.revalidate(engines, records))
-    assert found["half"] == "empty on 1 of 2 seeds" and found["bad"].startswith("seed 0 INVALID") and set(found) == {"half", "bad"}
+    assert found["half"] == "rows on 1 of 2 seeds" and found["bad"].startswith("seed 0: INVALID") and set(found) == {"half", "bad"}
     gold = [{"id": "a", "sql": "SELECT a FROM t", "tables": ["t"]}, {"id": "d", "sql": "SELECT a FROM t", "tables": ["t"]}, {"id": "u", "sql": None, "tables": ["t"], "unanswerable": True}, {"id": "absent", "sql": "SELECT 1"}]
     scored = suite.judge_predictions(engines, gold, {"a": "SELECT a AS q FROM t;", "d": "-- CANNOT_ANSWER no column", "u": "-- CANNOT_ANSWER", "other": "x"})
     s = curation.score_predictions(scored)
+    assert s["instruction_pct"] is None
+    rules = [gates.Table("t", rules=[("exclude_flag", "is_test")])]
+    told = [{"id": k, "sql": "SELECT a FROM t", "tables": ["t"], "shown": rules, "question": "which a"} for k in "xy"]
+    kept = suite.judge_predictions(engines, told, {"x": "SELECT a FROM t WHERE is_test = 0", "y": "SELECT a FROM t"})
+    assert {r.id: r.instructed for r in kept.collect()} == {"x": True, "y": False} and float(curation.score_predictions(kept)["instruction_pct"]) == 50
     assert s["scored_rows"] == 3 and float(s["decline_ok_pct"]) == 100 and float(s["over_decline_pct"]) == 50 and float(s["result_match_pct"]) == 50
 
 

@@ -269,7 +269,7 @@ def suite_predictions(spark, sf_dir):
     return suite.judge_predictions(seeds, gold, predictions).select("id", "valid", "grounded", "result_match", "unscorable")
 
 
-@_registered("""SELECT DISTINCT event_id % 3 AS residue, 'empty on 2 of 3 seeds' AS problem FROM events""")
+@_registered("""SELECT DISTINCT event_id % 3 AS residue, 'rows on 1 of 3 seeds' AS problem FROM events""")
 def suite_revalidation(spark, sf_dir):
     """A record per seed that has rows on that seed alone, and one that has rows on all, which passes."""
     seeds = _seeds(spark, sf_dir)
@@ -337,6 +337,26 @@ def curation_weighted_draw(spark, sf_dir):
     return curation.draw_weighted(events, F.col("value"), "event_id", 50, by="event_type", seed=7).select("event_id", "event_type")
 
 
+#: type of events -> the gate that its record fails
+_FAILING = {"click": "G0", "error": "G4", "purchase": "SPEC", "signup": "G10"}
+
+
+@_registered("SELECT event_type AS id, CASE event_type " + " ".join(f"WHEN '{k}' THEN '{g}'" for k, g in _FAILING.items()) + " ELSE '' END AS gates FROM (SELECT DISTINCT event_type FROM events)")
+def gate_runner(spark, sf_dir):
+    """A record per type of events through all gates; all but one type carry a defect."""
+    engine, out = _engine(spark, sf_dir), []
+    for k in range(3):
+        engine.register(f"events_{k}", _table(spark, sf_dir, "events").where(F.col("event_id") % 3 == k), "ts")
+    tables = [gates.Table("events", {"event_id": gates.EPOCH})]
+    for kind in sorted(r[0] for r in engine.sql("SELECT DISTINCT event_type FROM events").collect()):
+        measure = "MAX(event_id * 1000)" if kind == "signup" else "COUNT(*)"
+        sql = f"""SELECT user_id AS "who", {measure} AS "n" FROM events WHERE event_type = '{kind}' GROUP BY 1"""
+        record = {"question": f"How many events of type '{kind}' has each user", "sql": sql + (";" if kind == "click" else ""), "scope": "rolling" if kind == "purchase" else "none", "features": [], "max_words": 12,
+                  "other_sql": sql.replace("COUNT(*)", "COUNT(*) + 1" if kind == "error" else "COUNT(user_id)")}
+        out.append((kind, ",".join(suite.through_gates(engine, record, tables, [{"events": f"events_{k}"} for k in range(3)], 300))))
+    return spark.createDataFrame(out, "id string, gates string")
+
+
 # sources and sinks
 @_registered("SELECT count(*) AS rows, count(*) - count(value) AS null_values, min(ts) AS first_time, max(ts) AS last_time, 0::BIGINT AS malformed FROM events")
 def source_verify(spark, sf_dir):
