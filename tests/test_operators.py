@@ -222,3 +222,27 @@ def test_agreement_of_one_number_is_exact(spark):
         b = [x + rng.choice((0, 0.6e-6, 1.2e-6)) for x in a]
         want = all(abs(x - y) <= 1e-6 * max(1, x, y) for x, y in zip(sorted(a), sorted(b)))
         assert canonical.results_agree(_bag(spark, [(x,) for x in a], "x double"), _bag(spark, [(x,) for x in b], "x double")) == want
+
+
+def test_command_line(spark, tmp_path, capsys):
+    spec = {"name": "Made", "columns": COLUMNS, "seed": {"mode": "generate", "row_count": 5, "random_seed": 1}}
+    (tmp_path / "spec.json").write_text(json.dumps(spec))
+    run = lambda *args: harness.main(["--store", f"{tmp_path}/store", *args])
+    said = lambda: capsys.readouterr().out
+    assert run("load", f"{tmp_path}/spec.json") == 0 and json.loads(said())["rows"] == 5
+    assert run("load", f"{tmp_path}/spec.json") == 1 and run("reload", f"{tmp_path}/spec.json") == 0
+    said()
+    assert run("list") == 0 and json.loads(said()) == ["made"]
+    assert run("inspect", "Made") == 0 and json.loads(said())["rows"] == 5 and run("inspect", "nope") == 1
+    assert run("validate", "SELECT COUNT(*) AS n FROM made") == 0 and json.loads(said())["sample"] == [{"n": 5}]
+    (tmp_path / "a.jsonl").write_text("\n".join(json.dumps({"id": str(k), "query": q}) for k, q in enumerate(("SELECT COUNT(*) AS n FROM made", "SELECT nope FROM made"))))
+    (tmp_path / "b.jsonl").write_text("\n".join(json.dumps({"id": str(k), "query": q}) for k, q in enumerate(("SELECT COUNT(*) AS n FROM gone", "SELECT nope FROM made"))))
+    for x in "ab":
+        assert run("validate-batch", f"{tmp_path}/{x}.jsonl", "--output", f"{tmp_path}/{x}.out", "--report", f"{tmp_path}/{x}.csv") == 0
+    assert (tmp_path / "a.csv").read_text().splitlines()[1].startswith("1,")  # errors first
+    assert run("diff", f"{tmp_path}/a.out", f"{tmp_path}/b.out", "--output", f"{tmp_path}/diff.csv") == 0
+    lines = (tmp_path / "diff.csv").read_text().splitlines()
+    assert lines[0] == "key,id,query,status_a,status_b,error_a,error_b" and len(lines) == 2 and ",VALID,INVALID," in lines[1]
+    assert run("drop", "Made") == 0 and run("drop", "Made") == 1
+    said()
+    assert run("list") == 0 and json.loads(said()) == []

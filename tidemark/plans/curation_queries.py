@@ -158,21 +158,31 @@ def curation_word_cap(spark, sf_dir):
     return curation.word_cap(_table(spark, sf_dir, "conversations"), "text", F.lit(20)).select("conv_id", "turn")
 
 
-@_registered("SELECT * FROM (VALUES (66.7, 66.7, 50.0, 100.0, 33.3, 4::BIGINT)) t(valid_pct, grounded_pct, result_match_pct, decline_ok_pct, over_decline_pct, scored_rows)")
+#: A judged prediction for each event.
+_JUDGED = {"declined": "event_id % 11 = 0", "unanswerable": "event_id % 7 = 0", "valid": "event_id % 11 <> 0 AND event_id % 5 <> 0", "grounded": "event_id % 11 <> 0 AND event_id % 3 <> 0",
+           "unscorable": "event_id % 13 = 0", "result_match": "event_id % 11 <> 0 AND event_id % 2 = 0", "instructed": "CASE WHEN event_id % 4 = 0 THEN event_id % 8 = 0 END"}
+_PCT = "round(100.0 * count(*) FILTER ({ok}) / count(*) FILTER ({of}), 1)"
+_SCORED = {"valid_pct": ("valid AND NOT declined AND NOT unanswerable", "NOT unanswerable"), "grounded_pct": ("grounded AND NOT declined AND NOT unanswerable", "NOT unanswerable"),
+           "result_match_pct": ("result_match AND NOT declined AND NOT unanswerable AND NOT unscorable", "NOT unanswerable AND (declined OR NOT unscorable)"),
+           "decline_ok_pct": ("declined AND unanswerable", "unanswerable"), "over_decline_pct": ("declined AND NOT unanswerable", "NOT unanswerable"),
+           "instruction_pct": ("instructed AND NOT declined AND NOT unanswerable", "instructed IS NOT NULL AND NOT declined AND NOT unanswerable")}
+
+
+@_registered("SELECT " + ", ".join(f"{_PCT.format(ok=a, of=b)} AS {n}" for n, (a, b) in _SCORED.items()) + ", count(*) AS scored_rows FROM (SELECT " + ", ".join(f"{e} AS {n}" for n, e in _JUDGED.items()) + " FROM events)")
 def curation_scores(spark, sf_dir):
-    rows = [(True, True, True, False, False, False), (True, True, False, False, False, True), (False, False, False, True, False, False), (None, None, None, True, True, None)]
-    s = curation.score_predictions(spark.createDataFrame(rows, "valid boolean, grounded boolean, result_match boolean, declined boolean, unanswerable boolean, unscorable boolean"))
-    names = ("valid_pct", "grounded_pct", "result_match_pct", "decline_ok_pct", "over_decline_pct")
-    return spark.createDataFrame([(*[float(s[n]) for n in names], s["scored_rows"])], ", ".join(f"{n} double" for n in names) + ", scored_rows long")
+    s = curation.score_predictions(_table(spark, sf_dir, "events").select(*[F.expr(e).alias(n) for n, e in _JUDGED.items()]))
+    return spark.createDataFrame([(*[float(s[n]) for n in _SCORED], s["scored_rows"])], ", ".join(f"{n} double" for n in _SCORED) + ", scored_rows long")
 
 
-@_registered(None)
+@_registered("""SELECT event_type, count(*) AS n, 'SELECT ID(DAY, ID), COUNT(*) FROM ID WHERE ID = ID AND ID > ID GROUP BY ID' AS skeleton, 'time_bucket' || CASE WHEN event_type IN ('click', 'error') THEN ',window' ELSE '' END AS features
+FROM events GROUP BY 1""")
 def curation_skeletons(spark, sf_dir):
-    """Skeletons and features of the registered dialect queries."""
-    from .dialect_queries import SQL
-
-    q = spark.createDataFrame([(n, p[0]) for n, p in SQL.items()], "name string, sql string")
-    return q.select("name", curation.skeleton_hash(F.col("sql")).alias("skeleton"), F.array_join(curation.features(F.col("sql")), ",").alias("features"))
+    """Skeletons and features of a query made of each event: texts, numbers and names differ, the skeleton does not."""
+    over = F.when(F.col("event_type").isin("click", "error"), ", RANK() OVER (ORDER BY 1)").otherwise("")
+    sql = F.concat(F.lit("select  Trunc_"), F.col("user_id"), F.lit("(day, 'P1D'),  count(*) FROM t_"), F.col("event_id"), F.lit(" WHERE kind = '"), F.col("event_type"), F.lit("' and v > "), F.col("value"), F.lit("\n GROUP BY 1"))
+    featured = F.concat(F.lit("SELECT TIME_FLOOR(__time, 'P1D')"), over, F.lit(" FROM events"))
+    events = _table(spark, sf_dir, "events").where("value >= 0")
+    return events.groupBy("event_type", curation.skeleton(sql).alias("skeleton"), F.array_join(curation.features(featured), ",").alias("features")).agg(F.count("*").alias("n"))
 
 
 @_registered(None)
