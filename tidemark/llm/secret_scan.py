@@ -11,7 +11,9 @@ matches and of the text between them.
 
 from __future__ import annotations
 
+import importlib
 import math
+import re
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -27,17 +29,26 @@ VALUE = 12
 #: Runs that the model judges: their characters, in the order of their codes, and least length.
 ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"
 RUN = r"[A-Za-z0-9+/_=-]{12,}"
+#: Sequences that people type.
+ALPHABETS = ("abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "0123456789", "9876543210", "zyxwvutsrqponmlkjihgfedcba", "qwertyuiopasdfghjklzxcvbnm", "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789+/")
+#: Modules of the standard library whose names are samples of identifiers.
+MODULES = tuple("argparse asyncio ast calendar collections configparser csv ctypes datetime decimal email functools http.client http.server inspect io json locale logging logging.handlers multiprocessing os pathlib "
+                "pickle platform queue random shutil smtplib socket socketserver sqlite3 ssl statistics subprocess tarfile tempfile threading tokenize typing unittest urllib.parse urllib.request uuid warnings xml.dom.minidom xml.sax zipfile".split())
+#: Least different characters of a run that the model judges: fewer make rules and padding.
+DIFFERENT = 5
+#: Identifiers of a fixed form, which are random and no secrets.
+UUID = "^[0-9a-fA-F]{8}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{12}$"
 KINDS = ("assign", "access", "hex", "random")
 #: What a run's log-likelihood ratio must come to: for each of its characters, and in all. The
-#: latter outweighs odds of one to e^20 that an ordinary run of token characters is a secret.
-NATS_PER_CHAR, NATS = 1.0, 20.0
+#: latter outweighs odds of one to e^15 that an ordinary run of token characters is a secret.
+NATS_PER_CHAR, NATS = 0.75, 15.0
 #: Matches of a text that are worked off at a time.
 CHUNK = 256
 SIZE = len(ALPHABET) + 1
 #: Distinct tokens from which a bigram is learnt only from other tokens than the one with most of it.
 ENOUGH = 100
 #: How often the joined forms of a run and itself hold a bigram of it.
-WITH_JOINED = 8
+WITH_JOINED = 10
 
 
 def located(df: DataFrame, name: str, text: str, pattern: str, ok: str, extra: str = "") -> DataFrame:
@@ -66,12 +77,27 @@ def located(df: DataFrame, name: str, text: str, pattern: str, ok: str, extra: s
     return df.drop(m, g)
 
 
+def identifiers() -> list[str]:
+    """Ordinary identifiers: names in :data:`MODULES` and their classes, and pairs and triples of the words in them, joined in five ways."""
+    names: set[str] = set()
+    for m in map(importlib.import_module, MODULES):
+        names |= {n for x in (m, *[v for v in vars(m).values() if isinstance(v, type)]) for n in dir(x)}
+    words = sorted({w.lower() for n in names for w in re.findall("[A-Z]?[a-z]{2,}|[A-Z]{3,}", n)})
+    out = {n for n in names if len(n) >= 6}
+    for k in range(2 * len(words)):
+        # steps prime to the number of words pair each with others
+        some = [words[(k * step + step) % len(words)] for step in ((7, 11) if k % 2 else (13, 17, 19))]
+        out |= {"".join(some), "".join(w.title() for w in some), "_".join(some), "_".join(some).upper(), "/" + "/".join(some)}
+    return sorted(out)
+
+
 def labelled_samples(rows: DataFrame, n_texts: int, sample_texts: int = 1000) -> DataFrame:
     """``(origin, token, random, weight, met)`` for training, from about ``sample_texts`` of the ``n_texts`` distinct texts.
 
     Random: what the rules find in them, and digests of numbers in base 64 and
     base 16. Ordinary: runs of token characters that no rule touches, as they
-    are, in capitals and joined as identifiers and paths are, of which the run, by its hash, is the ``origin``; times and numbers. Tokens
+    are, in capitals and joined as identifiers, paths and compounds are, of which the run, by its hash, is the ``origin``; times and
+    numbers of all lengths, alphabets, and :func:`identifiers`. Tokens
     are distinct; each weighs as much as its occurrences in the one text that
     has most of them, so copies and near copies of a text add nothing. ``met``
     tells those of the texts from those made here.
@@ -87,10 +113,15 @@ def labelled_samples(rows: DataFrame, n_texts: int, sample_texts: int = 1000) ->
     made = spark.range(0, 3000, 1, 1).select(F.lit(None).cast("long").alias("h"), F.when(F.col("id") % 3 < 2, F.base64(F.unhex(digest))).otherwise(digest).alias("token"), F.lit(True).alias("random"))
     day = F.timestamp_seconds(F.col("id") * 86_000)
     figures = F.array(F.date_format(day, "yyyy-MM-dd-HH-mm-ss"), F.date_format(day, "yyyyMMddHHmmss"), (F.col("id") * 987_654_321_987).cast("string"))
-    figures = spark.range(1, 20_001, 400, 1).select(F.lit(None).cast("long").alias("h"), F.explode(figures).alias("token"), F.lit(False).alias("random"))
+    figures = spark.range(1, 20_001, 400, 1).select(F.explode(figures).alias("token"))
+    # decimal digits of digests, each with a length of its own
+    numbers = spark.range(0, 3000, 1, 1).select(F.expr("substr(regexp_replace(concat(sha2(concat('n', id), 512), sha2(concat('m', id), 512)), '[a-f]', ''), 1, 12 + id % 37)").alias("token"))
+    alphabets = spark.range(0, 120, 1, 1).select("id", F.explode(F.array(*map(F.lit, ALPHABETS))).alias("c")).select(F.expr("substr(repeat(c, 8), CAST(1 + id AS INT), CAST(14 + id % 40 AS INT))").alias("token"))
+    figures = figures.union(numbers).union(alphabets).union(spark.createDataFrame([(x,) for x in identifiers()], "token string"))
+    figures = figures.select(F.lit(None).cast("long").alias("h"), "token", F.lit(False).alias("random"))
     tokens = secrets.union(words).union(made).union(figures)
     tokens = tokens.groupBy("h", "token", "random").count().groupBy("token", "random").agg(F.max("count").alias("weight"), F.max(F.col("h").isNotNull()).alias("met"))
-    joined = F.array("token", F.upper("token"), F.concat("token", F.initcap("token")), *[F.concat("token", F.lit(c), "token") for c in "/-_"])
+    joined = F.array("token", F.upper("token"), F.concat("token", F.initcap("token")), F.concat(F.lower("token"), F.lower("token")), *[F.concat("token", F.lit(c), "token") for c in "/-_"])
     forms = F.when(F.col("met") & ~F.col("random"), joined).otherwise(F.array("token"))
     return tokens.select(F.xxhash64("token").alias("origin"), F.explode(forms).alias("token"), "random", "weight", "met")
 
@@ -138,7 +169,7 @@ def scan(docs: DataFrame, text_col: str = "text", model: list[float] | None = No
     Null texts count as empty; a text without secrets has an empty array. Texts
     are scanned whole. The model's spans are runs of 12 characters or more with a
     ratio over ``nats`` in all and ``nats_per_char`` for each; they touch none of
-    the rules'. Rows with null or repeated ids are scanned like any other. A
+    the rules', are no UUIDs and have ``DIFFERENT`` characters at least. Rows with null or repeated ids are scanned like any other. A
     column of ``docs`` of the name ``out`` is replaced, others stay, whatever
     their names.
     """
@@ -154,7 +185,7 @@ def scan(docs: DataFrame, text_col: str = "text", model: list[float] | None = No
         df = df.withColumn(taken[name], F.expr(f"transform({taken[name]}, s -> named_struct('start', s.start, 'k', {k}, 'end', s.end, 'kind', '{name}'))"))
     df = df.withColumn("_secret_base", F.concat(*[F.col(taken[k]) for k in KINDS[:3]]))
     df = df.withColumn(taken["random"], F.expr(f"""filter({taken['random']}, s -> NOT exists(_secret_base, b -> b.start < s.end AND b.end > s.start)
-        AND {ratio_sql('s.v', '_secret_table')} > greatest({nats}D, {nats_per_char}D * (s.end - s.start)))"""))
+        AND size(array_distinct(split(s.v, ''))) >= {DIFFERENT} AND NOT s.v RLIKE '{UUID}' AND {ratio_sql('s.v', '_secret_table')} > greatest({nats}D, {nats_per_char}D * (s.end - s.start)))"""))
     df = df.withColumn(out, F.array_sort(F.concat("_secret_base", F.expr(f"transform({taken['random']}, s -> named_struct('start', s.start, 'k', 3, 'end', s.end, 'kind', 'random'))"))))
     return df.select(*[F.col("row")[c].alias(c) for c in docs.columns if c != out], out)
 
