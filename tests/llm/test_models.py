@@ -136,3 +136,18 @@ def test_url_scores_by_loop(spark):
         c = fold(u)
         ratios = [math.log(prob(tables[1], c[k - url_filter.ORDER : k], c[k]) / prob(tables[0], c[k - url_filter.ORDER : k], c[k])) for k in range(url_filter.ORDER, len(c))]
         assert model.score(u) == pytest.approx(sum(ratios) / len(ratios), abs=1e-4)
+
+
+def test_lm_scores_do_not_hang_on_the_layout(spark):
+    """The same texts in one partition and in six, null and repeated ids among them."""
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text")
+    docs = docs.union(docs.limit(3)).union(spark.createDataFrame([(None, "some words"), (None, None), (1, "")], "doc_id long, text string"))
+    rows = [(r.doc_id, r.text) for r in docs.collect()]
+    found = []
+    for n in (1, 6):
+        df = spark.createDataFrame(rows[::-1] if n == 6 else rows, "doc_id long, text string").repartition(n)
+        got = lm_scoring.score(df, common.is_bucket(F.col("doc_id"), 7, 2)).collect()
+        assert len(got) == len(rows)
+        found.append(sorted((r.doc_id is None, r.doc_id or 0, r.n_tokens, r.n_known, r.score) for r in got))
+    for a, b in zip(*found):
+        assert a[:4] == b[:4] and abs(a[4] - b[4]) <= 1e-6 * abs(a[4])

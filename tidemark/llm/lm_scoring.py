@@ -4,8 +4,11 @@ The model's outcomes are classes: the most frequent training words, a bucket
 for other words by their last bytes, and the end of a text. A context is the
 two classes before; each has a vector per position, and the sum predicts the
 next class by its inner product with that class's vector, plus a bias. Training
-is noise-contrastive, in numpy, over all training texts: each partition trains
-from the same start, and the parameters are averaged by tokens seen.
+is noise-contrastive, in numpy, over all training texts: they are dealt into
+parts by their hash, about ``PART_TOKENS`` tokens each, each part trains from the
+same start, and the parameters are averaged by tokens seen. So the model follows
+from the texts, not from how the table is stored. Its size is fixed: words that
+have no class of their own are told apart by their counts only.
 
 The exponent is a sum over the two positions, so the normaliser of all contexts
 is one matrix product, and log-probabilities are exact. A word of a bucket has
@@ -39,6 +42,8 @@ END = b""
 #: Part of a count put by for unknown words.
 DISCOUNT = 0.5
 BATCH, NOISE, RATE = 2048, 64, 0.15
+#: Tokens of a part that trains by itself, and most parts.
+PART_TOKENS, PARTS = 1_000_000, 1 << 16
 LONGEST = 64
 
 
@@ -282,15 +287,21 @@ def _trained(shared):
     return run
 
 
-def train(docs: DataFrame, learn: Column, vocab: Vocabulary, text_col: str = "text") -> LogBilinear:
-    """The average of the models that the partitions train, by tokens seen.
+def train(docs: DataFrame, learn: Column, vocab: Vocabulary, text_col: str = "text", id_col: str | None = None) -> LogBilinear:
+    """The average of the models that the parts train, by tokens seen.
+
+    Rows go to parts, and come in order there, by a hash of text and id, so that
+    neither files nor copies of a text matter.
 
     CLASSES * 2 + DIMS * 2 rows come to the driver. Without texts to learn from
     the model stays at its start.
     """
     model = LogBilinear(vocab.class_counts())
     shared = docs.sparkSession.sparkContext.broadcast(vocab)
-    rows = docs.where(learn).select(F.col(text_col).alias("text"))
+    key = F.xxhash64(text_col, *([id_col] if id_col else []))
+    rows = docs.where(learn).select(F.col(text_col).alias("text"), key.alias("key"))
+    parts = max(1, min(PARTS, vocab.n // PART_TOKENS))
+    rows = rows.repartition(parts, "key").sortWithinPartitions("key", "text").select("text")
     sums = rows.mapInArrow(_trained(shared), "k int, r int, w double, " + ", ".join(f"v{j} double" for j in range(DIMS)))
     got = sums.groupBy("k", "r").agg(F.sum("w").alias("w"), *[F.sum(f"v{j}").alias(f"v{j}") for j in range(DIMS)]).toPandas()
     for k, name in enumerate(LogBilinear.SHAPES):
@@ -356,7 +367,7 @@ def score(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_col: s
     """
     counts = stash(count_words(docs, ~held_out, text_col))
     vocab = vocabulary(counts, frequent)
-    model = train(docs, ~held_out, vocab, text_col)
+    model = train(docs, ~held_out, vocab, text_col, id_col)
     model.squares = model.rng = None
     shared = docs.sparkSession.sparkContext.broadcast((vocab, model))
     kind = docs.schema[id_col].dataType.simpleString()
