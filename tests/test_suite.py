@@ -183,3 +183,13 @@ def test_working_names_do_not_clash(spark):
     assert curation.first_of_each(df, F.col("key"), "o").columns == df.columns and curation.first_of_each(df, F.col("key"), "o").count() == 3
     capped = curation.cap_skeletons(df, "key", "o", share=0.1)
     assert capped.columns == df.columns and capped.count() == 6
+
+
+def test_stores_keep_each_others_tables(spark, tmp_path):
+    a, b = Store(Engine(spark), f"{tmp_path}/s"), Store(Engine(spark), f"{tmp_path}/s")
+    a.insert("x", spark.range(3))
+    b.insert("y", spark.range(4))
+    a.insert("z", spark.range(5))
+    assert set(Store(Engine(spark), f"{tmp_path}/s").manifest) == {"x", "y", "z"}
+    b.drop("y")
+    assert set(Store(Engine(spark), f"{tmp_path}/s").manifest) == {"x", "z"}

@@ -37,11 +37,22 @@ def definitions() -> dict[str, str]:
     other = f"CASE WHEN {months} > 0 THEN {months_floor} ELSE timestamp_millis(unix_millis(t) - pmod(unix_millis(t), {millis})) END"
     extract = " ".join(f"WHEN '{u}' THEN CAST(extract({x} FROM t) AS BIGINT)" for u, x in EXTRACT_UNITS.items() if x)
     shifted = f"(t + make_interval(0, CAST(n * {months} AS INT)) + make_dt_interval(0, 0, 0, CAST(n * {millis} AS DECIMAL(18,6)) / 1000))"
+    # the same on the clock of a zone, and counted from an origin
+    local, start = "from_utc_timestamp(t, tz)", "from_utc_timestamp(o, tz)"
+    apart = f"(year({local}) * 12 + month({local}) - year({start}) * 12 - month({start}))"
+    # months that are full: the last one is not if the rest of the date comes before the origin's
+    full = f"({apart} - CAST(timestampadd(MONTH, {apart}, {start}) > {local} AS INT))"
+    months_at = f"timestampadd(MONTH, CAST({full} - pmod({full}, {months}) AS INT), {start})"
+    millis_at = f"timestamp_millis(unix_millis({local}) - pmod(unix_millis({local}) - unix_millis({start}), {millis}))"
+    floor_at = f"to_utc_timestamp(CASE WHEN o IS NULL THEN time_floor({local}, p) WHEN {months} > 0 THEN {months_at} ELSE {millis_at} END, tz)"
     iso = "coalesce(try_to_timestamp(s), try_to_timestamp(s, 'yyyy-MM-dd''T''HH:mm:ss''Z'''))"
     return {
         "time_floor(t TIMESTAMP, p STRING) RETURNS TIMESTAMP": f"CASE p {floor} ELSE {other} END",
         "time_shift(t TIMESTAMP, p STRING, n INT) RETURNS TIMESTAMP": shifted,
         "time_ceil(t TIMESTAMP, p STRING) RETURNS TIMESTAMP": "CASE WHEN time_floor(t, p) = t THEN t ELSE time_shift(time_floor(t, p), p, 1) END",
+        "time_floor_at(t TIMESTAMP, p STRING, o TIMESTAMP, tz STRING) RETURNS TIMESTAMP": floor_at,
+        "time_shift_at(t TIMESTAMP, p STRING, n INT, tz STRING) RETURNS TIMESTAMP": f"to_utc_timestamp(time_shift({local}, p, n), tz)",
+        "time_ceil_at(t TIMESTAMP, p STRING, o TIMESTAMP, tz STRING) RETURNS TIMESTAMP": "CASE WHEN time_floor_at(t, p, o, tz) = t THEN t ELSE time_shift_at(time_floor_at(t, p, o, tz), p, 1, tz) END",
         "time_extract(t TIMESTAMP, u STRING, tz STRING DEFAULT 'UTC') RETURNS BIGINT": f"CASE upper(u) {extract.replace('FROM t)', 'FROM from_utc_timestamp(t, tz))')} WHEN 'EPOCH' THEN unix_seconds(t) END",
         "time_format(t TIMESTAMP, f STRING DEFAULT 'yyyy-MM-dd''T''HH:mm:ss.SSS''Z''', tz STRING DEFAULT 'UTC') RETURNS STRING": "date_format(from_utc_timestamp(t, tz), f)",
         "time_parse(s STRING, f STRING DEFAULT '', tz STRING DEFAULT 'UTC') RETURNS TIMESTAMP": f"to_utc_timestamp(CASE WHEN f = '' THEN {iso} ELSE try_to_timestamp(s, nullif(f, '')) END, tz)",

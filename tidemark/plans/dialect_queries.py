@@ -206,3 +206,12 @@ _add("quantile_rank_error", """SELECT l."flag" AS "flag", COUNT(*) AS "n", ABS(A
      "SELECT l_returnflag AS flag, count(*) AS n, true AS p50_ok, true AS p99_ok, true AS odd_ok FROM lineitem GROUP BY 1")
 _add("quantile_of_nothing", """SELECT event_type, APPROX_QUANTILE_DS("value", 0.5) FILTER (WHERE event_id < 0) AS "none", APPROX_QUANTILE_DS(NULLIF("value", "value"), 0.5) AS "nulls", COUNT(*) AS "n" FROM events GROUP BY 1""",
      "SELECT event_type, NULL::DOUBLE AS none, NULL::DOUBLE AS nulls, count(*) AS n FROM events GROUP BY 1")
+_add("time_floor_origin", """SELECT TIME_FLOOR(__time, 'P1W', TIMESTAMP '2024-01-03 12:00:00') AS "week", TIME_FLOOR(__time, 'PT6H', TIMESTAMP '2024-01-01 01:00:00') AS "part", COUNT(*) AS "n" FROM events GROUP BY 1, 2""",
+     "SELECT time_bucket(INTERVAL 7 DAY, ts, TIMESTAMP '2024-01-03 12:00:00') AS week, time_bucket(INTERVAL 6 HOUR, ts, TIMESTAMP '2024-01-01 01:00:00') AS part, count(*) AS n FROM events GROUP BY 1, 2")
+_add("time_floor_origin_months", """SELECT TIME_FLOOR(__time, 'P3M', TIMESTAMP '1995-02-15 00:00:00') AS "quarter", TIME_CEIL(__time, 'P1M', TIMESTAMP '1995-02-15 00:00:00') AS "next", COUNT(*) AS "n" FROM orders GROUP BY 1, 2""",
+     """WITH d AS (SELECT o_orderdate::TIMESTAMP AS t FROM orders), m AS (SELECT t, (date_trunc('month', t - INTERVAL 14 DAY) + INTERVAL 14 DAY)::TIMESTAMP AS s FROM d)
+     SELECT s - to_months(((year(s) * 12 + month(s) - 1995 * 12 - 2) % 3 + 3) % 3) AS quarter, CASE WHEN s = t THEN t ELSE s + INTERVAL 1 MONTH END AS next, count(*) AS n FROM m GROUP BY 1, 2""")
+_add("time_floor_zone", """SELECT TIME_FLOOR(__time, 'P1D', NULL, 'Asia/Tokyo') AS "day", TIME_SHIFT(__time, 'P1D', 1, 'Asia/Tokyo') AS "later", COUNT(*) AS "n" FROM events GROUP BY 1, 2""",
+     "SELECT date_trunc('day', ts + INTERVAL 9 HOUR) - INTERVAL 9 HOUR AS day, ts + INTERVAL 1 DAY AS later, count(*) AS n FROM events GROUP BY 1, 2")
+_add("time_format_letters", """SELECT TIME_FORMAT(__time, 'YYYY-MM-dd''T''HH:mmZZ') AS "a", TIME_FORMAT(__time, 'e') AS "b", TIME_FORMAT(__time, 'xxxx-ee', 'Asia/Tokyo') AS "c", COUNT(*) AS "n" FROM events GROUP BY 1, 2, 3""",
+     "SELECT strftime(ts, '%Y-%m-%dT%H:%M') || '+00:00' AS a, isodow(ts)::VARCHAR AS b, isoyear(ts + INTERVAL 9 HOUR) || '-0' || isodow(ts + INTERVAL 9 HOUR) AS c, count(*) AS n FROM events GROUP BY 1, 2, 3")

@@ -26,7 +26,9 @@ class Store:
     table's current folder, then changes in one rename: readers see the old rows
     or the new ones, a failed write changes nothing, and a table may be replaced
     from itself. The folder before the current one is kept for queries that still
-    read it. A store opened on a folder has the tables of its manifest.
+    read it. A store opened on a folder has the tables of its manifest; stores that
+    write different tables of one folder keep each other's entries, unless two
+    manifests are renamed at the same moment.
     """
 
     def __init__(self, engine: Engine, folder: str):
@@ -43,7 +45,12 @@ class Store:
             return {}
         return json.loads("\n".join(r[0] for r in self.engine.spark.read.text(path.toString()).collect()))
 
-    def _save_manifest(self) -> None:
+    def _save_manifest(self, key: str, entry: dict | None) -> None:
+        """Change one table's entry (None: remove it) in the manifest as it is now, whoever wrote it last."""
+        self.manifest = self._read_manifest()
+        self.manifest.pop(key, None)
+        if entry:
+            self.manifest[key] = entry
         jvm, new = self.engine.spark._jvm, self._jvm.Path(f"{self.folder}/manifest.{uuid.uuid4().hex}")
         out = self._fs.create(new, True)
         try:
@@ -71,9 +78,8 @@ class Store:
             df.withColumn(_PART, F.date_format(TIME, PARTS[parts])).write.partitionBy(_PART).parquet(path)
         else:
             df.write.parquet(path)
-        old = self.manifest.get(key, {})
-        self.manifest[key] = {"path": path, "before": old.get("path"), "mark": mark}
-        self._save_manifest()
+        old = self._read_manifest().get(key, {})
+        self._save_manifest(key, {"path": path, "before": old.get("path"), "mark": mark})
         self._register(name, path)
         if old.get("before"):
             self._fs.delete(self._jvm.Path(old["before"]), True)
@@ -81,8 +87,8 @@ class Store:
     def drop(self, name: str) -> bool:
         """Forget a table and remove its files; False if there is none."""
         known = self.engine.drop(name)
-        if self.manifest.pop(name.lower(), None):
-            self._save_manifest()
+        if name.lower() in self._read_manifest():
+            self._save_manifest(name.lower(), None)
             self._fs.delete(self._jvm.Path(f"{self.folder}/{name.lower()}"), True)
             known = True
         return known
