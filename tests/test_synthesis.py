@@ -25,7 +25,16 @@ def test_copies_differ_and_repeat(spark):
     assert len(s.widened(a[0], 30, 1, {"color": ["red"], "shape": ["round"]}).columns) == 30
 
 
+def test_variants_of_a_family(spark):
+    got = s.variants(spark, MODEL, {"color": ["red"], "shape_kind": ["round"]}, 3)
+    assert list(got) == ["t_snake", "t_camel", "t_prefixed"]
+    for (low, high), df in zip(s.WIDTHS, got.values()):
+        assert low <= len(df.columns) <= high and len(set(df.columns)) == len(df.columns) and df.columns[0] == "__time"
+    assert "isX" in got["t_camel"].columns and "t_is_x" in got["t_prefixed"].columns and "is_x" in got["t_snake"].columns
+
+
 def test_roles():
+    assert s.classify_metric("error_count", explicit={"error_count": ("flag", "neutral")}) == ("flag", "neutral")
     assert s.classify_metric("error_count") == ("additive", "higher_is_worse") and s.classify_metric("is_new") == ("flag", "neutral")
     assert s.classify_metric("success_rate") == ("nonadditive", "higher_is_better") and s.classify_metric("risk_level", [1, 2, 3])[0] == "category_numeric"
 

@@ -215,3 +215,5 @@ _add("time_floor_zone", """SELECT TIME_FLOOR(__time, 'P1D', NULL, 'Asia/Tokyo')
      "SELECT date_trunc('day', ts + INTERVAL 9 HOUR) - INTERVAL 9 HOUR AS day, ts + INTERVAL 1 DAY AS later, count(*) AS n FROM events GROUP BY 1, 2")
 _add("time_format_letters", """SELECT TIME_FORMAT(__time, 'YYYY-MM-dd''T''HH:mmZZ') AS "a", TIME_FORMAT(__time, 'e') AS "b", TIME_FORMAT(__time, 'xxxx-ee', 'Asia/Tokyo') AS "c", COUNT(*) AS "n" FROM events GROUP BY 1, 2, 3""",
      "SELECT strftime(ts, '%Y-%m-%dT%H:%M') || '+00:00' AS a, isodow(ts)::VARCHAR AS b, isoyear(ts + INTERVAL 9 HOUR) || '-0' || isodow(ts + INTERVAL 9 HOUR) AS c, count(*) AS n FROM events GROUP BY 1, 2, 3")
+_add("latest_within_bytes", """SELECT user_id, LATEST(CONCAT('é', event_type, '日'), 5) AS "five", EARLIEST(CONCAT('é', event_type, '日'), 1) AS "one", LATEST(CONCAT('é', LEFT(event_type, 1), '日'), 64) AS "all" FROM events GROUP BY 1""",
+     "SELECT user_id, 'é' || left(arg_max(event_type, ts), 3) AS five, '' AS one, 'é' || left(arg_max(event_type, ts), 1) || '日' AS all FROM events GROUP BY 1")

@@ -7,6 +7,7 @@ table differ by seed only and any task can make any row.
 from __future__ import annotations
 
 import zlib
+from collections.abc import Callable
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -102,6 +103,30 @@ def widened(df: DataFrame, width: int, seed: int, pools: dict[str, list[str]]) -
     return numbered.select(*df.columns, *[pick(v, seed, n).alias(n) for n, v in names])
 
 
+#: Widths of the variants of a family, and how their columns are written.
+WIDTHS = ((7, 25), (26, 80), (81, 200))
+STYLES: dict[str, Callable[[str, str], str]] = {
+    "snake": lambda column, table: column,
+    "camel": lambda column, table: "".join(w if k == 0 else w.title() for k, w in enumerate(column.split("_"))),
+    "prefixed": lambda column, table: f"{table[:3]}_{column}",
+}
+
+
+def variants(spark: SparkSession, m: TableModel, pools: dict[str, list[str]], seed: int = 0) -> dict[str, DataFrame]:
+    """Tables of one family, by name: one for each of :data:`WIDTHS`, its width drawn from there by seed and name.
+
+    Each has rows of its own, fillers from the pools, and its columns, but
+    ``__time``, in a style of its own.
+    """
+    out = {}
+    for (low, high), (style, written) in zip(WIDTHS, STYLES.items()):
+        name = f"{m.name}_{style}"
+        mark = zlib.crc32(f"{seed}:{name}".encode())
+        df = widened(synthesize(spark, m, mark), low + mark % (high - low + 1), mark, pools)
+        out[name] = df.select(*[F.col(f"`{c}`").alias(c if c == "__time" else written(c, m.name)) for c in df.columns])
+    return out
+
+
 #: What words of a column's name, or of its description, say of a metric: (aspect, value, words).
 METRIC_WORDS = (
     ("role", "flag", "is has flag".split()),
@@ -113,13 +138,16 @@ METRIC_WORDS = (
 )
 
 
-def classify_metric(name: str, values: list | None = None, description: str = "") -> tuple[str, str]:
+def classify_metric(name: str, values: list | None = None, description: str = "", explicit: dict[str, tuple[str, str]] | None = None) -> tuple[str, str]:
     """(role, direction) of a metric column by the words of its name, its values and its description.
 
     Of the words that tell a role the first in the order of ``METRIC_WORDS``
     counts; is, has and flag at an end of the name only. Columns of 0 and 1 are
-    flags, and codes are categories where their values are known.
+    flags, and codes are categories where their values are known. A name in
+    ``explicit`` is what stands there.
     """
+    if explicit and name in explicit:
+        return explicit[name]
     words = name.lower().split("_")
     told = {}
     for aspect, value, known in METRIC_WORDS:
