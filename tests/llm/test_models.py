@@ -8,7 +8,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tidemark.llm import language_id, quality, url_filter
+from tidemark.llm import common, language_id, lm_scoring, quality, url_filter
 from tidemark.llm.common import is_bucket
 
 DATA = "/root/testdata/sf0.01"

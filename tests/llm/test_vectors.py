@@ -28,7 +28,11 @@ def usable(v):
     return v is not None and len(v) > 0 and all(c is not None and np.isfinite(c) for c in v) and any(v)
 
 
-def test_near_duplicates(spark, vectors):
+@pytest.mark.parametrize("sizes", [{}, {"PER_LIST": 6, "PART": 8, "QUERIES": 16}])
+def test_near_duplicates(spark, vectors, sizes, monkeypatch):
+    """As it is, and with many lists, parts and deals."""
+    for name, n in sizes.items():
+        monkeypatch.setattr(vector_dedup, name, n)
     got = {r.vec_id: (r.n_links, r.component_id, r.kept) for r in vector_dedup.near_duplicates(spark.createDataFrame(vectors, SCHEMA)).collect()}
     ids, parent, links = [r[0] for r in vectors], {r[0]: r[0] for r in vectors}, {r[0]: 0 for r in vectors}
 
