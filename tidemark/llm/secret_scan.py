@@ -117,7 +117,9 @@ def labelled_samples(rows: DataFrame, n_texts: int, sample_texts: int = 1000) ->
     # decimal digits of digests, each with a length of its own
     numbers = spark.range(0, 3000, 1, 1).select(F.expr("substr(regexp_replace(concat(sha2(concat('n', id), 512), sha2(concat('m', id), 512)), '[a-f]', ''), 1, 12 + id % 37)").alias("token"))
     alphabets = spark.range(0, 120, 1, 1).select("id", F.explode(F.array(*map(F.lit, ALPHABETS))).alias("c")).select(F.expr("substr(repeat(c, 8), CAST(1 + id AS INT), CAST(14 + id % 40 AS INT))").alias("token"))
-    figures = figures.union(numbers).union(alphabets).union(spark.createDataFrame([(x,) for x in identifiers()], "token string"))
+    # as one literal, some 400 KB whatever the table
+    named = spark.range(0, 1, 1, 1).select(F.explode(F.split(F.lit(" ".join(identifiers())), " ")).alias("token"))
+    figures = figures.union(numbers).union(alphabets).union(named)
     figures = figures.select(F.lit(None).cast("long").alias("h"), "token", F.lit(False).alias("random"))
     tokens = secrets.union(words).union(made).union(figures)
     tokens = tokens.groupBy("h", "token", "random").count().groupBy("token", "random").agg(F.max("count").alias("weight"), F.max(F.col("h").isNotNull()).alias("met"))
