@@ -76,6 +76,15 @@ def compacted(df: DataFrame, rows: int | None = None, like: DataFrame | None = N
     return df.coalesce(max(MIN_FILES, files))
 
 
+def dealt_out(df: DataFrame) -> DataFrame:
+    """``df`` as a side of a join that is shuffled, never gathered by the driver to be broadcast.
+
+    For tables that grow with the input: Spark takes them for small by their
+    compressed size, of which the table to broadcast can be many times as large.
+    """
+    return df.hint("merge")
+
+
 def discard(df: DataFrame) -> None:
     """Delete the files of a stashed frame that nothing reads any more."""
     path = getattr(df, "_stashed_at", None)

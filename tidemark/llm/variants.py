@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import discard, stash
+from .common import dealt_out, discard, stash
 
 ASCII_UPPER, ASCII_LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: Powers and keys count modulo these; the fifth powers of code points up to 255 are smaller.
@@ -75,7 +75,7 @@ def near_pairs(words: DataFrame, crowded: int = CROWDED) -> DataFrame:
     shorter = F.transform(F.array_distinct(letters(F.col("word"))), lambda c: less(F.col("full"), c))
     dealt = keyed.select("word", "n", "full", F.explode(F.array_distinct(F.concat(F.array("full"), shorter))).alias("key"))
     met = dealt.groupBy("key").agg(F.count("*").alias("met")).where("met > 1")
-    dealt = stash(dealt.join(met, "key"))
+    dealt = stash(dealt.join(dealt_out(met), "key"))
     pairs = _meeting(dealt.where(F.col("met") <= crowded), "key")
     # where many words meet, those at one edit also agree in what remains of them, letter for letter
     at = F.sequence(F.lit(0), F.length("word") - 1)
@@ -92,7 +92,7 @@ def _meeting(dealt: DataFrame, *keys: str) -> DataFrame:
     a = dealt.select(*keys, F.col("word").alias("a"), F.col("n").alias("a_n"), F.col("full").alias("a_full"))
     b = dealt.select(*keys, F.col("word").alias("b"), F.col("n").alias("b_n"), F.col("full").alias("b_full"))
     near = (F.col("a") < F.col("b")) & (F.col("a_full") != F.col("b_full")) & (F.levenshtein("a", "b", 1) == 1)
-    return a.join(b, list(keys)).where(near).select("a", "a_n", "b", "b_n")
+    return a.join(dealt_out(b), list(keys)).where(near).select("a", "a_n", "b", "b_n")
 
 
 def group_variants(words: DataFrame, ratio: int = 5, crowded: int = CROWDED) -> DataFrame:
@@ -108,11 +108,11 @@ def group_variants(words: DataFrame, ratio: int = 5, crowded: int = CROWDED) ->
     words = stash(words.where(F.col("word").isNotNull()).groupBy("word").agg(F.sum("n").cast("long").alias("n")))
     best = F.min(F.struct((-F.col("other_n")).alias("less"), "other"))
     near = near_pairs(words, crowded).groupBy("word").agg(F.count("*").alias("n_near"), best.alias("best"))
-    found = words.join(near, "word", "left")
+    found = words.join(dealt_out(near), "word", "left")
     enough = -F.col("best.less") >= F.col("n") * ratio
     found = stash(found.select("word", "n", F.coalesce("n_near", F.lit(0)).cast("long").alias("n_near"), F.when(enough, F.col("best.other")).alias("form"), F.when(enough, -F.col("best.less")).alias("form_n")))
     ends = _ends(found.where("form IS NOT NULL").select("word", F.col("form").alias("end")))
-    out = found.join(ends, "word", "left")
+    out = found.join(dealt_out(ends), "word", "left")
     return out.select("word", "form", F.coalesce("end", "word").alias("root"), "n", "n_near", "form_n")
 
 
@@ -121,7 +121,7 @@ def _ends(steps: DataFrame) -> DataFrame:
     steps = stash(steps)
     while True:
         onward = steps.select(F.col("word").alias("end"), F.col("end").alias("next"))
-        longer = stash(steps.join(onward, "end", "left").select("word", F.coalesce("next", "end").alias("end"), F.col("next").isNotNull().alias("moved")))
+        longer = stash(steps.join(dealt_out(onward), "end", "left").select("word", F.coalesce("next", "end").alias("end"), F.col("next").isNotNull().alias("moved")))
         moved = longer.where("moved").limit(1).count()
         discard(steps)
         steps = longer.drop("moved")
