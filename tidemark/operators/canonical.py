@@ -201,17 +201,17 @@ def _columns_like(a: DataFrame, b: DataFrame, tolerance: float) -> list[str] | N
     return left
 
 
-def agree_on_seeds(run, query_a: str, query_b: str, seeds: list, max_rows: int = 20_000, least: int = 2) -> tuple[bool, str]:
+def agree_on_seeds(run, query_a: str, query_b: str, seeds: list, max_rows: int | None = None, least: int = 2) -> tuple[bool, str]:
     """Whether two queries agree on all seeds; ``run(query, seed)`` gives a DataFrame.
 
-    Results over ``max_rows`` and queries with rows on fewer than ``least`` seeds
-    don't count as agreeing.
+    Results over ``max_rows``, if given, and queries with rows on fewer than
+    ``least`` seeds don't count as agreeing.
     """
     filled = 0
     for seed in seeds:
         a, b = run(query_a, seed), run(query_b, seed)
-        n = a.limit(max_rows + 1).count()
-        if n > max_rows:
+        n = a.limit((max_rows or 0) + 1).count()
+        if max_rows is not None and n > max_rows:
             return False, f"over {max_rows} rows"
         filled += n > 0
         if not results_agree(a, b):
