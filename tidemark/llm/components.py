@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import discard, stash
+from .common import dealt_out, discard, stash
 
 
 def connected_components(links: DataFrame, a: str, b: str, like: DataFrame | None = None) -> DataFrame:
@@ -29,9 +29,9 @@ def connected_components(links: DataFrame, a: str, b: str, like: DataFrame | Non
         seen = now
         both = links.union(links.select("v", "u"))
         least = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
-        large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+        large = both.where("v > u").join(dealt_out(least), "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         least = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(least, "u").where("v != m").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        small = large.join(dealt_out(least), "u").where("v != m").select(F.col("v").alias("u"), F.col("m").alias("v"))
         nxt = stash(small.union(least).distinct(), now[0])
         discard(links)
         links = nxt

@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import WORD, discard, given_back, in_slices, stash
+from .common import WORD, dealt_out, discard, given_back, in_slices, stash
 from .components import connected_components
 from .shingles import forget_words, shingle_set
 
@@ -342,9 +342,9 @@ def _bitmap(members: DataFrame, n: int, max_bits: int = 1 << 26) -> np.ndarray:
     while size < min(16 * n, max_bits):
         size *= 2
     at = F.col("th").bitwiseAND(size - 1)
-    words = members.groupBy(F.shiftright(at, 6).alias("w")).agg(F.bit_or(F.expr(f"shiftleft(1L, cast(th & 63 as int))")).alias("b")).toPandas()
+    words = members.groupBy(F.shiftright(at, 6).alias("w")).agg(F.bit_or(F.expr(f"shiftleft(1L, cast(th & 63 as int))")).alias("b")).toArrow()
     bits = np.zeros(size // 64, np.int64)
-    bits[words["w"].to_numpy(np.int64)] = words["b"].to_numpy(np.int64)
+    bits[words["w"].to_numpy()] = words["b"].to_numpy()
     return bits.view(np.uint64)
 
 
@@ -392,21 +392,21 @@ def _join_rows(docs: DataFrame, id_col: str, text_col: str, threshold: float, k:
     r = 1 + F.floor(F.lit(SLACK) * need)
     packed = rows.select("text").mapInArrow(given_back(_prefixes(k, threshold, int(max(96, total // 1_500_000))), forget_words), "bucket long, h binary, o binary")
     counts = packed.groupBy("bucket").applyInArrow(_shared_counts, "cls long, shared long").groupBy("cls").agg(F.sum("shared").alias("shared"))
-    first = stash(counts.join(classes, "cls").where(F.col("shared") >= r).select("cls", "m", "th", "n"), n_rows)
+    first = stash(counts.join(dealt_out(classes), "cls").where(F.col("shared") >= r).select("cls", "m", "th", "n"), n_rows)
     n_first, sum_first = first.agg(F.count("*"), F.coalesce(F.sum("n"), F.lit(0))).first()
     texts = rows.select("th", "text").mapInArrow(given_back(_members_texts(_bitmap(first, n_first)), forget_words), "th long, text string").dropDuplicates(["th"])
-    texts = stash(texts.join(first.select("th").distinct(), "th", "left_semi"), like=rows)
+    texts = stash(texts.join(dealt_out(first.select("th").distinct()), "th", "left_semi"), like=rows)
 
     whole = texts.select("text").mapInArrow(given_back(_dealt(k, int(max(96, sum_first // 400_000))), forget_words), "bucket long, h binary, o binary, runs binary")
     shared = whole.groupBy("bucket").applyInArrow(_shared, "cls long, l array<struct<df:long,h:long,lead:long>>")
-    lists = shared.groupBy("cls").agg(F.flatten(F.collect_list("l")).alias("l")).join(first, "cls").where(F.size("l") >= need)
+    lists = shared.groupBy("cls").agg(F.flatten(F.collect_list("l")).alias("l")).join(dealt_out(first), "cls").where(F.size("l") >= need)
     rarest = F.slice(F.array_sort("l"), F.lit(1), (F.size("l") - need + 1).cast("int"))
     ties = lists.select("cls", F.explode(F.array_distinct(F.transform(rarest, lambda x: x["lead"]))).alias("lead")).where("lead != cls")
     groups = connected_components(ties, "cls", "lead", rows)
     groups = stash(groups, n_first)
 
     large = groups.groupBy("root").count().where(F.col("count") > block).select("root", F.ceil(F.col("count") / (block // 2)).cast("int").alias("parts"))
-    members = stash(groups.join(first, F.col("node") == F.col("cls")).join(large, "root", "left").select("cls", "m", "th", "root", "parts"), n_first)
+    members = stash(groups.join(dealt_out(first), F.col("node") == F.col("cls")).join(large, "root", "left").select("cls", "m", "th", "root", "parts"), n_first)
     n_members = members.count()
     part = F.pmod(F.xxhash64("cls"), F.col("parts")).cast("int")
     other = F.explode(F.when(F.col("parts").isNull(), F.array(F.lit(-1))).otherwise(F.sequence(F.lit(0), F.col("parts") - 1)))
@@ -419,15 +419,15 @@ def _join_rows(docs: DataFrame, id_col: str, text_col: str, threshold: float, k:
         F.when(F.col("parts").isNull(), F.lit(-1)).otherwise(lo * F.col("parts") + hi).alias("g2"),
         F.when(F.col("parts").isNull() | (lo == hi), F.lit(0)).when(F.col("part") == lo, F.lit(1)).otherwise(F.lit(2)).alias("side"),
     )
-    sets = texts.join(placed, "th").select("cls", "m", "g1", "g2", "side", "text").mapInArrow(given_back(_with_sets(k), forget_words), "cls long, m long, g1 long, g2 int, side int, shingles binary")
+    sets = texts.join(dealt_out(placed), "th").select("cls", "m", "g1", "g2", "side", "text").mapInArrow(given_back(_with_sets(k), forget_words), "cls long, m long, g1 long, g2 int, side int, shingles binary")
     found = stash(sets.groupBy("g1", "g2").applyInArrow(_joined(threshold), "cls long, links long, other long"), like=rows)
 
     links = found.where("links > 0").groupBy("cls").agg(F.sum("links").alias("links"))
     comps = connected_components(found.where("other is not null"), "cls", "other", rows)
-    of = classes.join(comps, F.col("cls") == F.col("node"), "left").select("cls", "m", "least_id", F.coalesce("root", "cls").alias("root"))
+    of = classes.join(dealt_out(comps), F.col("cls") == F.col("node"), "left").select("cls", "m", "least_id", F.coalesce("root", "cls").alias("root"))
     least = of.groupBy("root").agg(F.min("least_id").alias("component_id"))
-    of = stash(of.join(least, "root").join(links, "cls", "left").select("cls", "root", "component_id", (F.coalesce("links", F.lit(0)) + F.col("m") - 1).alias("n_links")), n_rows)
-    out = sized.where("n > 0").join(of, "cls").select(F.col("id").alias(id_col), "th", "root", F.col("n").alias("n_shingles"), "component_id", "n_links")
+    of = stash(of.join(dealt_out(least), "root").join(dealt_out(links), "cls", "left").select("cls", "root", "component_id", (F.coalesce("links", F.lit(0)) + F.col("m") - 1).alias("n_links")), n_rows)
+    out = sized.where("n > 0").join(dealt_out(of), "cls").select(F.col("id").alias(id_col), "th", "root", F.col("n").alias("n_shingles"), "component_id", "n_links")
     alone = sized.where("n = 0").select(F.col("id").alias(id_col), "th", F.lit(None).cast("long").alias("root"), F.col("n").alias("n_shingles"), F.col("id").alias("component_id"), F.lit(0).cast("long").alias("n_links"))
     for df in (members, groups, texts, first):
         discard(df)
@@ -445,8 +445,8 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", th
     rows = found.where("root IS NOT NULL")
     stays = rows.groupBy("root").agg(F.min(F.struct(F.col("_gone_id").isNull().alias("no"), F.col("_gone_id").alias("id"), F.col("_gone_th").alias("th"))).alias("s")).select("s.id", "s.th")
     gone = rows.select("_gone_id", "_gone_th").distinct()
-    gone = gone.join(stays, gone["_gone_id"].eqNullSafe(stays["id"]) & (gone["_gone_th"] == stays["th"]), "left_anti")
-    left = docs.join(gone, docs[id_col].eqNullSafe(gone["_gone_id"]) & (F.xxhash64(docs[text_col]) == gone["_gone_th"]), "left_anti")
+    gone = gone.join(dealt_out(stays), gone["_gone_id"].eqNullSafe(stays["id"]) & (gone["_gone_th"] == stays["th"]), "left_anti")
+    left = docs.join(dealt_out(gone), docs[id_col].eqNullSafe(gone["_gone_id"]) & (F.xxhash64(docs[text_col]) == gone["_gone_th"]), "left_anti")
     if rows.groupBy("_gone_id", "_gone_th").count().where("count > 1").isEmpty():
         return left
     # rows without words get a key of their own each

@@ -19,7 +19,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import WORD, stash
+from .common import WORD, dealt_out, stash
 
 WEIGHTS = (5, 2, 1)
 
@@ -146,7 +146,7 @@ def mixed_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     times = found.groupBy(F.col(id_col).alias("id"), "th").agg(F.sum((F.col("taken") / F.greatest("size", F.lit(1))).cast("long")).alias("times"), F.count("*").alias("rows")).where("times > 0")
     times = stash(times, like=docs)
     each = docs.select(F.struct("*").alias("row"), docs[id_col].alias("row_id"), F.md5(F.coalesce(docs[text_col], F.lit("")).cast("binary")).alias("row_th"))
-    each = each.join(times, each["row_id"].eqNullSafe(times["id"]) & (each["row_th"] == times["th"]))
+    each = each.join(dealt_out(times), each["row_id"].eqNullSafe(times["id"]) & (each["row_th"] == times["th"]))
     single = each if times.where("rows > 1").isEmpty() else each.where("rows = 1")
     out = single.select("row", F.col("times").alias("n"))
     if single is not each:
