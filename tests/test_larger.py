@@ -3,7 +3,9 @@
 from pyspark.sql import functions as F
 
 from tidemark.engine import Engine
-from tidemark.operators import canonical, suite
+from tidemark.operators import canonical, curation, suite
+
+from .test_operators import brute_near
 
 
 def test_quantiles_of_many_values(spark):
@@ -25,3 +27,31 @@ def test_agreement_of_large_results(spark):
     assert len(suite.g4_agreement(engine, first, other.replace("COUNT(id)", "COUNT(id) + 1"), seeds)) == 2
     assert suite.g4_agreement(engine, first, other, seeds, max_rows=20_000) == ["G4 seed 0: over 20000 rows", "G4 seed 1: over 20000 rows"]
     assert canonical.agree_on_seeds(lambda q, k: spark.range(25_000).selectExpr(q), "id + 1 AS a", "1 + id AS b", [0, 1])[0]
+
+
+def test_near_copies_cost_no_square(spark, monkeypatch):
+    """1,500 near copies of one text: the pairs of the first span are made, then those with the one that is kept."""
+    sizes = []
+
+    def noted(df, real=curation._cut):
+        out = real(df)
+        sizes.append(out.count())
+        return out
+
+    monkeypatch.setattr(curation, "_cut", noted)
+    words = F.lit(" ".join(f"word{k}" for k in range(40)))
+    rows = spark.range(1_500).select(F.col("id").alias("o"), F.lit("g").alias("g"), F.concat(words, F.lit(" own"), "id").alias("q"))
+    assert [r["o"] for r in curation.drop_near_duplicates(rows, "q", "g", "o").collect()] == [0]
+    assert max(sizes) < 512 * 511
+
+
+def test_near_copies_by_spans(spark, monkeypatch):
+    rows = [(k, f"g{k % 2}", " ".join(f"w{(k // 10) * 3 + j + (k % 7 == j) * 5}" for j in range(12))) for k in range(90)]
+    df = spark.createDataFrame(rows, "o long, g string, q string")
+    monkeypatch.setattr(curation, "_spans", lambda some: [4, 20, 21, 60])
+    assert sorted(r["o"] for r in curation.drop_near_duplicates(df, "q", "g", "o").collect()) == brute_near(rows)
+
+
+def test_ends_of_spans(spark):
+    ends = curation._spans(spark.range(20_000).withColumnRenamed("id", "o"))
+    assert ends[:2] == [511, 4095] and len(ends) == 2 and curation._spans(spark.range(300).withColumnRenamed("id", "o")) == []
