@@ -4,7 +4,7 @@ import re
 
 import pytest
 
-from tidemark.llm import components, jaccard, variants
+from tidemark.llm import components, jaccard, variants, vector_dedup
 
 #: One row for each group of more than a thousand classes.
 ALLOWED = re.compile(r"BroadcastHashJoin \[root#\d+L?\], \[root#\d+L?\], LeftOuter")
@@ -55,3 +55,19 @@ def test_jaccard_join(spark, gathered):
     left = jaccard.keep_one(docs)
     gathered.note(left)
     assert {r["doc_id"] for r in left.collect()} == {1, 3} and gathered.seen == []
+
+
+def test_vectors_travel_once_a_bunch(spark, monkeypatch):
+    """However many lists of its label a vector probes, it goes to their bunch once."""
+    import numpy as np
+    import pandas as pd
+
+    def counted(*_):
+        return lambda key, queries, entries: pd.DataFrame({"id": [0], "links": [len(queries)], "other": pd.array([None], "Int64")})
+
+    monkeypatch.setattr(vector_dedup, "_linked", counted)
+    monkeypatch.setattr(vector_dedup, "PER_LIST", 10)
+    x = np.random.default_rng(1).normal(size=(200, 8))
+    x /= np.sqrt((x * x).sum(axis=1))[:, None]
+    classes = spark.createDataFrame([(k, f"l{k % 2}", v.tolist(), 1) for k, v in enumerate(x)], "id long, label string, v array<double>, m long")
+    assert vector_dedup._block_links(classes, 0.5).groupBy().sum("links").first()[0] == 200

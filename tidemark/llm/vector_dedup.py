@@ -8,8 +8,10 @@ nearest to centroid j and x to i, the plane between the two parts x from y, so
 a list, table look-ups give the distances of a query to all codes; entries within
 d plus their code's error, which no link can miss, are ranked by exact cosine.
 
-Equal vectors of a label form one class. Lists are cut in parts of bounded size;
-blocks return counts and a spanning forest of their links, never pairs.
+Equal vectors of a label form one class. The lists of a label travel in bunches,
+to each of which a query goes once, whatever lists of it it probes. Bunches are
+cut in parts of bounded size; blocks return counts and a spanning forest of
+their links, never pairs.
 """
 
 from __future__ import annotations
@@ -19,16 +21,18 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import stash
+from .common import dealt_out, stash
 from .components import connected_components
 from .jaccard import Forest
 from .vectors import bounded_sample, is_usable, kmeans, packed
 
-SAMPLE, MAX_LISTS, PER_LIST, PART = 20_000, 4096, 2048, 4096
-#: Queries of a list that one task takes.
+SAMPLE, MAX_LISTS, PER_LIST = 20_000, 4096, 2048
+#: Vectors in a bunch of lists, and in a part of it.
+PART = 16_384
+#: Queries of a bunch that one task takes.
 QUERIES = 32_768
 SUBSPACES, CODES = 8, 64
 
@@ -120,24 +124,35 @@ def _linked(shared, threshold: float, reach: float):
         if not len(queries) or not len(entries):
             return empty
         pq = shared.value[0]
+        entries = entries.sort_values("list", kind="stable")
         y, codes = np.stack(entries["v"]).astype(np.float64), np.stack([np.frombuffer(c, np.uint8) for c in entries["codes"]])
         limit = (reach + entries["error"].to_numpy() + 1e-4) ** 2
         y_id, m, x_id = entries["id"].to_numpy(), entries["m"].to_numpy(), queries["id"].to_numpy()
+        lists, starts = np.unique(entries["list"].to_numpy(), return_index=True)
+        ends, own = np.r_[starts[1:], len(y_id)], queries["own"].to_numpy()
+        probed = queries["lists"].to_list()
+        asks_at = np.repeat(np.arange(len(x_id)), [len(p) for p in probed])
+        asks_list = np.concatenate(probed)
+        order = np.argsort(asks_list, kind="stable")
+        asks_at, asks_list = asks_at[order], asks_list[order]
         ids, at = np.unique(np.r_[x_id, y_id], return_inverse=True)
         links, back, forest = np.zeros(len(x_id), np.int64), np.zeros(len(y_id), np.int64), Forest(len(ids))
-        x_m, other_list = queries["m"].to_numpy(), queries["own"].to_numpy() != int(key[1])
-        for a in range(0, len(x_id), 512):
-            x = np.stack(queries["v"].iloc[a : a + 512]).astype(np.float64)
-            near = pq.table_distances(x, int(key[1]), codes) <= limit
-            i, j = np.nonzero(near & (x_id[a : a + 512, None] != y_id[None, :]))
-            for s in range(0, len(i), 100_000):  # exact rerank
-                p, q = i[s : s + 100_000], j[s : s + 100_000]
-                ok = np.einsum("ij,ij->i", x[p], y[q]) >= threshold
-                p, q = p[ok], q[ok]
-                np.add.at(links, p + a, m[q])
-                far = other_list[p + a]  # such a pair is met here only: it counts for both
-                np.add.at(back, q[far], x_m[p[far] + a])
-                forest.add(at[p + a], at[len(x_id) + q])
+        x_m, x_all = queries["m"].to_numpy(), np.stack(queries["v"]).astype(np.float64)
+        for k, start, end in zip(lists.tolist(), starts.tolist(), ends.tolist()):
+            asking = asks_at[np.searchsorted(asks_list, k) : np.searchsorted(asks_list, k, side="right")]
+            for a in range(0, len(asking), 512):
+                of = asking[a : a + 512]
+                x = x_all[of]
+                near = pq.table_distances(x, k, codes[start:end]) <= limit[start:end]
+                i, j = np.nonzero(near & (x_id[of, None] != y_id[None, start:end]))
+                for s in range(0, len(i), 100_000):  # exact rerank
+                    p, q = i[s : s + 100_000], j[s : s + 100_000] + start
+                    ok = np.einsum("ij,ij->i", x[p], y[q]) >= threshold
+                    p, q = of[p[ok]], q[ok]
+                    np.add.at(links, p, m[q])
+                    far = own[p] != k  # such a pair is met here only: it counts for both
+                    np.add.at(back, q[far], x_m[p[far]])
+                    forest.add(at[p], at[len(x_id) + q])
         edges, found = ids[forest.edges()], np.r_[links, back]
         some, all_ids = np.flatnonzero(found), np.r_[x_id, y_id]
         return pd.concat([empty, pd.DataFrame({"id": all_ids[some], "links": found[some], "other": pd.array([None] * len(some), "Int64")}),
@@ -182,10 +197,10 @@ def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "
     found = stash(found)
     links = found.where("links > 0").groupBy("id").agg(F.sum("links").alias("links"))
     comps = connected_components(found.where("other IS NOT NULL"), "id", "other")
-    of = classes.select("id", "key", "least_id", "m").join(comps.select(F.col("node").alias("id"), "root"), "id", "left").withColumn("root", F.coalesce("root", "id"))
+    of = classes.select("id", "key", "least_id", "m").join(dealt_out(comps.select(F.col("node").alias("id"), "root")), "id", "left").withColumn("root", F.coalesce("root", "id"))
     least = of.groupBy("root").agg(F.min("least_id").alias("component_id"))
-    of = of.join(least, "root").join(links, "id", "left").select("key", "component_id", (F.coalesce("links", F.lit(0)) + F.col("m") - 1).alias("n_links"))
-    out = good.select("id", "key").join(of, "key").select(F.col("id").alias(out_name), "n_links", "component_id", F.coalesce(F.col("id") == F.col("component_id"), F.lit(False)).alias("kept"))
+    of = of.join(dealt_out(least), "root").join(dealt_out(links), "id", "left").select("key", "component_id", (F.coalesce("links", F.lit(0)) + F.col("m") - 1).alias("n_links"))
+    out = good.select("id", "key").join(dealt_out(of), "key").select(F.col("id").alias(out_name), "n_links", "component_id", F.coalesce(F.col("id") == F.col("component_id"), F.lit(False)).alias("kept"))
     return out.union(alone)
 
 
@@ -204,14 +219,22 @@ def _block_links(classes: DataFrame, threshold: float) -> DataFrame:
     for r in entries.groupBy("list").agg(F.max("far").alias("r")).collect():  # as many rows as lists
         radii[r["list"]] = r["r"]
     shared = spark.sparkContext.broadcast((pq, radii))
-    sizes = entries.groupBy("label", "list").agg(F.ceil(F.count("*") / PART).cast("int").alias("parts"))
-    entries = entries.join(sizes, ["label", "list"]).withColumn("part", F.pmod(F.xxhash64("id"), F.col("parts")).cast("int"))
+    # lists of a label in bunches of about PART vectors; a longer one is a bunch of its own, or the end of one
+    per_list = entries.groupBy("label", "list").agg(F.count("*").alias("n"))
+    before = F.sum("n").over(Window.partitionBy("label").orderBy("list")) - F.col("n")  # rows of a label: its lists, MAX_LISTS at most
+    bunches = stash(per_list.select("label", "list", "n", F.floor(before / PART).alias("bunch")))
+    sizes = bunches.groupBy("label", "bunch").agg(F.ceil(F.sum("n") / PART).cast("int").alias("parts"))
+    entries = entries.join(bunches.select("label", "list", "bunch").join(sizes, ["label", "bunch"]), ["label", "list"]).withColumn("part", F.pmod(F.xxhash64("id"), F.col("parts")).cast("int"))
     queries = stash(classes.select("id", "label", "v", "m").mapInArrow(_probed(shared, reach), "id long, label string, v array<double>, m long, own long, lists array<long>"))
-    # lists that very many probe have their queries dealt out too, so that no group is unbounded; others go in one piece
-    asked = queries.select("label", F.explode("lists").alias("list")).groupBy("label", "list").agg(F.ceil(F.count("*") / QUERIES).cast("int").alias("deals"))
-    sizes = sizes.join(asked, ["label", "list"])
-    queries = queries.select("id", "label", "v", "m", "own", F.explode("lists").alias("list")).join(sizes, ["label", "list"]).withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+    # the lists that each label has, by bunch, meet the lists that a query probes
+    of_label = bunches.groupBy("label", "bunch").agg(F.collect_list("list").alias("of_bunch")).groupBy("label").agg(F.collect_list(F.struct("bunch", "of_bunch")).alias("bunches"))
+    met = F.transform("bunches", lambda b: F.struct(b["bunch"].alias("bunch"), F.array_intersect("lists", b["of_bunch"]).alias("lists")))
+    asking = queries.join(of_label, "label").select("id", "label", "v", "m", "own", F.inline(F.filter(met, lambda b: F.size(b["lists"]) > 0)))
+    # bunches that very many probe have their queries dealt out too, so that no group is unbounded; others go in one piece
+    asked = stash(asking.groupBy("label", "bunch").agg(F.ceil(F.count("*") / QUERIES).cast("int").alias("deals")))
+    sizes = sizes.join(asked, ["label", "bunch"])
+    queries = asking.join(sizes, ["label", "bunch"]).withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
     queries = queries.withColumn("deal", F.pmod(F.hash("id"), F.col("deals")))
-    entries = entries.join(asked, ["label", "list"]).withColumn("deal", F.explode(F.sequence(F.lit(0), F.col("deals") - 1)))
-    keys = ["label", "list", "part", "deal"]
-    return queries.select(*keys, "id", "v", "m", "own").groupBy(*keys).cogroup(entries.select(*keys, "id", "v", "m", "codes", "error").groupBy(*keys)).applyInPandas(_linked(shared, threshold, reach), "id long, links long, other long")
+    entries = entries.join(asked, ["label", "bunch"]).withColumn("deal", F.explode(F.sequence(F.lit(0), F.col("deals") - 1)))
+    keys = ["label", "bunch", "part", "deal"]
+    return queries.select(*keys, "id", "v", "m", "own", "lists").groupBy(*keys).cogroup(entries.select(*keys, "id", "v", "m", "list", "codes", "error").groupBy(*keys)).applyInPandas(_linked(shared, threshold, reach), "id long, links long, other long")
