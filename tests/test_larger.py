@@ -1,5 +1,7 @@
 """Results that were right on small tables only."""
 
+import time
+
 from pyspark.sql import functions as F
 
 from tidemark.engine import Engine
@@ -55,3 +57,18 @@ def test_near_copies_by_spans(spark, monkeypatch):
 def test_ends_of_spans(spark):
     ends = curation._spans(spark.range(20_000).withColumnRenamed("id", "o"))
     assert ends[:2] == [511, 4095] and len(ends) == 2 and curation._spans(spark.range(300).withColumnRenamed("id", "o")) == []
+
+
+def test_skeletons_cost_no_square(spark):
+    """One query of 20,000 words, whose pieces are looked at once each."""
+    long = "select " + ", ".join(f"a{k} as b{k}" for k in range(10_000)) + " From t"
+    began = time.monotonic()
+    found = spark.createDataFrame([(long,), ("1e5 in éab, in_x.x1 IN 'in'\n",), ("",), (None,)], "q string").select(curation.skeleton(F.col("q"))).collect()
+    assert [r[0] for r in found] == ["SELECT " + ", ".join(["ID AS ID"] * 10_000) + " FROM ID", "1e5 IN éab, ID.ID IN ID", "", None]
+    assert time.monotonic() - began < 30
+
+
+def test_texts_of_features_are_flattened_once(spark):
+    df = spark.createDataFrame([('WITH a AS (SELECT 1) SELECT\n"TIME_SHIFT"\n(x) FROM (SELECT 2) JOIN b',), (None,)], "q string").select(curation.features(F.col("q")).alias("f"))
+    assert [r["f"] for r in df.collect()] == [["cte", "join", "subquery", "time_shift"], []]
+    assert df._jdf.queryExecution().optimizedPlan().toString().count("regexp_replace(q") == 1
