@@ -4,8 +4,9 @@ import time
 
 from pyspark.sql import functions as F
 
+from tidemark.dialect import tokens
 from tidemark.engine import Engine
-from tidemark.operators import canonical, curation, suite
+from tidemark.operators import canonical, curation, gates, suite
 
 from .test_operators import brute_near
 
@@ -72,3 +73,26 @@ def test_texts_of_features_are_flattened_once(spark):
     df = spark.createDataFrame([('WITH a AS (SELECT 1) SELECT\n"TIME_SHIFT"\n(x) FROM (SELECT 2) JOIN b',), (None,)], "q string").select(curation.features(F.col("q")).alias("f"))
     assert [r["f"] for r in df.collect()] == [["cte", "join", "subquery", "time_shift"], []]
     assert df._jdf.queryExecution().optimizedPlan().toString().count("regexp_replace(q") == 1
+
+
+def test_records_are_judged_by_the_gates_asked_for(spark):
+    """One counter alone and all of them; other columns come back as they are."""
+    tables = [gates.Table("t", {"v": gates.NONADDITIVE, "at": gates.EPOCH}, [("exclude_flag", "is_test")])]
+    rows = [(2**53 + 1, "orders yesterday", "SELECT SUM(v) FROM t", None, None, None, None), (None, "orders today of 'x'", "SELECT TIME_FLOOR(at * 1000, 'P1D');", "", "business", ["orders"], False),
+            (3, "today", "SELECT 1", "p", "exact_column", [], True), (4, "", "SELECT 1", None, None, None, None), (5, "orders", "SELECT AVG(v) FROM t WHERE is_test = 0", "p", "exact_column", ["v"], None)]
+    df = spark.createDataFrame(rows, "id long, question string, sql string, prompt string, style string, answer_columns array<string>, unanswerable boolean")
+    broken = {c: [bool(q and s and not u and find({"question": q, "sql": s, "prompt": p or "", "style": y, "answer_columns": a or []}, tables)) for _, q, s, p, y, a, u in rows] for c, find in suite.COUNTERS.items()}
+    assert [r[:2] + r[7:] for r in map(tuple, suite.judged(df, tables).collect())] == [(*rows[k][:2], *(broken[c][k] for c in suite.COUNTERS)) for k in range(5)]
+    one = suite.judged(df, tables, ["phrase_violation"])
+    assert one.columns == [*df.columns, "phrase_violation"] and [r[0::7] for r in map(tuple, one.collect())] == [(rows[k][0], k == 0) for k in range(5)]
+
+
+def test_gates_share_the_tokens_of_a_query(monkeypatch):
+    record = {"question": "orders yesterday", "sql": "SELECT AVG(v) AS m FROM one_of_a_kind", "prompt": "", "style": "", "answer_columns": []}
+    before = tokens._tokens.cache_info().misses
+    assert [c for c, find in suite.COUNTERS.items() if find(record, [])] == ["output_style_violation", "phrase_violation"]
+    assert tokens._tokens.cache_info().misses == before + 1
+    tokens.tokenize(record["sql"]).clear()
+    assert len(tokens.tokenize(record["sql"])) == 9
+    monkeypatch.setattr(gates, "tokenize", None)
+    assert gates.g8_phrases("orders", record["sql"]) == []

@@ -4,9 +4,10 @@ scores of predictions, revalidation on seeds, and counts that must be zero."""
 from __future__ import annotations
 
 import re
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Sequence
 from typing import NamedTuple
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -290,22 +291,28 @@ COUNTERS: dict[str, Callable[[dict, list[gates.Table]], list[str]]] = {
 _RECORD = ("question", "sql", "prompt", "style", "answer_columns")
 
 
-def judged(records: DataFrame, tables: list[gates.Table]) -> DataFrame:
+def judged(records: DataFrame, tables: list[gates.Table], counters: Sequence[str] = tuple(COUNTERS)) -> DataFrame:
     """Records with a boolean per counter: whether its gate finds a problem.
 
     Rows that are unanswerable or lack a question or a query break nothing. The
-    gates look at texts alone, so rows are judged where they are, in batches.
+    gates look at texts alone, so rows are judged where they are, in batches, and
+    by the gates of ``counters`` only.
     """
-    schema = ", ".join(f"`{n}` {t}" for n, t in records.dtypes) + "".join(f", {c} boolean" for c in COUNTERS)
+    schema = ", ".join(f"`{n}` {t}" for n, t in records.dtypes) + "".join(f", {c} boolean" for c in counters)
 
-    def batches(frames):
-        for f in frames:
-            rows = [None if skip or not question or not sql else dict(zip(_RECORD, values)) for skip, question, sql, values in zip(f["unanswerable"], f["question"], f["sql"], zip(*[f[c] for c in _RECORD]))]
-            for name, problems in COUNTERS.items():
-                f[name] = [bool(r and problems({**r, "prompt": r["prompt"] or "", "answer_columns": r["answer_columns"] if r["answer_columns"] is not None else []}, tables)) for r in rows]
-            yield f
+    def problems(skip, question, sql, prompt, style, answer_columns):
+        if skip or not question or not sql:
+            return [False] * len(counters)
+        record = dict(zip(_RECORD, (question, sql, prompt or "", style, answer_columns or [])))
+        return [bool(COUNTERS[c](record, tables)) for c in counters]
 
-    return records.mapInPandas(batches, schema)
+    def batches(parts):
+        for b in parts:
+            found = [problems(*row) for row in zip(*[b.column(c).to_pylist() for c in ("unanswerable", *_RECORD)])]
+            flags = [pa.array([row[k] for row in found], pa.bool_()) for k in range(len(counters))]
+            yield pa.RecordBatch.from_arrays([*b.columns, *flags], [*b.schema.names, *counters])
+
+    return records.mapInArrow(batches, schema)
 
 
 def must_be_zero(records: DataFrame, tables: list[gates.Table], split: str = "split") -> DataFrame:

@@ -164,7 +164,7 @@ def suite_must_be_zero(spark, sf_dir):
 
 
 def _gate(counter: str):
-    return lambda spark, sf_dir: suite.judged(_records(spark, sf_dir), _PARTS).where(counter).select("event_id")
+    return lambda spark, sf_dir: suite.judged(_records(spark, sf_dir), _PARTS, [counter]).where(counter).select("event_id")
 
 
 for _name, _counter in (("g0", "output_style_violation"), ("g3", "literal_mismatch"), ("g5", "role_violation"), ("g6", "instruction_violation"), ("g7", "style_truth_violation"), ("g8", "phrase_violation"),
