@@ -1,12 +1,15 @@
 """Results that were right on small tables only."""
 
+import random
 import time
 
+import pyarrow as pa
+import pytest
 from pyspark.sql import functions as F
 
 from tidemark.dialect import tokens
 from tidemark.engine import Engine
-from tidemark.operators import canonical, curation, gates, suite
+from tidemark.operators import canonical, curation, gates, likeness, suite
 
 from .test_operators import brute_near
 
@@ -55,6 +58,54 @@ def test_near_copies_by_spans(spark, monkeypatch):
     assert sorted(r["o"] for r in curation.drop_near_duplicates(df, "q", "g", "o").collect()) == brute_near(rows)
 
 
+@pytest.mark.parametrize("cost", [0, 1e9])
+def test_near_copies_by_lists_or_blocks(spark, monkeypatch, cost):
+    """All pairs by lists; all by many small blocks."""
+    rows = [(k, f"g{k % 2}", " ".join(f"w{(k // 10) * 3 + j + (k % 7 == j) * 5}" for j in range(12))) for k in range(90)]
+    monkeypatch.setattr(likeness, "LIST_COST", cost)
+    monkeypatch.setattr(likeness, "BLOCK_TERMS", 8 * likeness.ROW_TERMS)
+    monkeypatch.setattr(curation, "_spans", lambda some: [40])
+    got = curation.drop_near_duplicates(spark.createDataFrame(rows, "o long, g string, q string"), "q", "g", "o")
+    assert sorted(r["o"] for r in got.collect()) == brute_near(rows)
+
+
+def test_rows_with_rare_terms_in_common_are_not_all_joined(spark, monkeypatch):
+    """400 rows of 12 of 60 words: most pairs share a term they are found by, hardly any is joined with its terms."""
+    rng, met = random.Random(3), spark.sparkContext.accumulator(0)
+
+    def noted(threshold, real=likeness._over):
+        def run(batches):
+            def counted():
+                for b in batches:
+                    met.add(len(b))
+                    yield b
+
+            return real(threshold)(counted())
+
+        return run
+
+    monkeypatch.setattr(likeness, "_over", noted)
+    rows = [(k, "g", " ".join(rng.choices([f"w{j}" for j in range(60)], k=12))) for k in range(400)]
+    got = curation.drop_near_duplicates(spark.createDataFrame(rows, "o long, g string, q string"), "q", "g", "o")
+    assert sorted(r["o"] for r in got.collect()) == brute_near(rows)
+    assert met.value < 4 * 400
+
+
+@pytest.mark.parametrize("columns", [4, 1024])
+def test_blocks_are_compared_exactly(monkeypatch, columns):
+    """Counts near the threshold, with few columns for the terms and with one each."""
+    rng = random.Random(4)
+    monkeypatch.setattr(likeness, "OWN_COLUMNS", columns)
+    monkeypatch.setattr(likeness, "SHARED_COLUMNS", columns)
+    monkeypatch.setattr(likeness, "AT_ONCE", 7)
+    sides = [[{t: rng.choice([1, 1, 2, 9]) for t in rng.sample(range(-9, 9), rng.randint(1, 15))} for _ in range(40)] for _ in range(2)]
+    square = lambda v: sum(n * n for n in v.values())
+    tables = [pa.table({"o": pa.array(range(k, k + 40)), "n2": pa.array([square(v) for v in side]), "ts": pa.array([list(v) for v in side]), "cs": pa.array([list(v.values()) for v in side])}) for k, side in ((0, sides[0]), (100, sides[1]))]
+    found = likeness._compared(0.6)(*tables)
+    over = {(i, 100 + j) for i, v in enumerate(sides[0]) for j, w in enumerate(sides[1]) if sum(n * w.get(t, 0) for t, n in v.items()) / (square(v) * square(w)) ** 0.5 > 0.6}
+    assert set(zip(*found.to_pydict().values(), strict=True)) == over and len(over) > 50
+
+
 def test_ends_of_spans(spark):
     ends = curation._spans(spark.range(20_000).withColumnRenamed("id", "o"))
     assert ends[:2] == [511, 4095] and len(ends) == 2 and curation._spans(spark.range(300).withColumnRenamed("id", "o")) == []
