@@ -147,3 +147,10 @@ def test_gates_share_the_tokens_of_a_query(monkeypatch):
     assert len(tokens.tokenize(record["sql"])) == 9
     monkeypatch.setattr(gates, "tokenize", None)
     assert gates.g8_phrases("orders", record["sql"]) == []
+
+
+def test_numbers_of_six_digits_are_whole(spark):
+    """100,001 rows of a split keep different ids; rows without a split have none, as in SQL."""
+    rows = spark.range(100_001).select(F.lit("a").alias("s"), "id").union(spark.createDataFrame([(None, 1)], "s string, id long")).withColumnRenamed("id", "o")
+    ids = {(r["s"], r["o"]): r["id"] for r in curation.numbered(rows, "s", "o").collect()}
+    assert len(set(ids.values())) == 100_002 and ids["a", 100_000] == "v2_a_100000" and ids["a", 10_000] == "v2_a_10000" and ids[None, 1] is None
