@@ -71,15 +71,17 @@ def longest_list(posts: DataFrame, rows: DataFrame) -> int:
     return 1 << min(range(max(in_lists) + 1), key=cost)
 
 
-def alike(vec: DataFrame, posts: DataFrame, a: DataFrame, b: DataFrame | None, limit: int, threshold: float) -> DataFrame:
+def alike(vec: DataFrame, posts: DataFrame, a: DataFrame, b: DataFrame | None, limit: int, threshold: float, of_a: Column, of_b: Column) -> DataFrame:
     """``(x, y)``: rows x of ``a`` and later ones y of ``b`` whose cosine is over the threshold; without ``b`` rows of ``a`` with one another.
 
-    Both have o, g, size (number of terms) and wide; all of ``b`` come after those of ``a``.
+    Both have o, g, size (number of terms) and wide; all of ``b`` come after those of ``a``. ``of_a`` and ``of_b``
+    are conditions on o that their rows fulfil, so that what can't be among them is not shuffled.
     """
+    of_b = of_a if b is None else of_b
     short = posts.where(F.col("n") <= limit).select("o", "t", "rest")
-    of_x, of_y = (short.join(shuffled(rows.select("o", "wide")), "o").select(F.col("o").alias(n), "t", F.col("rest").alias(f"r{n}"), F.col("wide").alias(f"w{n}")) for rows, n in ((a, "x"), (a if b is None else b, "y")))
+    of_x, of_y = (short.where(held).join(shuffled(rows.select("o", "wide")), "o").select(F.col("o").alias(n), "t", F.col("rest").alias(f"r{n}"), F.col("wide").alias(f"w{n}")) for rows, n, held in ((a, "x", of_a), (a if b is None else b, "y", of_b)))
     met = of_x.join(shuffled(of_y), "t").where((F.col("x") < F.col("y")) & ~(F.col("wx") & F.col("wy")) & (F.col("rx") * F.col("ry") >= threshold * threshold - 1e-9))
-    of_x, of_y = (vec.select(F.col("o").alias(n), F.col("n2").alias(f"n{n}"), F.col("ts").alias(f"t{n}"), F.col("cs").alias(f"c{n}")) for n in ("x", "y"))
+    of_x, of_y = (vec.where(held).select(F.col("o").alias(n), F.col("n2").alias(f"n{n}"), F.col("ts").alias(f"t{n}"), F.col("cs").alias(f"c{n}")) for n, held in (("x", of_a), ("y", of_b)))
     pairs = met.select("x", "y").distinct().join(shuffled(of_x), "x").join(shuffled(of_y), "y").select("x", "y", "nx", "tx", "cx", "ny", "ty", "cy")
     schema = f"x {vec.schema['o'].dataType.simpleString()}, y {vec.schema['o'].dataType.simpleString()}"
     found = pairs.mapInArrow(_over(threshold), schema)
@@ -88,7 +90,7 @@ def alike(vec: DataFrame, posts: DataFrame, a: DataFrame, b: DataFrame | None, l
         return found
     rows, to = parts[0], parts[-1]
     block = lambda n: F.pmod(F.xxhash64("o"), F.lit(n)).cast("int")
-    wide = [vec.join(shuffled(r.where("wide").select("o")), "o") for r in (a, a if b is None else b)]
+    wide = [vec.where(held).join(shuffled(r.where("wide").select("o")), "o") for r, held in ((a, of_a), (a if b is None else b, of_b))]
     left, right = wide[0].withColumn("i", block(rows)), wide[1].withColumn("j", block(to))
     # of two blocks of the same rows one order is enough
     left = left.withColumn("j", F.explode(F.sequence(F.col("i") if b is None else F.lit(0), F.lit(to - 1))))
